@@ -15,17 +15,17 @@ class FactorRun:
     """Every table of a run as an attribute. Tables with several consumers are staged; the rest
     stays lazy, so asking for one table computes only what it needs."""
 
-    def __init__(self, prices: DataFrame, params: Params):
-        self.prices = prices
+    def __init__(self, raw_prices: DataFrame, params: Params):
+        self.raw_prices = raw_prices
         self.params = params
 
     @cached_property
     def dim_factor(self) -> DataFrame:
-        return dims.dim_factor(self.prices.sparkSession)
+        return dims.dim_factor(self.raw_prices.sparkSession)
 
     @cached_property
     def returns(self) -> DataFrame:
-        return stage(returns.daily_returns(self.prices, self.params), "returns")
+        return stage(returns.daily_returns(self.raw_prices, self.params), "returns")
 
     @cached_property
     def market(self) -> DataFrame:
