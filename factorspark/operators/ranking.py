@@ -20,6 +20,11 @@ def largest_group(df: DataFrame, group: Sequence[str]) -> int:
     return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
 
 
+def _groups_fit(df: DataFrame, group: Sequence[str], limit: int, max_rows: int | None) -> bool:
+    """Whether no group exceeds ``limit``: known from the total, or counted."""
+    return (max_rows is not None and max_rows <= limit) or largest_group(df, group) <= limit
+
+
 def sorted_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], column: str) -> DataFrame:
     """Add the 1-based position of every row in its group under ``order``.
 
@@ -56,24 +61,36 @@ def _bucket_of(position: Column, size: Column, buckets: int) -> Column:
 
 
 def ntile(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], buckets: int, column: str, max_group_rows: int
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    buckets: int,
+    column: str,
+    max_group_rows: int,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Add NTILE(``buckets``) per group; ``order`` has to identify a row within its group."""
-    if largest_group(df, group) <= max_group_rows:
+    """Add NTILE(``buckets``) per group; ``order`` has to identify a row within its group.
+    ``max_rows`` is an upper bound of the row count, if one is known."""
+    if _groups_fit(df, group, max_group_rows, max_rows):
         window = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(column, F.ntile(buckets).over(window))
     placed = sorted_positions(df, group, order, "_position")
-    sizes = df.groupBy(*group).agg(F.count("*").alias("_size"))
+    sizes = placed.groupBy(*group).agg(F.count("*").alias("_size"))
     bucket = _bucket_of(F.col("_position"), F.col("_size"), buckets)
     return placed.join(sizes, list(group)).withColumn(column, bucket.cast("int")).drop("_position", "_size")
 
 
 def min_ranks(
-    df: DataFrame, group: Sequence[str], ranks: Mapping[str, str], row_key: str, max_group_rows: int
+    df: DataFrame,
+    group: Sequence[str],
+    ranks: Mapping[str, str],
+    row_key: str,
+    max_group_rows: int,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Add RANK() per group for every ``rank column: value column`` of ``ranks``; ties share the
-    lowest rank. ``row_key`` identifies a row within its group."""
-    if largest_group(df, group) <= max_group_rows:
+    lowest rank. ``row_key`` identifies a row within its group, ``max_rows`` is as in ``ntile``."""
+    if _groups_fit(df, group, max_group_rows, max_rows):
         return df.withColumns(
             {name: F.rank().over(Window.partitionBy(*group).orderBy(value)) for name, value in ranks.items()}
         )

@@ -8,20 +8,28 @@ from pyspark.sql import functions as F
 from factorspark.functions import ratio
 from factorspark.operators.ranking import min_ranks, ntile
 from factorspark.params import MONTHS_PER_YEAR, QUINTILES, Params
-from factorspark.plans.scores import CROSS_SECTION
+from factorspark.plans.scores import CROSS_SECTION, FORWARD
 
 
-def mart_scores_monthly(scores: DataFrame, forward: DataFrame, params: Params) -> DataFrame:
-    """Quintile of every scored name, with its forward return where there is one. Counts group
-    sizes of ``scores`` first, so pass a stored or staged frame."""
-    ranked = ntile(scores, CROSS_SECTION, ["score", "ticker"], QUINTILES, "quintile", params.max_group_rows)
-    return ranked.join(forward, ["ticker", "rebalance_date"], "left").select(
-        "ticker", *CROSS_SECTION, "raw_value", "score", "quintile", "fwd_ret_1m"
-    )
+def with_quintiles(scored: DataFrame, params: Params, max_rows: int | None = None) -> DataFrame:
+    """(ticker, rebalance_date, factor, raw_value, score, quintile, fwd_ret_1m) from scores that
+    already carry their forward return. Every scored name counts, with or without one."""
+    group_limit = params.max_group_rows
+    ranked = ntile(scored, CROSS_SECTION, ["score", "ticker"], QUINTILES, "quintile", group_limit, max_rows)
+    return ranked.select("ticker", *CROSS_SECTION, "raw_value", "score", "quintile", FORWARD)
+
+
+def mart_scores_monthly(
+    scores: DataFrame, forward: DataFrame, params: Params, max_rows: int | None = None
+) -> DataFrame:
+    """Quintile of every scored name, with its forward return where there is one. Without
+    ``max_rows``, a known upper bound of the row count, group sizes of ``scores`` are counted
+    first; pass a stored frame then."""
+    return with_quintiles(scores.join(forward, ["ticker", "rebalance_date"], "left"), params, max_rows)
 
 
 def _earned(scores_monthly: DataFrame) -> DataFrame:
-    return scores_monthly.filter(F.col("fwd_ret_1m").isNotNull())
+    return scores_monthly.filter(F.col(FORWARD).isNotNull())
 
 
 def mart_factor_returns(scores_monthly: DataFrame) -> DataFrame:
@@ -46,13 +54,12 @@ def correlation(x: str, y: str) -> Column:
     return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def mart_ic(scores_monthly: DataFrame, params: Params) -> DataFrame:
+def mart_ic(scores_monthly: DataFrame, params: Params, max_rows: int | None = None) -> DataFrame:
     """(rebalance_date, factor, ic, n_names): correlation of score rank and forward-return rank.
-    Counts group sizes first, so pass a stored or staged frame."""
-    earned = _earned(scores_monthly).select("ticker", *CROSS_SECTION, "score", "fwd_ret_1m")
-    ranked = min_ranks(
-        earned, CROSS_SECTION, {"rk_score": "score", "rk_fwd": "fwd_ret_1m"}, "ticker", params.max_group_rows
-    )
+    ``max_rows`` as in ``mart_scores_monthly``."""
+    earned = _earned(scores_monthly).select("ticker", *CROSS_SECTION, "score", FORWARD)
+    ranks = {"rk_score": "score", "rk_fwd": FORWARD}
+    ranked = min_ranks(earned, CROSS_SECTION, ranks, "ticker", params.max_group_rows, max_rows)
     return ranked.groupBy(*CROSS_SECTION).agg(
         correlation("rk_score", "rk_fwd").alias("ic"), F.count("*").alias("n_names")
     )

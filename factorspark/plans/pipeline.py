@@ -12,7 +12,8 @@ from factorspark.plans.contract import validate
 from factorspark.sources.catalog import Tables
 
 # stage -> tables it writes, in build order; every function reads only earlier tables. The daily
-# tables are bucketed by ticker, the key of all their windows.
+# tables are bucketed by ticker, the key of all their windows. Row counts of stored tables come
+# from file footers.
 STAGES = {
     "dims": {"dim_factor": lambda t, p: dims.dim_factor(t.raw_prices.sparkSession)},
     "returns": {"returns": lambda t, p: returns.daily_returns(t.raw_prices, p)},
@@ -22,13 +23,15 @@ STAGES = {
     },
     "signals": {"signals": lambda t, p: signals.signals(t.returns, t.market)},
     "scores": {
-        "scores": lambda t, p: scores.scores(scores.signals_long(t.signals, t.rebalance_dates), t.dim_factor, p)
+        "scores": lambda t, p: scores.scores(
+            scores.signals_long(t.signals, t.rebalance_dates), t.dim_factor, p
+        ).select("ticker", "rebalance_date", "factor", "raw_value", "n_names", "direction", "score")
     },
     "fwd_returns": {"fwd_returns": lambda t, p: scores.forward_returns(t.returns, t.rebalance_dates)},
     "marts": {
-        "mart_scores_monthly": lambda t, p: marts.mart_scores_monthly(t.scores, t.fwd_returns, p),
+        "mart_scores_monthly": lambda t, p: marts.mart_scores_monthly(t.scores, t.fwd_returns, p, t.scores.count()),
         "mart_factor_returns": lambda t, p: marts.mart_factor_returns(t.mart_scores_monthly),
-        "mart_ic": lambda t, p: marts.mart_ic(t.mart_scores_monthly, p),
+        "mart_ic": lambda t, p: marts.mart_ic(t.mart_scores_monthly, p, t.mart_scores_monthly.count()),
         "mart_factor_summary": lambda t, p: marts.mart_factor_summary(t.mart_factor_returns, t.mart_ic),
         "dim_month": lambda t, p: dims.dim_month(t.mart_scores_monthly),
     },

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from factorspark.params import Params
 from factorspark.plans import dims, marts, returns, scores, signals
-from factorspark.sources.staging import stage
+from factorspark.sources.staging import stage, stage_counted
 
 
 class FactorRun:
@@ -39,9 +39,18 @@ class FactorRun:
     def signals(self) -> DataFrame:
         return signals.signals(self.returns, self.market)
 
+    @cached_property
+    def _month_end(self) -> tuple[DataFrame, int]:
+        """Month-end rows with signals and forward return, and how many (row, signal) pairs they
+        can give. One pass by ticker over the daily rows yields both."""
+        daily = signals.signal_rows(self.returns, self.market)
+        month_end = scores.on_rebalance_dates(daily, self.rebalance_dates)
+        rows, n = stage_counted(scores.with_forward_return(month_end), "month_end")
+        return rows, n * len(signals.SIGNALS)
+
     @cached_property
     def signals_long(self) -> DataFrame:
-        return stage(scores.signals_long(self.signals, self.rebalance_dates), "signals_long")
+        return scores.unpivot_signals(self._month_end[0])
 
     @cached_property
     def zscores(self) -> DataFrame:
@@ -53,11 +62,14 @@ class FactorRun:
 
     @cached_property
     def fwd_returns(self) -> DataFrame:
-        return scores.forward_returns(self.returns, self.rebalance_dates)
+        return self._month_end[0].select("ticker", "rebalance_date", scores.FORWARD)
 
     @cached_property
     def mart_scores_monthly(self) -> DataFrame:
-        return stage(marts.mart_scores_monthly(self.scores, self.fwd_returns, self.params), "mart_scores_monthly")
+        month_end, max_rows = self._month_end
+        long = scores.unpivot_signals(month_end, scores.FORWARD)
+        scored = scores.scores(long, self.dim_factor, self.params)
+        return stage(marts.with_quintiles(scored, self.params, max_rows), "mart_scores_monthly")
 
     @cached_property
     def mart_factor_returns(self) -> DataFrame:
@@ -65,7 +77,7 @@ class FactorRun:
 
     @cached_property
     def mart_ic(self) -> DataFrame:
-        return marts.mart_ic(self.mart_scores_monthly, self.params)
+        return marts.mart_ic(self.mart_scores_monthly, self.params, self._month_end[1])
 
     @cached_property
     def mart_factor_summary(self) -> DataFrame:

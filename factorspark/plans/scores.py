@@ -10,21 +10,30 @@ from factorspark.params import Params
 from factorspark.plans.signals import SIGNALS
 
 CROSS_SECTION = ["rebalance_date", "factor"]
+FORWARD = "fwd_ret_1m"
+
+
+def on_rebalance_dates(daily: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The rows on rebalance dates, with ``rebalance_date`` and ``month_idx`` for ``trade_date``.
+    The calendar has one row per month and is broadcast."""
+    days = F.broadcast(calendar.withColumnRenamed("rebalance_date", "trade_date"))
+    return daily.join(days, "trade_date").withColumnRenamed("trade_date", "rebalance_date")
+
+
+def unpivot_signals(month_end: DataFrame, *carry: str) -> DataFrame:
+    """One row per valid signal: (ticker, rebalance_date, ``carry``, factor, raw_value)."""
+    ids = ["ticker", "rebalance_date", *carry]
+    return month_end.unpivot(ids, list(SIGNALS), "factor", "raw_value").filter(F.col("raw_value").isNotNull())
 
 
 def signals_long(signals: DataFrame, calendar: DataFrame) -> DataFrame:
-    """(ticker, rebalance_date, factor, raw_value): valid signals on rebalance dates. The calendar
-    (one row per month) is joined first, so only month-end rows are unpivoted."""
-    month_end = signals.join(
-        F.broadcast(calendar.select(F.col("rebalance_date").alias("trade_date"))), "trade_date"
-    ).withColumnRenamed("trade_date", "rebalance_date")
-    return month_end.unpivot(["ticker", "rebalance_date"], list(SIGNALS), "factor", "raw_value").filter(
-        F.col("raw_value").isNotNull()
-    )
+    """(ticker, rebalance_date, factor, raw_value): valid signals on rebalance dates. Only
+    month-end rows are unpivoted."""
+    return unpivot_signals(on_rebalance_dates(signals, calendar))
 
 
 def zscores(long: DataFrame) -> DataFrame:
-    """Add ``n_names`` and ``z_raw`` per (rebalance_date, factor).
+    """Add ``n_names`` and ``z_raw`` per (rebalance_date, factor); other columns are kept.
 
     Mean and deviation are aggregated map-side and joined back (months x factors rows, broadcast),
     so the rows themselves are not shuffled and a cross-section is never gathered in one task.
@@ -32,39 +41,29 @@ def zscores(long: DataFrame) -> DataFrame:
     stats = long.groupBy(*CROSS_SECTION).agg(
         F.count("*").alias("n_names"), F.avg("raw_value").alias("_mean"), F.stddev_samp("raw_value").alias("_sd")
     )
-    return long.join(F.broadcast(stats), CROSS_SECTION).select(
-        "ticker",
-        *CROSS_SECTION,
-        "raw_value",
-        "n_names",
-        ratio(F.col("raw_value") - F.col("_mean"), F.col("_sd")).alias("z_raw"),
-    )
+    z = ratio(F.col("raw_value") - F.col("_mean"), F.col("_sd"))
+    return long.join(F.broadcast(stats), CROSS_SECTION).withColumn("z_raw", z).drop("_mean", "_sd")
 
 
 def scores(long: DataFrame, dim_factor: DataFrame, params: Params) -> DataFrame:
-    """(ticker, rebalance_date, factor, raw_value, n_names, direction, score): clamp first, then
-    apply the direction, so that a higher score is always better."""
+    """Add n_names, direction and score to (ticker, rebalance_date, factor, raw_value): clamp
+    first, then apply the direction, so that a higher score is always better."""
     usable = zscores(long).filter(F.col("z_raw").isNotNull() & (F.col("n_names") >= params.min_universe))
-    return usable.join(F.broadcast(dim_factor.select("factor", "direction")), "factor").select(
-        "ticker",
-        *CROSS_SECTION,
-        "raw_value",
-        "n_names",
-        "direction",
-        (winsorised(F.col("z_raw")) * F.col("direction")).alias("score"),
-    )
+    score = winsorised(F.col("z_raw")) * F.col("direction")
+    directions = F.broadcast(dim_factor.select("factor", "direction"))
+    return usable.join(directions, "factor").withColumn("score", score).drop("z_raw")
 
 
-def forward_returns(returns: DataFrame, calendar: DataFrame) -> DataFrame:
-    """(ticker, rebalance_date, fwd_ret_1m): return to the next rebalance date, NULL unless the
-    ticker's next month-end row is in the very next month."""
-    month_end = returns.select("ticker", F.col("trade_date").alias("rebalance_date"), "adj_close").join(
-        F.broadcast(calendar), "rebalance_date"
-    )
+def with_forward_return(month_end: DataFrame) -> DataFrame:
+    """Add ``fwd_ret_1m``: return to the ticker's next month-end row, NULL unless that is in the
+    very next month."""
     by_month = Window.partitionBy("ticker").orderBy("rebalance_date")
     consecutive = F.lead("month_idx").over(by_month) == F.col("month_idx") + 1
-    return month_end.select(
-        "ticker",
-        "rebalance_date",
-        F.when(consecutive, growth(F.lead("adj_close").over(by_month), F.col("adj_close"))).alias("fwd_ret_1m"),
-    )
+    earned = growth(F.lead("adj_close").over(by_month), F.col("adj_close"))
+    return month_end.withColumn(FORWARD, F.when(consecutive, earned))
+
+
+def forward_returns(returns: DataFrame, calendar: DataFrame) -> DataFrame:
+    """(ticker, rebalance_date, fwd_ret_1m)"""
+    month_end = on_rebalance_dates(returns.select("ticker", "trade_date", "adj_close"), calendar)
+    return with_forward_return(month_end).select("ticker", "rebalance_date", FORWARD)

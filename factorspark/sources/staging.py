@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -32,3 +33,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_root(spark)}/factorspark/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``stage``, and the number of rows, counted while they are written."""
+    rows = Observation(name)
+    staged = stage(df.observe(rows, F.count("*").alias("n")), name)
+    return staged, rows.get["n"]

@@ -68,8 +68,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "zscores": lambda i: i.run.zscores,
     "winsorized_scores": lambda i: i.run.scores.select("ticker", "rebalance_date", "factor", "score"),
     "scores": lambda i: i.run.scores,
-    "forward_returns": lambda i: i.run.fwd_returns,
-    "forward_returns_sparse": lambda i: i.sparse_run.fwd_returns,
+    "forward_returns": lambda i: scores.forward_returns(i.run.returns, i.run.rebalance_dates),
+    "forward_returns_sparse": lambda i: scores.forward_returns(i.sparse_run.returns, i.sparse_run.rebalance_dates),
     # marts
     "mart_scores_monthly": lambda i: i.run.mart_scores_monthly,
     "mart_factor_returns": lambda i: i.run.mart_factor_returns,
