@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from factorspark.functions import ratio, significant
@@ -24,7 +24,9 @@ EXPORTS = {
     "dim_factor": ["factor"],
 }
 
-_FACTOR_MONTHS = Window.partitionBy("factor").orderBy("rebalance_date")
+
+def _factor_months() -> WindowSpec:
+    return Window.partitionBy("factor").orderBy("rebalance_date")
 
 
 # --- factor statistics ------------------------------------------------------------------------
@@ -96,7 +98,7 @@ def quintile_profile(factor_returns: DataFrame) -> DataFrame:
 
 def ic_rolling(ic: DataFrame, months: int = TRAILING_MONTHS) -> DataFrame:
     """Adds ``ic_mean_12m``: mean of the last 12 ICs, NULL until there are 12."""
-    trailing = _FACTOR_MONTHS.rowsBetween(1 - months, Window.currentRow)
+    trailing = _factor_months().rowsBetween(1 - months, Window.currentRow)
     full = F.count("ic").over(trailing) == months
     return ic.select("rebalance_date", "factor", "ic", F.when(full, F.avg("ic").over(trailing)).alias("ic_mean_12m"))
 
@@ -104,7 +106,7 @@ def ic_rolling(ic: DataFrame, months: int = TRAILING_MONTHS) -> DataFrame:
 def cumulative_spread(factor_returns: DataFrame) -> DataFrame:
     """(rebalance_date, factor, ls_ret, cum_spread): spread compounded monthly; NULL in a month
     without a spread, which leaves the months after it unaffected."""
-    so_far = _FACTOR_MONTHS.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = _factor_months().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     growth = F.product(1 + F.col("ls_ret")).over(so_far) - 1
     return factor_returns.select(
         "rebalance_date", "factor", "ls_ret", F.when(F.col("ls_ret").isNotNull(), growth).alias("cum_spread")

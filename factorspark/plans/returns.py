@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from factorspark.functions import growth, month_index
 from factorspark.params import Params
 
-# A ticker's window partition is bounded: the input contract leaves one row per (ticker, day), so
-# it never holds more rows than the calendar has days.
-TICKER_DAYS = Window.partitionBy("ticker").orderBy("trade_date")
+
+def ticker_days() -> WindowSpec:
+    """Rows of a ticker by day. The partition is bounded: the input contract leaves one row per
+    (ticker, day), so it never holds more rows than the calendar has days."""
+    return Window.partitionBy("ticker").orderBy("trade_date")
 
 
 def daily_returns(prices: DataFrame, params: Params) -> DataFrame:
     """(ticker, trade_date, adj_close, ret_1d). Non-positive prices go first, so the gap is
     measured between the surviving rows; a return over too long a gap is NULL."""
-    previous_close = F.lag("adj_close").over(TICKER_DAYS)
-    previous_day = F.lag("trade_date").over(TICKER_DAYS)
+    previous_close = F.lag("adj_close").over(ticker_days())
+    previous_day = F.lag("trade_date").over(ticker_days())
     close_enough = F.datediff("trade_date", previous_day) <= params.max_gap_days
     return prices.filter(F.col("adj_close") > 0).select(
         "ticker",
