@@ -17,14 +17,14 @@ _SETTING = "spark.checkpoint.dir"
 
 def staging_root(spark: SparkSession) -> str:
     """Folder named by the cluster. Only a local session without the setting gets its own."""
-    root = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if root:
         return root
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="factorspark-")
-    spark.conf.set(_SETTING, root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="factorspark-"))
+    return context.getCheckpointDir()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
