@@ -57,14 +57,18 @@ def significant(x: Column, digits: int = 10) -> Column:
 
 # --- lenient parsing of raw input -------------------------------------------------------------
 
-# Fixed patterns: whitespace at either end, and what counts as a number in text.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$"
+# The Unicode whitespace that is stripped from tickers, the characters a decimal
+# number may consist of, and the spelling of infinity.
+_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_DECIMAL = r"^[0-9eE.+\-\s]+$"
 _INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
 
 def clean_ticker(col: Column) -> Column:
-    return F.upper(F.regexp_replace(col.cast("string"), _EDGE_SPACE, ""))
+    return F.upper(F.btrim(col.cast("string"), F.lit(_SPACE)))
 
 
 def parse_date(col: Column, dtype: str) -> Column:
@@ -82,8 +86,8 @@ def parse_date(col: Column, dtype: str) -> Column:
 def parse_number(col: Column, dtype: str) -> Column:
     """Double from a numeric or text column; text that is no number, and NaN, become NULL."""
     if dtype == "string":
-        # the pattern rejects Java-only spellings such as "1.5d"
-        numeric = F.when(col.rlike(_NUMBER) | col.rlike(_INFINITY), col.try_cast("double"))
+        # the pattern keeps out spellings that only Java knows, such as "1.5d" and "0x1p3"
+        numeric = F.when(col.rlike(_DECIMAL) | col.rlike(_INFINITY), col.try_cast("double"))
     elif dtype in ("date", "binary") or dtype.startswith(("timestamp", "array", "map", "struct")):
         return F.lit(None).cast("double")
     else:

@@ -49,32 +49,23 @@ def dense_panel(lineitem: DataFrame, rows: int = VOL_ROWS) -> DataFrame:
     """One row per ticker and weekday from its first trade to the last trade of the table; the
     price is value over quantity of the trailing ``rows`` weekdays.
 
-    Each traded day is expanded up to the next one, so the calendar is filled inside the ticker's
-    own partition without joining a calendar to every ticker.
+    Running totals are taken over the traded days, then each day is repeated up to the next one, so
+    the calendar is filled inside the ticker's own partition and without joining a calendar to
+    every ticker. Totals of integers are exact: the trailing sum is a plain difference.
     """
     last_day = lineitem.select(F.max(F.to_date("l_shipdate"))).scalar()
     by_day = Window.partitionBy("ticker").orderBy("trade_date")
-    until = F.coalesce(F.lead("trade_date").over(by_day) - F.expr("INTERVAL 1 DAY"), last_day)
-    filled = (
-        daily_trades(lineitem)
-        .withColumn("until", until.cast("date"))
-        .select(
-            "ticker",
-            "cents",
-            "units",
-            F.posexplode(F.sequence("trade_date", "until")).alias("step", "trade_date"),
-        )
-        .filter(is_weekday(F.col("trade_date")))
-        .select(
-            "ticker",
-            "trade_date",
-            *[F.when(F.col("step") == 0, F.col(c)).otherwise(0).alias(c) for c in ("cents", "units")],
-        )
-    )
-    # integer running totals are exact, so the trailing sum is a plain difference
     running = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = filled.select("ticker", "trade_date", *[F.sum(c).over(running).alias(c) for c in ("cents", "units")])
-    trailing = totals.select(
+    until = F.coalesce(F.date_sub(F.lead("trade_date").over(by_day), 1), last_day)
+    totals = daily_trades(lineitem).select(
+        "ticker",
+        *[F.sum(c).over(running).alias(c) for c in ("cents", "units")],
+        F.sequence("trade_date", until).alias("days"),
+    )
+    filled = totals.select("ticker", "cents", "units", F.explode("days").alias("trade_date")).filter(
+        is_weekday(F.col("trade_date"))
+    )
+    trailing = filled.select(
         "ticker",
         "trade_date",
         *[(F.col(c) - F.lag(c, rows, 0).over(by_day)).alias(c) for c in ("cents", "units")],

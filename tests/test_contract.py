@@ -22,7 +22,7 @@ def _message(df, **options):
 
 
 def test_clean_panel_is_normalised(spark):
-    df = _frame(spark, [(" aapl", "2024-01-02", 10.0), ("AAPL\t", "2024-01-03", 10.5)])
+    df = _frame(spark, [(" aapl", "2024-01-02", 10.0), ("AAPL\t\xa0\u2003", "2024-01-03", 10.5)])
     result = validate(df.withColumn("volume", F.lit(1)))
     assert result.frame.dtypes == [("ticker", "string"), ("trade_date", "date"), ("adj_close", "double")]
     assert result.deduped_groups == 0
@@ -68,6 +68,8 @@ def test_every_violation_is_listed(spark):
         ("inf", float("inf")),
         ("NaN", None),
         ("1.5d", None),
+        ("0x1p3", None),
+        ("1-2", None),
         ("1,5", None),
         ("", None),
         (None, None),

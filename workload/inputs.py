@@ -11,6 +11,7 @@ from factorspark.functions import is_weekday
 from factorspark.params import Params
 from factorspark.plans import dims, marts
 from factorspark.plans.run import FactorRun
+from factorspark.sources.staging import stage
 from factorspark.sources.trades import daily_trades, dense_panel, sparse_panel, supplier_ticker, unit_price
 
 PARAMS = Params(min_universe=5, max_gap_days=5)
@@ -136,9 +137,9 @@ class Altered:
 
     def __init__(self, run: FactorRun, scores_monthly: DataFrame):
         self._run = run
-        self.mart_scores_monthly = scores_monthly
-        self.mart_factor_returns = marts.mart_factor_returns(scores_monthly)
-        self.dim_month = dims.dim_month(scores_monthly)
+        self.mart_scores_monthly = stage(scores_monthly, "altered")
+        self.mart_factor_returns = marts.mart_factor_returns(self.mart_scores_monthly)
+        self.dim_month = dims.dim_month(self.mart_scores_monthly)
 
     @cached_property
     def mart_ic(self) -> DataFrame:
