@@ -17,7 +17,9 @@ FACTORS = [
 
 def dim_factor(spark: SparkSession) -> DataFrame:
     """(factor, label, direction, definition)"""
-    return spark.createDataFrame(FACTORS, "factor string, label string, direction int, definition string")
+    names = ("factor", "label", "direction", "definition")
+    rows = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in FACTORS]
+    return spark.range(0, 1, 1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
 def dim_month(scores_monthly: DataFrame) -> DataFrame:
