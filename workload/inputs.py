@@ -34,8 +34,10 @@ class Inputs:
         return sparse_panel(self.table("lineitem"))
 
     @cached_property
-    def sparse_run(self) -> FactorRun:
-        return FactorRun(self.sparse, PARAMS)
+    def gappy_run(self) -> FactorRun:
+        """A price only where something traded in the last ten weekdays: rows with gaps, of which
+        some windows pass the gates and some do not."""
+        return FactorRun(dense_panel(self.table("lineitem"), rows=10), PARAMS)
 
     @cached_property
     def quotes(self) -> DataFrame:

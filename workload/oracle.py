@@ -37,6 +37,8 @@ _SPARSE = {
         FROM trades WHERE units > 0""",
 }
 
+_GAPPY = {**_DENSE, "summed": _DENSE["summed"].replace("62 PRECEDING", "9 PRECEDING")}
+
 _MODEL = {
     "returns": """
         SELECT ticker, trade_date, adj_close,
@@ -399,7 +401,7 @@ _STATEMENTS: dict[str, tuple[dict[str, str], str]] = {
     "signal_volatility": (_RUN, f"SELECT ticker, trade_date, {_r('vol_63d')} FROM signals"),
     "signal_beta": (_RUN, f"SELECT ticker, trade_date, {_r('beta_252d')} FROM signals"),
     "signals": (_RUN, f"SELECT ticker, trade_date, {_r(*_SIGNAL_COLUMNS)} FROM signals"),
-    "signals_sparse": ({**_SPARSE, **_MODEL}, f"SELECT ticker, trade_date, {_r(*_SIGNAL_COLUMNS)} FROM signals"),
+    "signals_with_gaps": ({**_GAPPY, **_MODEL}, f"SELECT ticker, trade_date, {_r(*_SIGNAL_COLUMNS)} FROM signals"),
     "rebalance_dates": (_RUN, f"SELECT rebalance_date, {_i('month_idx')} FROM rebalance_dates"),
     "signals_long": (_RUN, f"SELECT ticker, rebalance_date, factor, {_r('raw_value')} FROM signals_long"),
     "zscores": (_RUN, f"SELECT ticker, rebalance_date, factor, {_r('raw_value', 'z_raw')}, n_names FROM zscores"),
@@ -409,8 +411,8 @@ _STATEMENTS: dict[str, tuple[dict[str, str], str]] = {
         f"""SELECT ticker, rebalance_date, factor, {_r('raw_value')}, n_names, {_i('direction')}, {_r('score')} FROM scores""",
     ),
     "forward_returns": (_RUN, f"SELECT ticker, rebalance_date, {_r('fwd_ret_1m')} FROM fwd_returns"),
-    "forward_returns_sparse": (
-        {**_SPARSE, **_MODEL},
+    "forward_returns_with_gaps": (
+        {**_GAPPY, **_MODEL},
         f"SELECT ticker, rebalance_date, {_r('fwd_ret_1m')} FROM fwd_returns",
     ),
     "mart_scores_monthly": (_RUN, f"{_SCORE_ROWS} FROM mart_scores_monthly"),

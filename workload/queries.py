@@ -61,7 +61,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "signal_volatility": _one_signal("vol_63d"),
     "signal_beta": _one_signal("beta_252d"),
     "signals": lambda i: i.run.signals,
-    "signals_sparse": lambda i: i.sparse_run.signals,
+    "signals_with_gaps": lambda i: i.gappy_run.signals,
     # cross-section
     "rebalance_dates": lambda i: i.run.rebalance_dates,
     "signals_long": lambda i: scores.signals_long(i.run.signals, i.run.rebalance_dates),
@@ -69,7 +69,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "winsorized_scores": lambda i: i.run.scores.select("ticker", "rebalance_date", "factor", "score"),
     "scores": lambda i: i.run.scores,
     "forward_returns": lambda i: scores.forward_returns(i.run.returns, i.run.rebalance_dates),
-    "forward_returns_sparse": lambda i: scores.forward_returns(i.sparse_run.returns, i.sparse_run.rebalance_dates),
+    "forward_returns_with_gaps": lambda i: scores.forward_returns(i.gappy_run.returns, i.gappy_run.rebalance_dates),
     # marts
     "mart_scores_monthly": lambda i: i.run.mart_scores_monthly,
     "mart_factor_returns": lambda i: i.run.mart_factor_returns,
