@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,3 +144,35 @@ def test_bucketed_table_is_read_without_a_shuffle(spark):
     plan = daily_returns(tables.raw_prices, Params())._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert tables.raw_prices.select(F.input_file_name()).distinct().count() <= 8
+
+
+def test_panels_with_a_hot_supplier(spark):
+    """A third of all trades belongs to one supplier; both panels against plain loops."""
+    rng = random.Random(9)
+    start = dt.date(2024, 1, 1)
+    rows = []
+    for i in range(1500):
+        day = start + dt.timedelta(days=rng.randrange(90))
+        key = 7 if i % 3 == 0 else rng.randrange(20, 60)
+        rows.append((key, (day.year, day.month, day.day), rng.randrange(100, 90000) / 100, float(rng.randint(1, 50))))
+    trades = _trades(spark, rows).repartition(6)
+
+    totals = {}
+    for key, day, price, units in rows:
+        if dt.date(*day).weekday() < 5:
+            cents, n = totals.get((key, dt.date(*day)), (0, 0))
+            totals[key, dt.date(*day)] = (cents + round(price * 100), n + int(units))
+    sparse = {(k, d): c / n / 100.0 for (k, d), (c, n) in totals.items()}
+    assert {(int(r.ticker[1:]), r.trade_date): r.adj_close for r in sparse_panel(trades).collect()} == sparse
+
+    last = max(dt.date(*day) for _, day, _, _ in rows)
+    weekdays = [d for d in (start + dt.timedelta(days=k) for k in range(90)) if d.weekday() < 5 and d <= last]
+    dense = {}
+    for key in {k for k, _ in totals}:
+        series = [totals.get((key, d), (0, 0)) for d in weekdays]
+        for t, day in enumerate(weekdays):
+            cents, n = (sum(x) for x in zip(*series[max(0, t - 9) : t + 1]))
+            if n:
+                dense[key, day] = cents / n / 100.0
+    found = {(int(r.ticker[1:]), r.trade_date): r.adj_close for r in dense_panel(trades, rows=10).collect()}
+    assert found == dense
