@@ -64,8 +64,8 @@ def _quintiles(tables) -> DataFrame:
 
 
 def quintile_balance(tables) -> DataFrame:
-    uneven = _quintiles(tables).groupBy(*CROSS_SECTION).agg(F.max("n") - F.min("n")).filter(F.col("(max(n) - min(n))") > 1)
-    return _counted(uneven, "quintile_balance", "fail", "factor-months with quintile sizes more than 1 apart")
+    spread = _quintiles(tables).groupBy(*CROSS_SECTION).agg((F.max("n") - F.min("n")).alias("spread"))
+    return _counted(spread.filter("spread > 1"), "quintile_balance", "fail", "factor-months with quintile sizes more than 1 apart")
 
 
 def quintile_order(tables) -> DataFrame:
@@ -74,7 +74,10 @@ def quintile_order(tables) -> DataFrame:
 
     ends = _quintiles(tables).groupBy(*CROSS_SECTION).agg(mean_of(QUINTILES).alias("top"), mean_of(1).alias("bottom"))
     return _counted(
-        ends.filter("top <= bottom"), "quintile_order", "fail", "factor-months whose top quintile scores no higher than the bottom one"
+        ends.filter("top <= bottom"),
+        "quintile_order",
+        "fail",
+        "factor-months whose top quintile scores no higher than the bottom one",
     )
 
 

@@ -63,9 +63,12 @@ def parity_summary(a: DataFrame, b: DataFrame, tol: float = TOLERANCE) -> DataFr
     """(metric, max_diff, n_one_sided, same) per column of mart_factor_summary: largest absolute
     difference over the factors, and factors that only one side has."""
     metrics = [c for c in a.columns if c != "factor"]
-    long = _stack(
-        *(t.select("factor", *[F.col(c).cast("double") for c in metrics]).unpivot("factor", metrics, "metric", "value") for t in (a, b))
-    )
+
+    def by_metric(summary: DataFrame) -> DataFrame:
+        doubles = [F.col(c).cast("double") for c in metrics]
+        return summary.select("factor", *doubles).unpivot("factor", metrics, "metric", "value")
+
+    long = _stack(by_metric(a), by_metric(b))
     pairs = long.groupBy("factor", "metric").agg(
         F.max(_on("a", F.col("value"))).alias("a"),
         F.max(_on("b", F.col("value"))).alias("b"),
@@ -162,7 +165,10 @@ def parity(a, b, tol: float = TOLERANCE) -> DataFrame:
         "same",
     )
     summary = parity_summary(a.mart_factor_summary, b.mart_factor_summary, tol).select(
-        F.lit("factor summary").alias("section"), F.col("metric").alias("item"), F.col("max_diff").alias("difference"), "same"
+        F.lit("factor summary").alias("section"),
+        F.col("metric").alias("item"),
+        F.col("max_diff").alias("difference"),
+        "same",
     )
     measured = ["n_one_sided", "n_quintile_diff", "max_score_diff", "max_fwd_diff"]
     rows = (

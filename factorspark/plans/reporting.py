@@ -233,9 +233,8 @@ def export_table(table: DataFrame, sort: Sequence[str]) -> DataFrame:
 def export_marts(tables, out: str) -> list[str]:
     """Write the four small marts and the manifest as CSV, one file per folder under ``out``.
     They hold at most a row per factor and month, so a single output file is bounded."""
-    written = []
-    for name, sort in EXPORTS.items():
-        export_table(getattr(tables, name), sort).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
-        written.append(f"{out}/{name}")
-    run_manifest(tables).orderBy("item").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/manifest")
-    return [*written, f"{out}/manifest"]
+    exports = {name: export_table(getattr(tables, name), sort) for name, sort in EXPORTS.items()}
+    exports["manifest"] = run_manifest(tables).orderBy("item")
+    for name, sorted_rows in exports.items():
+        sorted_rows.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
+    return [f"{out}/{name}" for name in exports]

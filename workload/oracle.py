@@ -317,7 +317,7 @@ def _parity_summary() -> str:
 
 def _measures(returns_where: str, ic_where: str, key: str) -> str:
     return f"""
-        SELECT {key + ', ' if key else ''}m AS ls_return_month, m * 12 AS ann_ls_return, sd * sqrt(12) AS ann_ls_vol,
+        SELECT {f'r.k AS {key}, ' if key else ''}m AS ls_return_month, m * 12 AS ann_ls_return, sd * sqrt(12) AS ann_ls_vol,
                m * 12 / nullif(sd * sqrt(12), 0) AS ls_sharpe, hits / n AS hit_rate, im AS mean_ic, im / nullif(isd, 0) AS icir
         FROM (SELECT {key or '1'} AS k, avg(ls_ret) AS m, stddev_samp(ls_ret) AS sd, count(*) AS n,
                      count(*) FILTER (WHERE ls_ret > 0) AS hits FROM mart_factor_returns WHERE {returns_where} GROUP BY 1) r
@@ -498,8 +498,9 @@ _STATEMENTS: dict[str, tuple[dict[str, str], str]] = {
     "cumulative_spread_spine": (
         _RUN,
         f"""SELECT month_end, factor, {_SPINE_GROWTH}
-            FROM (SELECT m.month_end, g.factor, r.ls_ret FROM dim_month m CROSS JOIN dim_factor g
-                  LEFT JOIN mart_factor_returns r ON r.rebalance_date = m.month_end AND r.factor = g.factor)""",
+            FROM (SELECT m.month_end, m.factor, r.ls_ret
+                  FROM (SELECT month_end, unnest((SELECT list(factor) FROM dim_factor)) AS factor FROM dim_month) m
+                  LEFT JOIN mart_factor_returns r ON r.rebalance_date = m.month_end AND r.factor = m.factor)""",
     ),
     "cumulative_spread_mean": (
         _RUN,
@@ -518,20 +519,19 @@ _STATEMENTS: dict[str, tuple[dict[str, str], str]] = {
     "factor_measures": (
         _RUN,
         f"SELECT {_measure_columns('factor')} FROM ("
-        + _measures(*["rebalance_date BETWEEN DATE '1997-01-01' AND DATE '2000-12-31'"] * 2, "factor").replace(
-            "SELECT factor, m AS", "SELECT r.k AS factor, m AS", 1
-        )
+        + _measures(*["rebalance_date BETWEEN DATE '1997-01-01' AND DATE '2000-12-31'"] * 2, "factor")
         + ")",
     ),
     "factor_measures_total": (
         _RUN,
         f"SELECT {_measure_columns()} FROM (" + _measures(*["factor IN ('rev_21d', 'vol_63d')"] * 2, "") + ")",
     ),
-    # the stored summary is the same aggregate: every difference is zero
     "reconciliation": (
-        _RUN,
+        {**_RUN, "measures": _measures("true", "true", "factor")},
         " UNION ALL ".join(
-            f"SELECT factor, '{c}' AS measure, round({c} - {c}, 6) + 0.0 AS diff FROM mart_factor_summary" for c in _SUMMARY
+            f"""SELECT m.factor, '{c}' AS measure, round(m.{c} - s.{c}, 6) + 0.0 AS diff
+                FROM measures m JOIN mart_factor_summary s ON s.factor = m.factor"""
+            for c in _SUMMARY
         ),
     ),
     "star_view": (
