@@ -1,12 +1,12 @@
 """Intermediate results written to the shared checkpoint folder.
 
 A staged frame is read back from files, so its lineage ends there: several consumers do not
-recompute it, and a lost executor costs only the tasks it was running.
+recompute it, and a lost executor costs only the tasks it was running. Everything an application
+stages lies under one folder, which ``release`` removes.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,27 +16,40 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Folder named by the cluster. Only a local session without the setting gets its own."""
-    context = spark.sparkContext
-    root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
-    if root:
-        return root
-    if not context.master.startswith("local"):
+    """The shared folder named by the cluster or set as checkpoint folder."""
+    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not root:
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="factorspark-"))
-    return context.getCheckpointDir()
+    return root
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Folder of everything that this application stages."""
+    return f"{staging_root(spark)}/factorspark/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder and return it as read from there."""
-    spark = df.sparkSession
-    path = f"{staging_root(spark)}/factorspark/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_observed(df: DataFrame, name: str, **figures) -> tuple[DataFrame, dict]:
+    """``stage``, and aggregates of the rows, taken while they are written."""
+    seen = Observation(name)
+    staged = stage(df.observe(seen, *[column.alias(key) for key, column in figures.items()]), name)
+    return staged, seen.get
 
 
 def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """``stage``, and the number of rows, counted while they are written."""
-    rows = Observation(name)
-    staged = stage(df.observe(rows, F.count("*").alias("n")), name)
-    return staged, rows.get["n"]
+    staged, seen = stage_observed(df, name, n=F.count("*"))
+    return staged, seen["n"]
+
+
+def release(spark: SparkSession) -> None:
+    """Remove everything this application has staged; frames read from there end with it."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
