@@ -4,22 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from factorspark.llm import simhash
+from factorspark.llm import packing, simhash, tokencount
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), path, end_id=2, capacity=1024)
+
+
 def op8_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), width=4, radius=4)
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    counts = tokencount.token_counts(_table(spark, sf_dir, "documents"), path)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op8_simhash_components": op8_simhash_components,
+    "op9_token_counts": op9_token_counts,
 }
 
 SQL: dict[str, str] = {}
