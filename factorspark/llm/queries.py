@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorspark.llm import packing, simhash, tokencount
+from factorspark.llm import mixture, packing, simhash, tokencount, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), path, end_id=2, capacity=1024)
@@ -31,10 +35,65 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixture.mix(_table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), max_epochs=3.0, seed=42)
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_top_k": op1_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_simhash_components": op8_simhash_components,
     "op9_token_counts": op9_token_counts,
+    "op10_source_mix": op10_source_mix,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_exact_top_k": """
+        WITH q AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id,
+                   CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM q a JOIN q b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+    "op10_source_mix": r"""
+        WITH sized AS (
+            SELECT doc_id, source,
+                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+                   CAST('0x' || substr(md5('42:' || doc_id), 1, 14) AS BIGINT) AS at
+            FROM documents
+        ), sources AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+            FROM sized GROUP BY source
+        ), rates AS (
+            SELECT *,
+                   ((SELECT sum(size) FROM sized)
+                    - coalesce(sum(3.0 * source_size) OVER (ORDER BY 3.0 * source_size / weight, source
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                   / sum(weight) OVER (ORDER BY 3.0 * source_size / weight, source
+                               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+            FROM sources
+        ), filled AS (
+            SELECT *, least(3.0 * source_size, weight * (SELECT max(rate) FROM rates))::DOUBLE AS target
+            FROM rates
+        ), planned AS (
+            SELECT source, source_size, target,
+                   CASE WHEN source_size > 0 THEN CAST(floor(target / source_size + 1e-9) AS BIGINT) ELSE 0 END AS whole
+            FROM filled
+        )
+        SELECT s.doc_id, s.size, p.source_size, round(p.target, 6) AS target,
+               CAST(p.whole * s.size + greatest(0, least(s.size,
+                   greatest(0, CAST(round(p.target) AS BIGINT) - p.whole * p.source_size)
+                   - coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.at, s.doc_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS BIGINT) AS taken
+        FROM sized s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
+    """,
+}
