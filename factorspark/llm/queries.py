@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorspark.llm import mixture, packing, simhash, tokencount, topk, toxicity
+from factorspark.llm import langid, mixture, packing, simhash, tokencount, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), path, end_id=2, capacity=1024)
 
 
+def op7_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), width=4, radius=4)
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_toxicity": op2_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_byte_cnn_language": op7_byte_cnn_language,
     "op8_simhash_components": op8_simhash_components,
     "op9_token_counts": op9_token_counts,
     "op10_source_mix": op10_source_mix,
