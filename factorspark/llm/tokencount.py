@@ -1,10 +1,12 @@
 """Token counts: pieces are counted once per distinct pre-token and summed per document.
 
-Documents are taken in blocks of bounded size. A block is written as one row per distinct pre-token,
-with the documents of the block that have it and how often: the table of pre-token frequencies per
-document, packed. Its distinct pre-tokens are counted once each with the tokenizer, the counts are
-joined back, and every block is summed. No ids are kept anywhere. A pre-token that every document
-has is one row per block, and adaptive execution can split its join.
+Documents are taken in blocks of bounded size. A block gives one row per distinct pre-token, with
+the documents of the block that have it and how often: the table of pre-token frequencies per
+document, packed. The rows are dealt by pre-token, so its pieces are counted once, where all of its
+rows are; multiplied by the frequencies, they are summed per block and document. No ids are kept.
+
+A pre-token of every document is one small row per block. Those that a quarter of a block's
+documents have are dealt into ``SALTS`` parts, and counted once in each.
 """
 
 from __future__ import annotations
@@ -20,14 +22,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorspark.llm.pretokens import WORD_BPE, is_plain, load_tokenizer, special_strings
-from factorspark.sources.staging import stage
 
-BLOCK_ROWS = 4096
-BLOCK_CHARS = 1 << 23
-FLUSH_BYTES = 64 << 20
-SPECIAL = "\x00special"  # stands for a special token in a text; no pre-token has a NUL before a letter
+ORD_BITS = 13
+TIMES_BITS = 32 - ORD_BITS
+BLOCK_ROWS = 1 << ORD_BITS
+BLOCK_CHARS = 1 << 25
+FLUSH_BLOCKS = 1024
+SALTS = 64
+KNOWN_PIECES = 500_000
+# A NUL before a letter, which no pre-token has, marks a special token, the list of a block's
+# documents, and the salt at the end of a frequent pre-token.
+SPECIAL = "\x00special"
+LIST = "\x00list"
+SALT = "\x00salt"
 
-_BLOCKS = "block long, piece string, docs binary, times binary, n_docs int"
+_ROWS = "piece string, block long, posted binary"
 
 
 def pretokens(text: str, tokenizer, specials: tuple[str, ...], split_at: re.Pattern | None) -> list[str]:
@@ -44,120 +53,155 @@ def pretokens(text: str, tokenizer, specials: tuple[str, ...], split_at: re.Patt
     return found
 
 
-def _blocks(docs: DataFrame, path: str) -> DataFrame:
-    """One row per block and distinct pre-token; the row without a pre-token lists the documents.
+class _Block:
+    """Pre-token frequencies of up to ``BLOCK_ROWS`` documents."""
+
+    def __init__(self):
+        self.ids: list = []
+        self.sizes: list[int] = []
+        self.chars = 0
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.pieces: list[int] = []
+        self.times: list[int] = []
+        self.distinct: list[int] = []
+
+    def add(self, doc_id, n_bytes: int, text: str, found: list[str]) -> None:
+        counts = Counter(found)
+        self.ids.append(doc_id)
+        self.sizes.append(n_bytes)
+        self.chars += len(text)
+        self.pieces.extend(map(self.number.__getitem__, counts))
+        self.times.extend(counts.values())
+        self.distinct.append(len(counts))
+
+    def full(self) -> bool:
+        return len(self.ids) >= BLOCK_ROWS or self.chars >= BLOCK_CHARS
+
+    def packed(self, block: int) -> pa.RecordBatch:
+        """A posting is 32 bits: the document's place in the block, and how often it has the piece."""
+        pieces, times = np.array(self.pieces, np.int64), np.array(self.times, np.int64)
+        place = np.repeat(np.arange(len(self.ids)), self.distinct)
+        most = (1 << TIMES_BITS) - 1
+        if times.max(initial=0) > most:  # more than fit are several postings
+            often = -(-times // most)
+            last = np.cumsum(often) - 1
+            rest = times - (often - 1) * most
+            pieces, place = np.repeat(pieces, often), np.repeat(place, often)
+            times = np.full(len(pieces), most)
+            times[last] = rest
+        order = np.argsort(pieces, kind="stable")
+        posted = (place[order] << TIMES_BITS | times[order]).astype("<u4")
+        counts = np.bincount(pieces, minlength=len(self.number))
+        names = list(self.number)
+        for k in np.flatnonzero(counts > len(self.ids) / 4).tolist():
+            names[k] += f"{SALT}{(block >> 32) % SALTS}"
+        known = np.array([(i is not None, i or 0) for i in self.ids], "<i8")
+        listed = known.tobytes() + np.array(self.sizes, "<i8").tobytes()
+        ends = np.concatenate([[0], np.cumsum(4 * counts), [4 * len(posted) + len(listed)]]).astype("<i4")
+        data = pa.py_buffer(posted.tobytes() + listed)
+        column = pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), data])
+        names.append(f"{LIST}{block}")
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array(np.full(len(names), block)), column], ["piece", "block", "posted"]
+        )
 
-    That row has the doc_ids (with a mark for null) in ``docs`` and the byte counts in ``times``.
-    """
+
+def _blocks(docs: DataFrame, path: str) -> DataFrame:
+    """One row per block and distinct pre-token, and one that lists the documents of the block."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(path)
         specials = special_strings(tokenizer)
         split_at = re.compile(f"({'|'.join(map(re.escape, specials))})") if specials else None
         number = TaskContext.get().partitionId() << 32
-        ids: list = []
-        sizes: list[int] = []
-        where: dict[str, list[int]] = defaultdict(list)
-        chars = 0
-
-        def packed() -> pa.RecordBatch:
-            pieces: list = [None, *where]
-            known = np.array([(i is not None, i or 0) for i in ids], np.int64)
-            posted = [np.array(x, np.uint32).reshape(-1, 2) for x in where.values()]
-            docs_ = [known.tobytes(), *(x[:, 0].tobytes() for x in posted)]
-            times = [np.array(sizes, np.int64).tobytes(), *(x[:, 1].tobytes() for x in posted)]
-            n = len(pieces)
-            columns = [pa.array([number] * n), pa.array(pieces, pa.string()), pa.array(docs_, pa.binary())]
-            columns += [pa.array(times, pa.binary()), pa.array([len(ids)] * n, pa.int32())]
-            return pa.RecordBatch.from_arrays(columns, ["block", "piece", "docs", "times", "n_docs"])
-
+        block = _Block()
         for batch in batches:
             for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 text = (raw or b"").decode()
-                at = len(ids)
-                ids.append(doc_id)
-                sizes.append(len(raw or b""))
-                for piece, times in Counter(pretokens(text, tokenizer, specials, split_at)).items():
-                    where[piece] += (at, times)
-                chars += len(text)
-                if len(ids) >= BLOCK_ROWS or chars >= BLOCK_CHARS:
-                    yield packed()
-                    ids, sizes, chars = [], [], 0
-                    where.clear()
-                    number += 1
-        if ids:
-            yield packed()
-
-    return docs.select("doc_id", "text").mapInArrow(rows, _BLOCKS)
-
-
-def _counted(pieces: DataFrame, path: str) -> DataFrame:
-    """``pieces(piece)``, distinct, to ``(piece, tokens)``."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load_tokenizer(path)
-        for batch in batches:
-            words = batch.column(0).to_pylist()
-            asked = ["" if word == SPECIAL else word for word in words]
-            found = tokenizer.encode_batch_fast(asked, add_special_tokens=False)
-            tokens = [1 if word == SPECIAL else len(e.ids) for word, e in zip(words, found)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int32())], ["piece", "tokens"])
+                block.add(doc_id, len(raw or b""), text, pretokens(text, tokenizer, specials, split_at))
+                if block.full():
+                    yield block.packed(number)
+                    block, number = _Block(), number + 1
+        if block.ids:
+            yield block.packed(number)
 
-    return pieces.mapInArrow(rows, "piece string, tokens int")
+    return docs.select("doc_id", "text").mapInArrow(rows, _ROWS)
 
 
-def _sums(joined: DataFrame) -> DataFrame:
-    """Tokens of what a task has of each block: ``(block, docs, tokens)``, packed.
+def _sums(dealt: DataFrame, path: str) -> DataFrame:
+    """Rows dealt by pre-token to ``(block, posted, tokens)``: what a task has of each block.
 
-    Sums are passed on whenever they reach ``FLUSH_BYTES``, so that a task's memory does not grow
-    with the number of blocks it meets.
+    ``posted`` has places of documents and ``tokens`` their sums; the list of a block's documents
+    passes through, with null tokens. Sums are handed on after ``FLUSH_BLOCKS`` blocks and the known
+    counts dropped at ``KNOWN_PIECES``, so a task's memory is bounded.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        held = 0
-
-        def packed() -> pa.RecordBatch:
-            where = [np.flatnonzero(x) for x in sums.values()]
-            docs = [x.astype(np.uint32).tobytes() for x in where]
-            tokens = [x[at].tobytes() for x, at in zip(sums.values(), where)]
-            columns = [pa.array(list(sums), pa.int64()), pa.array(docs, pa.binary()), pa.array(tokens, pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, ["block", "docs", "tokens"])
-
-        for batch in batches:
-            for block, docs, times, n, tokens in zip(*(column.to_pylist() for column in batch.columns)):
-                if block not in sums:
-                    sums[block] = np.zeros(n, np.int64)
-                    held += sums[block].nbytes
-                # a block lists a document once per pre-token, so plain indexing adds up
-                sums[block][np.frombuffer(docs, np.uint32)] += np.frombuffer(times, np.uint32).astype(np.int64) * tokens
-            if held >= FLUSH_BYTES:
-                yield packed()
-                sums.clear()
-                held = 0
-        if sums:
-            yield packed()
-
-    return joined.select("block", "docs", "times", "n_docs", "tokens").mapInArrow(
-        rows, "block long, docs binary, tokens binary"
-    )
+        tokenizer = load_tokenizer(path)
+        known: dict[str, int] = {}
+        at: dict[int, int] = {}
+        sums = np.zeros((FLUSH_BLOCKS, BLOCK_ROWS), np.int64)
+
+        def handed_on() -> pa.RecordBatch:
+            where = [np.flatnonzero(sums[k]) for k in at.values()]
+            places = [x.astype("<u2").tobytes() for x in where]
+            tokens = [sums[k][x].astype("<i8").tobytes() for k, x in zip(at.values(), where)]
+            out = [pa.array(list(at), pa.int64()), pa.array(places, pa.binary()), pa.array(tokens, pa.binary())]
+            return pa.RecordBatch.from_arrays(out, ["block", "posted", "tokens"])
+
+        # a slice has no more blocks than rows
+        for batch in (b.slice(k, FLUSH_BLOCKS) for b in batches for k in range(0, b.num_rows, FLUSH_BLOCKS)):
+            names = batch.column(0).to_pylist()
+            lists = [k for k, name in enumerate(names) if name.startswith(LIST)]
+            if lists:
+                kept = batch.take(pa.array(lists))
+                nothing = pa.nulls(len(lists), pa.binary())
+                yield pa.RecordBatch.from_arrays([kept.column(1), kept.column(2), nothing], ["block", "posted", "tokens"])
+                batch = batch.filter(pa.array([not name.startswith(LIST) for name in names]))
+                names = batch.column(0).to_pylist()
+            if not names:
+                continue
+            pieces = [name.partition(SALT)[0] for name in names]
+            if len(known) > KNOWN_PIECES:
+                known.clear()
+            new = list({piece for piece in pieces if piece not in known})
+            for piece, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                known[piece] = 1 if piece == SPECIAL else len(found.ids)
+            tokens = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+            blocks, which = np.unique(batch.column(1).to_numpy(), return_inverse=True)
+            if len(at) + len(blocks) > FLUSH_BLOCKS:
+                yield handed_on()
+                at.clear()
+                sums[:] = 0
+            rows_of = np.array([at.setdefault(b, len(at)) for b in blocks.tolist()])
+            column = batch.column(2)
+            _, offsets, data = column.buffers()
+            ends = np.frombuffer(offsets, "<i4")[column.offset : column.offset + len(column) + 1]
+            posted = np.frombuffer(data, "<u4", (ends[-1] - ends[0]) // 4, ends[0]).astype(np.int64)
+            each = np.diff(ends) // 4
+            place = posted >> TIMES_BITS
+            amount = (posted & ((1 << TIMES_BITS) - 1)) * np.repeat(tokens, each)
+            np.add.at(sums, (np.repeat(rows_of[which], each), place), amount)
+        if at:
+            yield handed_on()
+
+    return dealt.mapInArrow(rows, "block long, posted binary, tokens binary")
 
 
 def _documents(summed: DataFrame) -> DataFrame:
-    """The rows of a block's documents; ``lists`` are its documents, ``parts`` its partial sums."""
+    """``(listed, posted, tokens)`` per block to its documents; the last two are lists of partial sums."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for known, sizes, docs, tokens in zip(*(column.to_pylist() for column in batch.columns)):
-                known = np.frombuffer(known, np.int64).reshape(-1, 2)
-                total = np.zeros(len(known), np.int64)
-                for at, part in zip(docs, tokens):
-                    total[np.frombuffer(at, np.uint32)] += np.frombuffer(part, np.int64)
-                columns = [
-                    pa.array(known[:, 1], mask=known[:, 0] == 0),
-                    pa.array(np.frombuffer(sizes, np.int64)),
-                    pa.array(total),
-                ]
+            for listed, places, tokens in zip(*(column.to_pylist() for column in batch.columns)):
+                n = len(listed) // 24
+                known = np.frombuffer(listed, "<i8", 2 * n).reshape(-1, 2)
+                sizes = np.frombuffer(listed, "<i8", n, 16 * n)
+                total = np.zeros(n, np.int64)
+                for where, part in zip(places, tokens):
+                    total[np.frombuffer(where, "<u2")] += np.frombuffer(part, "<i8")
+                columns = [pa.array(known[:, 1], mask=known[:, 0] == 0), pa.array(sizes), pa.array(total)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens"])
 
     return summed.mapInArrow(rows, "doc_id long, n_bytes long, n_tokens long")
@@ -170,17 +214,12 @@ def token_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     executor. Null and empty texts have 0 bytes and 0 tokens; null and repeated doc_ids stay as they
     are; an empty table gives an empty result; other columns are ignored.
     """
-    blocks = stage(_blocks(docs, tokenizer_path), "pretokens")
-    posted = blocks.filter("piece IS NOT NULL")
-    counts = _counted(posted.select("piece").distinct(), tokenizer_path)
-    parts = (
-        _sums(posted.join(counts, "piece"))
-        .groupBy("block")
-        .agg(F.collect_list("docs").alias("docs"), F.collect_list("tokens").alias("tokens"))
-    )
-    lists = blocks.filter("piece IS NULL").select("block", F.col("docs").alias("known"), F.col("times").alias("sizes"))
-    empty = F.array().cast("array<binary>")
-    summed = lists.join(parts, "block", "left").select(
-        "known", "sizes", *[F.coalesce(name, empty).alias(name) for name in ("docs", "tokens")]
+    summed = _sums(_blocks(docs, tokenizer_path).repartition("piece"), tokenizer_path)
+    partial = F.col("tokens").isNotNull()
+    return _documents(
+        summed.groupBy("block").agg(
+            F.max(F.when(~partial, F.col("posted"))).alias("listed"),
+            F.collect_list(F.when(partial, F.col("posted"))).alias("posted"),
+            F.collect_list("tokens").alias("tokens"),
+        ).drop("block")
     )
-    return _documents(summed)
