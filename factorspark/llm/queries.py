@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorspark.llm import langid, mixture, packing, simhash, tokencount, topk, toxicity
+from factorspark.llm import imatch, langid, mixture, packing, simhash, tokencount, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), path, end_id=2, capacity=1024)
@@ -51,6 +55,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_toxicity": op2_toxicity,
+    "op3_imatch_fingerprints": op3_imatch_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_byte_cnn_language": op7_byte_cnn_language,
     "op8_simhash_components": op8_simhash_components,
