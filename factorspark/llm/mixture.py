@@ -55,7 +55,7 @@ def _ranked(sources: DataFrame) -> DataFrame:
     before = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
     starts = sizes.select("run", shift.alias("shift"))
-    return runs.join(starts, "run").select("source", "source_size", (F.col("seq") + F.col("shift")).alias("rank"))
+    return runs.join(starts, "run").select("origin", "source_size", (F.col("seq") + F.col("shift")).alias("rank"))
 
 
 def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame:
@@ -100,8 +100,11 @@ def mix(
     if min(weights) <= 0:
         raise ValueError("weights have to be positive")
     kept = list(dict.fromkeys(keep))
+    # a key without null, so that windows and joins share one exchange
+    origin = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("origin")
     sized = docs.select(
-        *[F.col(name).alias(f"keep_{name}") for name in kept],
+        *[F.col(f"`{name}`").alias(f"keep_{name}") for name in kept],
+        origin,
         F.col("source").alias("source"),
         word_count("text").alias("size"),
         seeded_order("doc_id", seed).alias("at"),
@@ -109,41 +112,38 @@ def mix(
     ).withColumn("row", F.monotonically_increasing_id())
     sized, seen = stage_observed(sized, "sizes", rows=F.count("*"), words=F.coalesce(F.sum("size"), F.lit(0)))
 
-    sources = _ranked(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    sources = _ranked(sized.groupBy("origin", "source").agg(F.sum("size").alias("source_size")))
     turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    weighted = stage(sources.select("source", "source_size", turn.alias("weight")), "weights")
+    weighted = stage(sources.select("origin", "source_size", turn.alias("weight")), "weights")
     filled = stage(water_fill(weighted, seen["words"], max_epochs), "targets")
 
     # whole repetitions, and the words left for a sample of documents; 10^-9 absorbs rounding
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate + 1e-9).cast("long")
     rest = F.greatest(F.lit(0), F.round(F.col("target")).cast("long") - whole * F.col("source_size"))
-    plan = filled.select(
-        F.col("source").alias("own"), "source_size", "target", whole.alias("whole"), rest.alias("rest")
-    )
+    plan = filled.select("origin", "source_size", "target", whole.alias("whole"), rest.alias("rest"))
 
     slots = max(1, -(-seen["rows"] // SLOT_ROWS))
     slot = F.floor(F.col("at") / F.lit(float(1 << HASH_BITS)) * slots).cast("int")
     slotted = sized.withColumn("slot", F.least(slot, F.lit(slots - 1)))
-    earlier = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("origin").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        slotted.groupBy("source", "slot")
+        slotted.groupBy("origin", "slot")
         .agg(F.sum("size").alias("words"))
-        .select(F.col("source").alias("own"), F.col("slot").alias("of"), F.sum("words").over(earlier).alias("start"))
-        .join(plan.withColumnRenamed("own", "of_source"), F.col("own").eqNullSafe(F.col("of_source")))
-        .drop("of_source")
+        .select("origin", "slot", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("start"))
+        .join(plan, "origin")
     )
-    in_slot = Window.partitionBy("source", "slot").orderBy("at", "id", "row")
+    in_slot = Window.partitionBy("origin", "slot").orderBy("at", "id", "row")
     running = F.sum("size").over(in_slot.rowsBetween(Window.unboundedPreceding, 0))
-    placed = slotted.withColumn("before", running - F.col("size")).join(
-        starts, F.col("source").eqNullSafe(F.col("own")) & (F.col("slot") == F.col("of"))
-    )
-    left = F.col("rest") - F.coalesce("start", F.lit(0)) - F.col("before")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), left))
+    placed = slotted.withColumn("before", running - F.col("size")).join(starts, ["origin", "slot"])
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("start") - F.col("before")))
     return (
         placed.withColumn("part", part)
         .withColumn("taken", F.col("whole") * F.col("size") + F.col("part"))
-        .select(*[F.col(f"keep_{name}").alias(name) for name in kept], "size", "source_size", "target", "whole", "part", "taken")
+        .select(
+            *[F.col(f"`keep_{name}`").alias(name) for name in kept],
+            *["size", "source_size", "target", "whole", "part", "taken"],
+        )
     )
 
 
@@ -154,14 +154,18 @@ def first_words(text: Column, n: Column) -> Column:
     return F.array_join(F.slice(words, F.lit(1), n.cast("int")), "")
 
 
-def repeated(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The mix itself: a row of ``columns`` per whole repetition, and one per partial repetition
-    with the first ``part`` words of its text."""
+def mixed_documents(
+    docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_epochs: float = 3.0, seed: int = 42
+) -> DataFrame:
+    """The mix itself, in the columns of ``docs``: a row per whole repetition, and one per partial
+    repetition with the first ``part`` words of its text."""
+    row = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), "doc_id", "text", "source")
+    mixed = mix(row, weights, max_epochs, seed, keep=["row"])
     copies = F.col("whole") + (F.col("part") > 0).cast("long")
     cut = (F.col("copy") > F.col("whole")) & (F.col("part") < F.col("size"))
-    text = F.when(cut, first_words(F.col("text"), F.col("part"))).otherwise(F.col("text"))
+    text = F.when(cut, first_words(F.col("row.text"), F.col("part"))).otherwise(F.col("row.text"))
     return (
         mixed.filter(copies > 0)
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
-        .select(*[text.alias("text") if name == "text" else F.col(name) for name in columns])
+        .select(*[text.alias("text") if name == "text" else F.col(f"row.`{name}`") for name in docs.columns])
     )

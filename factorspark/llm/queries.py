@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorspark.llm import imatch, langid, mixture, packing, simhash, tokencount, topk, toxicity
+from factorspark.llm import imatch, langid, mixture, packing, quality, simhash, tokencount, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,15 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), path, end_id=2, capacity=1024)
 
 
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.derive(warc.responses(_table(spark, sf_dir, "pages")))
+    return records.withColumnRenamed("key", "page_id")
+
+
+def op6_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_imatch_fingerprints": op3_imatch_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_warc_derivatives": op5_warc_derivatives,
+    "op6_site_quality": op6_site_quality,
     "op7_byte_cnn_language": op7_byte_cnn_language,
     "op8_simhash_components": op8_simhash_components,
     "op9_token_counts": op9_token_counts,

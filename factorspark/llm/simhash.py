@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -181,14 +182,43 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFra
 
 
 def component_of(marked: DataFrame, radius: int) -> DataFrame:
-    """``marked(doc_id, fp)``, staged, to one row ``(fp, component_id)`` per fingerprint."""
+    """``marked(doc_id, fp)``, staged, to one row ``(fp, root, component_id)`` per fingerprint."""
     nodes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     roots = connected_components(near_links(nodes.select("fp"), radius))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.join(smallest, "root").select("fp", "component_id")
+    return rooted.join(smallest, "root").select("fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the smallest doc_id stays.
+
+    A null doc_id stays only if its component has no other, and of repeated rows one stays.
+    """
+
+    @F.pandas_udf("long")
+    def marked_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            found = [fingerprint(text.encode() if text else None, width) for text in texts]
+            yield pd.Series(np.array(found, np.uint64).view(np.int64))
+
+    marked = stage(
+        docs.select(
+            F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+            "doc_id",
+            marked_text("text").alias("fp"),
+            F.monotonically_increasing_id().alias("place"),
+        ),
+        "marked",
+    )
+    placed = marked.select("doc_id", "fp", "place").join(component_of(marked.select("doc_id", "fp"), radius), "fp")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place")).alias("first")
+    kept = placed.groupBy("root").agg(first).select(F.col("root").alias("of"), F.col("first.place").alias("stays"))
+    # the rows that go are the smaller table
+    gone = placed.join(kept, F.col("root") == F.col("of")).filter("place != stays").select("place")
+    return marked.join(gone, "place", "left_anti").select("row.*")
 
 
 def hex_fingerprint(fp: str = "fp"):
