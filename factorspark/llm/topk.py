@@ -174,12 +174,12 @@ def _tie_order(ids: pa.Array, rows: np.ndarray) -> np.ndarray:
 def _searched(shards: DataFrame, blocks: DataFrame, key: list[str], k: int) -> DataFrame:
     """Search of every pair of shard and block that share ``key``."""
 
-    def hits(names: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    def hits(left: pa.Table, right: pa.Table) -> pa.Table:
         empty = {"query": [], "query_id": [], "vec_id": [], "row": [], "score": []}
         schema = pa.schema([(name, pa.int64()) for name in empty])
         if not left.num_rows or not right.num_rows:
             return pa.table(empty, schema=schema)
-        left, right = left.sort_by("row"), right.sort_by("row")
+        left, right = left.sort_by("row"), right.rename_columns([x.removeprefix("q_") for x in right.column_names]).sort_by("row")
         dim = left["dim"][0].as_py()
         ids = left["vec_id"].combine_chunks()
         rows = left["row"].to_numpy()
@@ -193,7 +193,10 @@ def _searched(shards: DataFrame, blocks: DataFrame, key: list[str], k: int) -> D
             [pa.array(own[who]), asked, ids.take(pa.array(point)), pa.array(rows[point]), pa.array(score)], schema=schema
         )
 
-    return shards.groupBy(*key).cogroup(blocks.groupBy(*key)).applyInArrow(hits, _HITS)
+    # both sides come from the staged vectors: other names tell their columns apart
+    asking = blocks.select(*[F.col(name).alias(f"q_{name}") for name in blocks.columns])
+    right = asking.groupBy(*[f"q_{name}" for name in key])
+    return shards.groupBy(*key).cogroup(right).applyInArrow(hits, _HITS)
 
 
 def top_k(

@@ -1,0 +1,338 @@
+"""Operators with one right answer, against plain computations."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from factorspark.llm import components, imatch, mixture, packing, simhash, tokencount, topk
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def union_find(links, nodes):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+# components
+
+
+def test_components_of_chains_stars_and_noise(spark):
+    random_ = random.Random(3)
+    links = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(501, 700)]
+    links += [(random_.randint(1000, 1100), random_.randint(1000, 1100)) for _ in range(60)] + [(-5, 3), (3, -5), (9, 9)]
+    got = components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    real = [(a, b) for a, b in links if a != b]
+    assert {r.node: r.root for r in got} == union_find(real, {n for link in real for n in link})
+    assert len(got) == len({r.node for r in got})
+
+
+def test_components_without_links(spark):
+    assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# top k
+
+
+def brute_top_k(rows, k):
+    sound = [
+        (i, [int(np.floor(64 * float(np.float32(x)))) for x in v])
+        for i, v in rows
+        if v and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    out = []
+    for n, (q, v) in enumerate(sound):
+        if q is None or q % 20:
+            continue
+        scored = [
+            (-sum(a * b for a, b in zip(v, w)), i is None, i or 0)
+            for m, (i, w) in enumerate(sound)
+            if m != n and len(w) == len(v)
+        ]
+        out += [(q, r + 1, None if t else i, -s) for r, (s, t, i) in enumerate(sorted(scored)[:k])]
+    return Counter(out)
+
+
+@pytest.mark.parametrize("shard_rows, block_rows", [(10_000, 10_000), (64, 7)])
+def test_top_k_equals_brute_force(spark, shard_rows, block_rows):
+    random_ = np.random.default_rng(5)
+    rows = [(k, random_.normal(0, 0.2, 12).astype(np.float32).tolist()) for k in range(300)]
+    rows += [(1000 + k, [0.5] * 12) for k in range(60)]  # ties, also among queries
+    rows += [(2000, [0.1, 0.2]), (2001, [0.3, -0.2]), (2020, [0.0, 0.0])]  # another length
+    rows += [(3000, None), (3020, []), (3040, [None] * 12), (3060, [float("nan")] * 12), (3080, [float("inf")] * 12)]
+    rows += [(40, [0.9] * 12), (None, [0.7] * 12), (4000, [3e4] * 12), (4020, [-3e4] * 12)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    frame = frame.withColumns({"row": F.lit("x"), "score": F.lit(1), "shard": F.lit(0)})
+    got = topk.top_k(frame, F.col("vec_id") % 20 == 0, 20, 64, shard_rows, block_rows).collect()
+    assert Counter((r.query_id, r.rank, r.vec_id, r.score) for r in got) == brute_top_k(rows, 20)
+
+
+def test_top_k_of_nothing(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert topk.top_k(empty, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_ball_tree_bounds_hold():
+    random_ = np.random.default_rng(2)
+    points = random_.integers(-50, 50, (700, 8))
+    queries = random_.integers(-50, 50, (20, 8)).astype(float)
+    tree = topk.BallTree(points, leaf_rows=32)
+    bounds = tree.bounds(list(range(len(tree.centre))), queries, np.linalg.norm(queries, axis=1))
+    for node, (start, end) in enumerate(tree.range):
+        assert (queries @ points[tree.order[start:end]].T).max(axis=1).tolist() <= bounds[:, node].tolist()
+
+
+# simhash
+
+
+def plain_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[k : k + 4]) for k in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("shard_rows", [simhash.SHARD_ROWS, 3])
+def test_simhash_equals_brute_force(messy, messy_rows, monkeypatch, shard_rows):
+    monkeypatch.setattr(simhash, "SHARD_ROWS", shard_rows)
+    marks = {text: plain_fingerprint(text) for _, text, *_ in messy_rows}
+    nodes = sorted(set(marks.values()))
+    near = [(a, b) for a in nodes for b in nodes if a < b and (a ^ b).bit_count() <= 4]
+    part = union_find(near, nodes)
+    first = {}
+    for doc_id, text, *_ in messy_rows:
+        if doc_id is not None:
+            first[part[marks[text]]] = min(doc_id, first.get(part[marks[text]], doc_id))
+    expected = Counter((i, f"{marks[t]:016x}", first.get(part[marks[t]])) for i, t, *_ in messy_rows)
+    got = simhash.near_duplicates(messy).select("doc_id", simhash.hex_fingerprint().alias("f"), "component_id").collect()
+    assert Counter(tuple(r) for r in got) == expected
+
+
+def test_simhash_matches_the_hash_of_spark(spark):
+    text = "Alpha beta GAMMA delta"
+    own = spark.range(1).select(F.xxhash64(F.lit(text.lower())).alias("h")).first().h
+    assert simhash.fingerprint(text.encode(), 4) == own % 2**64
+
+
+def test_bk_tree_links_connect_what_is_near():
+    random_ = np.random.default_rng(1)
+    centres = random_.integers(0, 2**63, 6).astype(np.uint64)
+    flips = (np.uint64(1) << random_.integers(0, 64, (200, 3)).astype(np.uint64)).astype(np.uint64)
+    points = np.unique(centres[random_.integers(0, 6, 200)] ^ flips[:, 0] ^ flips[:, 1] ^ flips[:, 2])
+    ids = range(len(points))
+    near = [(a, b) for a in ids for b in ids if a < b and int(points[a] ^ points[b]).bit_count() <= 4]
+    links = simhash.bk_links(points, 4)
+    assert union_find(links, ids) == union_find(near, ids)
+    assert len(links) == len(points) - len(set(union_find(near, ids).values()))  # a forest
+    assert all(int(points[a] ^ points[b]).bit_count() <= 4 for a, b in links)
+
+    def check(node):
+        root, children = node
+        for edge, child in children.items():
+            assert int(points[root] ^ points[child[0]]).bit_count() == edge
+            check(child)
+
+    check(simhash.bk_tree(points))
+
+
+def test_one_of_each_keeps_columns_and_one_row_per_component(messy, messy_rows):
+    kept = simhash.one_of_each(messy)
+    assert kept.columns == messy.columns
+    found = simhash.near_duplicates(messy).collect()
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == sorted({r.component_id for r in found if r.component_id is not None})
+
+
+def test_simhash_of_nothing(no_docs):
+    assert simhash.near_duplicates(no_docs).count() == 0
+    assert simhash.one_of_each(no_docs).count() == 0
+
+
+# token counts and packing
+
+
+def test_token_counts_equal_the_tokenizer(messy, messy_rows):
+    tokenizer = Tokenizer.from_file(WORDS)
+    expected = Counter(
+        (i, len((t or "").encode()), len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t, *_ in messy_rows
+    )
+    assert Counter(tuple(r) for r in tokencount.token_counts(messy, WORDS).collect()) == expected
+
+
+def test_many_occurrences_take_several_postings(spark):
+    block = tokencount._Block()
+    block.add(1, 5, "x", ["x"] * (3 << tokencount.TIMES_BITS))
+    batch = block.packed(0)
+    posted = np.frombuffer(batch.column(2)[0].as_py(), "<u4")
+    assert (posted & ((1 << tokencount.TIMES_BITS) - 1)).sum() == 3 << tokencount.TIMES_BITS
+
+
+def test_token_counts_of_nothing(no_docs):
+    assert tokencount.token_counts(no_docs, WORDS).count() == 0
+
+
+@pytest.mark.parametrize("ranks, shard_rows", [(RANKS, packing.SHARD_ROWS), (None, 10)])
+def test_packing_is_exact_and_gapless(messy, messy_rows, ranks, shard_rows):
+    tokenizer = Tokenizer.from_file(BYTES)
+    got = packing.pack(messy, BYTES, ranks, shard_rows=shard_rows).toPandas()
+    expected = Counter()
+    for i, text, *_ in messy_rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        cuts = [0, *range(len(ids) % 1024 or 1024, len(ids), 1024), len(ids)]
+        cuts = sorted(set(c for c in cuts if c <= len(ids)))
+        for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            expected[i, piece, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    found = Counter(tuple(None if x != x else int(x) for x in row) for row in got[columns].to_numpy().tolist())
+    assert found == Counter({(None if k[0] is None else int(float(k[0])), *k[1:]): n for k, n in expected.items()})
+    for _, bin_ in got.groupby("sequence_id"):
+        bin_ = bin_.sort_values("offset")
+        assert bin_.length.sum() <= 1024
+        assert (bin_.offset.to_numpy() == np.r_[0, np.cumsum(bin_.length)[:-1]]).all()
+
+
+def test_packing_of_nothing(no_docs):
+    assert packing.pack(no_docs, BYTES).count() == 0
+
+
+def test_local_search_empties_a_bin():
+    # best fit in decreasing length leaves three bins where two are enough
+    lengths = [6, 5, 4, 2, 2, 1]
+    first = packing.best_fit(lengths, 10)
+    bins = packing.local_search([list(b) for b in [[6, 2], [5, 2, 1], [4]]], 10)
+    assert len(first) >= 2 and len(bins) == 2
+    assert sorted(x for b in bins for x in b) == sorted(lengths) and all(sum(b) <= 10 for b in bins)
+
+
+def test_local_search_never_grows_and_squares_rise():
+    random_ = random.Random(4)
+    for _ in range(20):
+        lengths = sorted((random_.randint(100, 700) for _ in range(200)), reverse=True)
+        before = packing.best_fit(lengths, 1024)
+        after = packing.local_search([list(b) for b in before], 1024)
+        assert len(after) <= len(before) and max(map(sum, after)) <= 1024
+        assert sorted(x for b in after for x in b) == sorted(lengths)
+        assert sum(sum(b) ** 2 for b in after) >= sum(sum(b) ** 2 for b in before)
+
+
+# I-Match
+
+
+def test_imatch_texts_and_neighbours(messy, messy_rows, monkeypatch):
+    monkeypatch.setattr(imatch, "DOCUMENTS_PER_RANGE", 5)
+    unique = messy.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    got = {r.doc_id: r for r in imatch.fingerprints(unique, min_share=0.02, max_share=0.9).collect()}
+    texts = {i: t or "" for i, t, *_ in messy_rows if i is not None}
+    order = sorted(texts)
+    assert sorted(got) == order
+    same = {}
+    for i, following in zip(order, order[1:] + order[:1]):
+        text, half = texts[i], len(texts[i]) // 2
+        edited = text[: len(text) - half] + texts[following][:half]
+        assert got[i].n_chars == len(text)
+        assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        same.setdefault(text, set()).add(got[i].fingerprint)
+        assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
+        assert (got[i].near_next == 1) >= (texts[following] == text)
+    assert all(len(prints) == 1 for prints in same.values())
+
+
+def test_imatch_edited_fingerprint_is_that_of_the_text(spark, messy, monkeypatch):
+    found = imatch.fingerprints(messy).filter("doc_id between 100 and 139").collect()
+    texts = {r.doc_id: r.text for r in messy.filter("doc_id between 100 and 140").collect()}
+    # as documents of their own, in a lexicon that has every term, the edited texts hash the same
+    rows = [(i, texts[i]) for i in range(100, 140)]
+    rows += [(1000 + i, texts[i][: len(texts[i]) - len(texts[i]) // 2] + texts[i + 1][: len(texts[i]) // 2]) for i in range(100, 139)]
+    got = {r.doc_id: r for r in imatch.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), 0.0, 1.0).collect()}
+    assert all(got[i].edited_fingerprint == got[1000 + i].fingerprint for i in range(100, 139))
+    assert len(found) == 40
+
+
+def test_imatch_without_broadcast_and_with_repeated_rows(messy, messy_rows, monkeypatch):
+    one = sorted(map(tuple, imatch.fingerprints(messy).collect()), key=repr)
+    monkeypatch.setattr(imatch, "BROADCAST_TERMS", 0)
+    assert sorted(map(tuple, imatch.fingerprints(messy).collect()), key=repr) == one
+    assert len(one) == len(messy_rows)
+
+
+def test_imatch_of_nothing_and_of_one(spark, no_docs):
+    assert imatch.fingerprints(no_docs).count() == 0
+    (only,) = imatch.fingerprints(spark.createDataFrame([(3, "ab cd")], "doc_id long, text string")).collect()
+    assert only.near_next == 1.0 and only.edited_sha256 == hashlib.sha256(b"ab ab").hexdigest()
+
+
+# mixture
+
+
+def plain_targets(sizes, weights, most):
+    share, caps = {}, {k: most * s for k, s in sizes.items()}
+    open_, left = set(sizes), float(sum(sizes.values()))
+    while True:
+        total = sum(weights[k] for k in open_)
+        share = {k: left * weights[k] / total for k in open_} if total else {}
+        over = {k for k in open_ if share[k] > caps[k]}
+        if not over:
+            return {k: share.get(k, caps[k]) for k in sizes}
+        left -= sum(caps[k] for k in over)
+        open_ -= over
+
+
+@pytest.mark.parametrize("slot_rows", [mixture.SLOT_ROWS, 5])
+def test_mixture_meets_targets(messy, messy_rows, monkeypatch, slot_rows):
+    monkeypatch.setattr(mixture, "SLOT_ROWS", slot_rows)
+    mixed = mixture.mix(messy, keep=["doc_id", "source"])
+    got = mixed.collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, mixture.mix(messy, keep=["doc_id", "source"]).collect()), key=repr)
+    words = lambda text: len((text or "").encode().split())
+    assert Counter((r.doc_id, r.size) for r in got) == Counter((i, words(t)) for i, t, *_ in messy_rows)
+    sizes = Counter()
+    for _, text, _, source, _ in messy_rows:
+        sizes[source] += words(text)
+    ranked = sorted(sizes, key=lambda s: (s is None, s or ""))
+    targets = plain_targets(sizes, {s: (5.0, 2.0, 1.0)[k % 3] for k, s in enumerate(ranked)}, 3.0)
+    taken = Counter()
+    for r in got:
+        assert r.target == pytest.approx(targets[r.source]) and r.source_size == sizes[r.source]
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - targets[s]) <= 0.51 for s in sizes)
+
+
+def test_mixed_documents_have_the_words_taken(messy):
+    taken = mixture.mix(messy).agg(F.sum("taken")).first()[0]
+    out = mixture.mixed_documents(messy)
+    assert out.columns == messy.columns
+    assert out.agg(F.sum(mixture.word_count("text"))).first()[0] == taken
+
+
+def test_mixture_of_nothing(no_docs):
+    assert mixture.mix(no_docs).count() == 0
+    assert mixture.mixed_documents(no_docs).count() == 0
+
+
+def test_first_words(spark):
+    text = F.lit("  a bb\t\nccc  d ")
+    got = spark.range(1).select(*[mixture.first_words(text, F.lit(n)) for n in (1, 2, 3, 4)]).first()
+    assert [x.split() for x in got] == [["a"], ["a", "bb"], ["a", "bb", "ccc"], ["a", "bb", "ccc", "d"]]
