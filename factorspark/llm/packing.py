@@ -10,54 +10,65 @@ fraction of one bin unused, which at this shard size is below a thousandth of it
 
 from __future__ import annotations
 
+import base64
+import struct
 import zlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factorspark.llm.pretokens import BYTE_BPE, is_plain, load_tokenizer, special_strings
+from factorspark.llm.pretokens import BYTE_PATTERN, is_plain, load_tokenizer, special_strings, worker_state
 from factorspark.sources.staging import stage_observed
 
 SHARD_ROWS = 8192
-CACHE_PIECES = 400_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = f"{_PIECES}, sequence_id long, offset long"
 
 
-def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int) -> DataFrame:
-    """``docs(doc_id, text)`` to one row per piece: place in the document, length and CRC of its ids.
+def encoder(tokenizer_path: str, ranks_path: str | None) -> Callable[[str], np.ndarray]:
+    """Ids of a text by the ``tokenizers`` file.
 
-    Ids of a pre-token are looked up once and kept, up to ``CACHE_PIECES`` of them.
+    With the same vocabulary as a ``tiktoken`` file of ranks, plain texts go through that library,
+    which is faster and gives the same ids; texts with special strings or other characters do not.
     """
+    tokenizer = load_tokenizer(tokenizer_path)
+    specials = special_strings(tokenizer)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load_tokenizer(tokenizer_path)
-        specials = special_strings(tokenizer)
-        known: dict[str, bytes] = {}
-        end = np.array([end_id], "<u4").tobytes()
-
-        def packed_ids(text: str) -> bytes:
-            if not is_plain(text, specials):
-                return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            words = BYTE_BPE.findall(text)
-            new = list({word for word in words if word not in known})
-            if new:
-                if len(known) + len(new) > CACHE_PIECES:
-                    known.clear()
-                    new = list(set(words))
-                for word, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                    known[word] = np.array(found.ids, "<u4").tobytes()
-            return b"".join(map(known.__getitem__, words))
+    def slow(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    if ranks_path is None:
+        return slow
+    import tiktoken
+
+    with open(ranks_path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    ordinary = tiktoken.Encoding("ranks", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(text: str) -> np.ndarray:
+        return ordinary.encode_to_numpy(text, disallowed_special=()).astype("<u4") if is_plain(text, specials) else slow(text)
 
+    return ids
+
+
+def tokenized(docs: DataFrame, tokenizer_path: str, ranks_path: str | None, end_id: int, capacity: int) -> DataFrame:
+    """``docs(doc_id, text)`` to one row per piece: place in the document, length and CRC of its ids."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = worker_state("encoders")
+        if (tokenizer_path, ranks_path) not in kept:
+            kept[tokenizer_path, ranks_path] = encoder(tokenizer_path, ranks_path)
+        encode = kept[tokenizer_path, ranks_path]
+        end = struct.pack("<I", end_id)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = packed_ids(text or "") + end
+                ids = encode(text or "").tobytes() + end
                 n = len(ids) // 4
                 start, length = 0, n % capacity or min(n, capacity)
                 piece = 0
@@ -223,18 +234,24 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack(
-    docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 1024, shard_rows: int = SHARD_ROWS
+    docs: DataFrame,
+    tokenizer_path: str,
+    ranks_path: str | None = None,
+    end_id: int = 2,
+    capacity: int = 1024,
+    shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """Pack ``docs(doc_id, text)`` into sequences of at most ``capacity`` tokens, one row per piece.
 
     Returns ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``. Null and empty texts
     have the end id alone; repeated rows are packed as often as they occur; null doc_ids stay; an
     empty table gives an empty result; other columns are ignored. ``tokenizer_path`` is a byte BPE
-    file of ``tokenizers``, readable on every executor.
+    file of ``tokenizers``, ``ranks_path`` optionally the same vocabulary for ``tiktoken``; executors
+    have to be able to read both.
     """
     short = F.col("length") < capacity
     pieces, seen = stage_observed(
-        tokenized(docs, tokenizer_path, end_id, capacity).withColumn("row", F.monotonically_increasing_id()),
+        tokenized(docs, tokenizer_path, ranks_path, end_id, capacity).withColumn("row", F.monotonically_increasing_id()),
         "pieces",
         short=F.count_if(short),
     )

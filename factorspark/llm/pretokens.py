@@ -1,6 +1,6 @@
-"""Pre-tokens of two public tokenizers, split fast where that is certain to be exact.
+"""Texts on which a faster way than the tokenizer itself is certain to be exact.
 
-Texts made only of plain characters (ASCII, Latin letters and general punctuation) are split with
+Texts made only of plain characters (ASCII, Latin letters and general punctuation) can be split with
 ``re``: on them letters, numbers and white space mean the same to ``re`` and to the tokenizer's own
 rules, and composition to NFC changes nothing. Any other text, and one that spells a special token,
 goes through the tokenizer itself.
@@ -10,20 +10,21 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 
-# Latin letters and numbers up to U+024F, and the patterns of the two vocabularies.
+# Latin letters and numbers up to U+024F, and the patterns of two public vocabularies.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 NUMBERS = "0-9²³¹¼-¾"
 # without U+0130, whose lower case has two characters, and without other line and space signs
 NOT_PLAIN = re.compile(r"[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
-BYTE_BPE = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\\s{LETTERS}{NUMBERS}]+|\\s+(?!\\S)|\\s+"
-)
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_BPE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+")
 
 
 def is_plain(text: str, specials: tuple[str, ...]) -> bool:
-    return NOT_PLAIN.search(text) is None and not any(special in text for special in specials)
+    plain = text.isascii() and "\x1c" not in text and "\x1d" not in text and "\x1e" not in text and "\x1f" not in text
+    return (plain or NOT_PLAIN.search(text) is None) and not any(special in text for special in specials)
 
 
 def load_tokenizer(path: str):
@@ -36,3 +37,12 @@ def load_tokenizer(path: str):
 
 def special_strings(tokenizer) -> tuple[str, ...]:
     return tuple(token.content for token in tokenizer.get_added_tokens_decoder().values())
+
+
+def worker_state(name: str) -> dict:
+    """A dict that lives as long as the Python worker, over all the tasks it runs.
+
+    Functions sent by value are new in every task, and so would be a cache of their own.
+    """
+    module = sys.modules.setdefault("factorspark_worker_state", types.ModuleType("factorspark_worker_state"))
+    return module.__dict__.setdefault(name, {})

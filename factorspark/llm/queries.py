@@ -28,8 +28,8 @@ def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(_table(spark, sf_dir, "documents"), path, end_id=2, capacity=1024)
+    paths = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
+    return packing.pack(_table(spark, sf_dir, "documents"), *paths, end_id=2, capacity=1024)
 
 
 def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
