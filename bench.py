@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -19,12 +20,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import SparkSession
 
+from factorspark.sources.staging import release
 from workload.inputs import Inputs
 from workload.queries import QUERIES, callables, comparable
 
 FLAGSHIP = "mart_factor_summary"
 # attributes of a run that write a stored stage
-STAGES = ["returns", "market", "_month_end", "mart_scores_monthly"]
+STAGES = ["returns", "market", "month_end", "mart_scores_monthly"]
 HEADLINE = [
     "price_panel",
     "consensus_prices",
@@ -44,6 +46,7 @@ HEADLINE = [
     "parity_rows",
     "factor_measures",
     "cumulative_spread_spine",
+    "pipeline_build",
 ]
 
 
@@ -58,6 +61,8 @@ def session() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="factorspark-bench-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="factorspark-bench-"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -99,6 +104,7 @@ def main() -> None:
             }
         )
     )
+    release(spark)
     spark.stop()
 
 

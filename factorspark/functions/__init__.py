@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from factorspark.params import WINSOR_LIMIT
 
 __all__ = [
+    "DATE_FORMATS",
     "clean_ticker",
     "growth",
     "is_weekday",
@@ -51,8 +54,9 @@ def winsorised(z: Column, limit: float = WINSOR_LIMIT) -> Column:
 
 
 def significant(x: Column, digits: int = 10) -> Column:
-    """Round a double to ``digits`` significant digits."""
-    return F.format_string(f"%.{digits - 1}e", x).cast("double")
+    """Round a double to ``digits`` significant digits; NULL, NaN and infinity stay."""
+    finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    return F.when(finite, F.format_string(f"%.{digits - 1}e", x).try_cast("double")).otherwise(x)
 
 
 # --- lenient parsing of raw input -------------------------------------------------------------
@@ -71,15 +75,26 @@ def clean_ticker(col: Column) -> Column:
     return F.upper(F.btrim(col.cast("string"), F.lit(_SPACE)))
 
 
-def parse_date(col: Column, dtype: str) -> Column:
-    """Date part of a date, timestamp or ISO text column; anything else becomes NULL."""
+# Text dates besides ISO that are read unless other formats are asked for: no two fit the same text.
+DATE_FORMATS = ("yyyyMMdd", "yyyy/M/d", "MMM d, yyyy", "d MMM yyyy", "d-MMM-yyyy")
+
+
+def parse_date(col: Column, dtype: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Date part of a date, timestamp or text column; anything else becomes NULL.
+
+    Text is ISO, with or without a time, or in the first of ``formats`` that fits. A timestamp with
+    time zone gives its date in the session's zone; one without gives its own."""
     if dtype == "date":
         return col
     if dtype.startswith("timestamp"):
         return F.to_date(col)
     if dtype == "string":
+        # eight digits are a date in one format, not a year of eight digits
+        digits = col.rlike(r"^\s*\d{5,}\s*$")
         # without time zone: the wall-clock date in the text is kept, whatever the session zone
-        return col.try_cast("timestamp_ntz").cast("date")
+        iso = F.when(~digits, col.try_cast("timestamp_ntz").cast("date"))
+        text = F.btrim(col, F.lit(_SPACE))
+        return F.coalesce(iso, *[F.try_to_date(text, f) for f in formats])
     return F.lit(None).cast("date")
 
 

@@ -1,8 +1,8 @@
 """Exact ranks inside groups of any size.
 
-A ranking window sorts each group in one task. That is the cheapest plan while groups are small,
-so group sizes are counted first; if the largest one exceeds the limit, positions come from one
-range-partitioned sort instead, which splits a group over as many tasks as it needs.
+A ranking window would sort each group in one task. Here one range-partitioned sort over
+(group, order) splits a group over as many tasks as it needs; the sorted runs are stored, and a
+table with one row per group and run says where each run starts in its group.
 """
 
 from __future__ import annotations
@@ -15,39 +15,35 @@ from pyspark.sql import functions as F
 from factorspark.sources.staging import stage
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Row count of the largest group (a single value on the driver)."""
-    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-
-
-def _groups_fit(df: DataFrame, group: Sequence[str], limit: int, max_rows: int | None) -> bool:
-    """Whether no group exceeds ``limit``: known from the total, or counted."""
-    return (max_rows is not None and max_rows <= limit) or largest_group(df, group) <= limit
-
-
-def sorted_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], column: str) -> DataFrame:
-    """Add the 1-based position of every row in its group under ``order``.
+def _sorted_runs(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows with ``_run`` and ``_seq``: their run, and a number that rises along it.
 
     ``order`` has to identify a row within its group; then the range partitions are balanced even
-    when most rows tie on the leading column. The sorted runs are staged before they are counted:
-    a second evaluation could draw other range bounds.
+    when most rows tie on the leading column. The runs are staged before they are counted: a second
+    evaluation could draw other range bounds.
     """
-    runs = stage(
+    return stage(
         df.repartitionByRange(*group, *order)
         .sortWithinPartitions(*group, *order)
         .withColumns({"_run": F.spark_partition_id(), "_seq": F.monotonically_increasing_id()}),
         "sorted-runs",
     )
-    # one row per (group, run): at most as many as there are groups plus range partitions
+
+
+def _starts(runs: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``(group, _run, _shift)``: ``_seq + _shift`` is the 1-based position in the group. At most as
+    many rows as there are groups plus range partitions."""
     sizes = runs.groupBy(*group, "_run").agg(F.count("*").alias("_rows"), F.min("_seq").alias("_first"))
     earlier = Window.partitionBy(*group).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1
-    offsets = sizes.select(*group, "_run", shift.alias("_shift"))
-    return (
-        runs.join(offsets, [*group, "_run"])
-        .withColumn(column, F.col("_seq") + F.col("_shift"))
-        .drop("_run", "_seq", "_shift")
-    )
+    return sizes.select(*group, "_run", shift.alias("_shift"))
+
+
+def sorted_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], column: str) -> DataFrame:
+    """Add the 1-based position of every row in its group under ``order``."""
+    runs = _sorted_runs(df, group, order)
+    placed = runs.join(_starts(runs, group), [*group, "_run"])
+    return placed.withColumn(column, F.col("_seq") + F.col("_shift")).drop("_run", "_seq", "_shift")
 
 
 def _bucket_of(position: Column, size: Column, buckets: int) -> Column:
@@ -60,43 +56,62 @@ def _bucket_of(position: Column, size: Column, buckets: int) -> Column:
     )
 
 
-def ntile(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    buckets: int,
-    column: str,
-    max_group_rows: int,
-    max_rows: int | None = None,
-) -> DataFrame:
-    """Add NTILE(``buckets``) per group; ``order`` has to identify a row within its group.
-    ``max_rows`` is an upper bound of the row count, if one is known."""
-    if _groups_fit(df, group, max_group_rows, max_rows):
-        window = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(column, F.ntile(buckets).over(window))
-    placed = sorted_positions(df, group, order, "_position")
-    sizes = placed.groupBy(*group).agg(F.count("*").alias("_size"))
-    bucket = _bucket_of(F.col("_position"), F.col("_size"), buckets)
-    return placed.join(sizes, list(group)).withColumn(column, bucket.cast("int")).drop("_position", "_size")
-
-
-def min_ranks(
-    df: DataFrame,
-    group: Sequence[str],
-    ranks: Mapping[str, str],
-    row_key: str,
-    max_group_rows: int,
-    max_rows: int | None = None,
-) -> DataFrame:
-    """Add RANK() per group for every ``rank column: value column`` of ``ranks``; ties share the
-    lowest rank. ``row_key`` identifies a row within its group, ``max_rows`` is as in ``ntile``."""
-    if _groups_fit(df, group, max_group_rows, max_rows):
-        return df.withColumns(
-            {name: F.rank().over(Window.partitionBy(*group).orderBy(value)) for name, value in ranks.items()}
-        )
+def ntile(df: DataFrame, group: Sequence[str], order: Sequence[str], buckets: int, column: str) -> DataFrame:
+    """Add NTILE(``buckets``) per group; ``order`` has to identify a row within its group."""
+    runs = _sorted_runs(df, group, order)
+    sizes = runs.groupBy(*group).agg(F.count("*").alias("_size"))
+    starts = _starts(runs, group).join(sizes, list(group))
+    bucket = _bucket_of(F.col("_seq") + F.col("_shift"), F.col("_size"), buckets)
+    return (
+        runs.join(starts, [*group, "_run"])
+        .withColumn(column, bucket.cast("int"))
+        .drop("_run", "_seq", "_shift", "_size")
+    )
+
+
+def _run_heads(runs: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """``(group, _run, _shift, _head, _head_rank)``: the first value of each run, and the rank of its
+    ties, which may have begun in an earlier run. One row per group and run."""
+    ends = runs.groupBy(*group, "_run").agg(
+        F.min_by(value, "_seq").alias("_head"), F.max_by(value, "_seq").alias("_tail"), F.min("_seq").alias("_first")
+    )
+    # the first row of the last value: ties at the end of a run may go on in the next
+    last = (
+        runs.join(ends.select(*group, "_run", "_tail"), [*group, "_run"])
+        .filter(F.col(value) == F.col("_tail"))
+        .groupBy(*group, "_run")
+        .agg(F.min("_seq").alias("_tail_seq"))
+    )
+    along = Window.partitionBy(*group).orderBy("_run")
+    goes_on = F.coalesce(F.lag("_tail").over(along) == F.col("_head"), F.lit(False))
+    table = (
+        ends.join(last, [*group, "_run"])
+        .join(_starts(runs, group), [*group, "_run"])
+        .withColumn("_goes_on", goes_on)
+    )
+    # where the last value of a run began: known in the run itself unless all of it goes on
+    whole = F.col("_goes_on") & (F.col("_head") == F.col("_tail"))
+    began = F.when(~whole, F.col("_tail_seq") + F.col("_shift"))
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.when(F.col("_goes_on"), F.last(began, ignorenulls=True).over(before)).otherwise(F.col("_first") + F.col("_shift"))
+    return table.select(*group, "_run", "_shift", "_head", rank.alias("_head_rank"))
+
+
+def min_ranks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str], row_key: str) -> DataFrame:
+    """Add RANK() per group, as bigint, for every ``rank column: value column`` of ``ranks``; ties
+    share the lowest rank. ``row_key`` identifies a row within its group; values are not NULL.
+
+    Ties are told inside their run, and through the table of runs where they span several, so rows
+    that share a value never meet in one task.
+    """
     for name, value in ranks.items():
-        placed = sorted_positions(df, group, [value, row_key], "_position")
-        # ties collapse before the shuffle, however many rows share a value
-        first = placed.groupBy(*group, value).agg(F.min("_position").cast("int").alias(name))
-        df = placed.drop("_position").join(first, [*group, value])
+        runs = _sorted_runs(df, group, [value, row_key])
+        ties = Window.partitionBy(*group, "_run", value)
+        first = F.min("_seq").over(ties) + F.col("_shift")
+        rank = F.when(F.col(value) == F.col("_head"), F.col("_head_rank")).otherwise(first)
+        df = (
+            runs.join(_run_heads(runs, group, value), [*group, "_run"])
+            .withColumn(name, rank)
+            .drop("_run", "_seq", "_shift", "_head", "_head_rank")
+        )
     return df

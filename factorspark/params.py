@@ -19,10 +19,11 @@ MONTHS_PER_YEAR = 12
 @dataclass(frozen=True)
 class Params:
     """``min_universe``: fewest valid names per date / factor-month. ``max_gap_days``: a daily
-    return over a longer calendar gap is NULL. ``max_group_rows``: largest cross-section that is
-    ranked inside one task; larger ones take the range-sorted path (same result)."""
+    return over a longer calendar gap is NULL. ``daily_buckets``: buckets by ticker of the stored
+    daily tables; choose it for about 1 GB a bucket. It is stored with the tables, so readers need
+    not know it."""
 
     schema: str = "core"
     min_universe: int = 30
     max_gap_days: int = 5
-    max_group_rows: int = 2_000_000
+    daily_buckets: int = 64

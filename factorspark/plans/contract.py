@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from factorspark.functions import clean_ticker, parse_date, parse_number, ratio
+from factorspark.functions import DATE_FORMATS, clean_ticker, parse_date, parse_number, ratio
+from factorspark.sources.staging import stage_observed
 
 REQUIRED = ("ticker", "trade_date", "adj_close")
+# The phrases by which a caller tells the violations apart.
+MISSING = "Missing required columns"
+UNPARSEABLE = "null/unparseable"
+NONPOSITIVE = "adj_close <= 0"
+REPEATED = "duplicate (ticker, trade_date)"
+INTOLERABLE = "exceeds tolerance"
 KEYS = ["ticker", "trade_date"]
 
 
@@ -23,16 +32,19 @@ class ValidatedPrices:
     deduped_groups: int
 
 
-def normalize(df: DataFrame) -> DataFrame:
+def normalize(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """(ticker string, trade_date date, adj_close double): trimmed upper-case ticker, leniently
-    parsed date and price; what cannot be parsed is NULL. Other columns are dropped."""
+    parsed date and price; what cannot be parsed is NULL. Other columns are dropped.
+
+    Text dates are ISO, or in the first of ``date_formats`` that fits. The defaults cannot be
+    mistaken for one another; formats such as ``d/M/yyyy`` have to be asked for."""
     missing = [c for c in REQUIRED if c not in df.columns]
     if missing:
-        raise ContractError(f"Missing required columns: {missing}; got {df.columns}")
+        raise ContractError(f"{MISSING}: the panel has no {', '.join(missing)}; its columns are {', '.join(df.columns)}")
     types = dict(df.dtypes)
     return df.select(
         clean_ticker(F.col("ticker")).alias("ticker"),
-        parse_date(F.col("trade_date"), types["trade_date"]).alias("trade_date"),
+        parse_date(F.col("trade_date"), types["trade_date"], date_formats).alias("trade_date"),
         parse_number(F.col("adj_close"), types["adj_close"]).alias("adj_close"),
     )
 
@@ -69,42 +81,45 @@ def duplicate_groups(normalized: DataFrame) -> DataFrame:
     )
 
 
-def violations(normalized: DataFrame) -> DataFrame:
-    """One row with every count the contract looks at: NULLs per column, complete rows, complete
-    rows with a non-positive price, duplicate groups and their worst spread (NULL: undefined)."""
+def _totals() -> dict[str, Column]:
+    """Aggregates over the keys."""
     complete = _complete_key()
     duplicated = complete & (F.col("n_prices") > 1)
 
-    def total(condition, rows: str):
+    def total(condition: Column, rows: str) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col(rows))), F.lit(0))
 
-    return _per_key(normalized).agg(
-        total(F.col("ticker").isNull(), "n_rows").alias("null_ticker"),
-        total(F.col("trade_date").isNull(), "n_rows").alias("null_trade_date"),
-        F.coalesce(F.sum(F.col("n_rows") - F.col("n_prices")), F.lit(0)).alias("null_adj_close"),
-        total(complete, "n_prices").alias("complete_rows"),
-        total(complete, "n_nonpositive").alias("nonpositive"),
-        F.count_if(duplicated).alias("duplicate_groups"),
-        F.max(F.when(duplicated, _spread())).alias("worst_spread"),
-    )
+    return {
+        "null_ticker": total(F.col("ticker").isNull(), "n_rows"),
+        "null_trade_date": total(F.col("trade_date").isNull(), "n_rows"),
+        "null_adj_close": F.coalesce(F.sum(F.col("n_rows") - F.col("n_prices")), F.lit(0)),
+        "complete_rows": total(complete, "n_prices"),
+        "nonpositive": total(complete, "n_nonpositive"),
+        "duplicate_groups": F.count_if(duplicated),
+        "worst_spread": F.max(F.when(duplicated, _spread())),
+    }
+
+
+def violations(normalized: DataFrame) -> DataFrame:
+    """One row with every count the contract looks at: NULLs per column, complete rows, complete
+    rows with a non-positive price, duplicate groups and their worst spread (NULL: undefined)."""
+    return _per_key(normalized).agg(*[column.alias(name) for name, column in _totals().items()])
 
 
 def _problems(counts: Row, dup_rel_tol: float | None) -> list[str]:
     found = [
-        f"{counts[f'null_{column}']} null/unparseable values in {column}"
+        f"{column} is {UNPARSEABLE} in {counts[f'null_{column}']} rows"
         for column in REQUIRED
         if counts[f"null_{column}"]
     ]
     if counts.nonpositive:
-        found.append(f"{counts.nonpositive} rows with adj_close <= 0")
+        found.append(f"{NONPOSITIVE} in {counts.nonpositive} rows")
     if counts.duplicate_groups and not _collapsible(counts, dup_rel_tol):
         worst = float("inf") if counts.worst_spread is None else counts.worst_spread
-        exceeded = "" if dup_rel_tol is None else f", exceeds tolerance {dup_rel_tol:g}"
-        found.append(
-            f"{counts.duplicate_groups} duplicate (ticker, trade_date) groups, worst relative spread {worst:.2e}{exceeded}"
-        )
+        limit = "" if dup_rel_tol is None else f" and {INTOLERABLE} {dup_rel_tol:g}"
+        found.append(f"{REPEATED} keys: {counts.duplicate_groups}, whose prices differ by up to {worst:.2e} of the lowest{limit}")
     if not counts.complete_rows:
-        found.append("no rows left after null removal")
+        found.append("the panel has no complete row")
     return found
 
 
@@ -120,16 +135,19 @@ def collapse(normalized: DataFrame) -> DataFrame:
 
 def validate(df: DataFrame, dup_rel_tol: float | None = None) -> ValidatedPrices:
     """Normalised panel, or ContractError with all violations. With ``dup_rel_tol`` duplicate
-    groups collapse when their worst relative price spread stays within it. Counting takes one job
-    and brings one row to the driver."""
-    normalized = normalize(df)
-    counts = violations(normalized).first()
+    groups collapse when their worst relative price spread stays within it.
+
+    The source is read once: its rows are combined per key and staged, counted in the same job, and
+    the panel is taken from there. What was counted is what gets loaded, even if the source changes.
+    A valid panel without duplicates has one row per key, so the keys are the panel.
+    """
+    per_key, seen = stage_observed(_per_key(normalize(df)), "panel", **_totals())
+    counts = Row(**seen)
     found = _problems(counts, dup_rel_tol)
     if found:
         raise ContractError("; ".join(found))
-    if counts.duplicate_groups:
-        return ValidatedPrices(collapse(normalized), counts.duplicate_groups)
-    return ValidatedPrices(normalized, 0)
+    panel = per_key.filter(_complete_key() & (F.col("n_prices") > 0))
+    return ValidatedPrices(panel.select(*KEYS, F.col("min_price").alias("adj_close")), counts.duplicate_groups)
 
 
 def panel_profile(prices: DataFrame) -> DataFrame:

@@ -7,25 +7,21 @@ from pyspark.sql import functions as F
 
 from factorspark.functions import ratio
 from factorspark.operators.ranking import min_ranks, ntile
-from factorspark.params import MONTHS_PER_YEAR, QUINTILES, Params
+from factorspark.params import MONTHS_PER_YEAR, QUINTILES
 from factorspark.plans.scores import CROSS_SECTION, FORWARD
 
 
-def with_quintiles(scored: DataFrame, params: Params, max_rows: int | None = None) -> DataFrame:
+def with_quintiles(scored: DataFrame) -> DataFrame:
     """(ticker, rebalance_date, factor, raw_value, score, quintile, fwd_ret_1m) from scores that
     already carry their forward return. Every scored name counts, with or without one."""
-    group_limit = params.max_group_rows
-    ranked = ntile(scored, CROSS_SECTION, ["score", "ticker"], QUINTILES, "quintile", group_limit, max_rows)
+    ranked = ntile(scored, CROSS_SECTION, ["score", "ticker"], QUINTILES, "quintile")
     return ranked.select("ticker", *CROSS_SECTION, "raw_value", "score", "quintile", FORWARD)
 
 
-def mart_scores_monthly(
-    scores: DataFrame, forward: DataFrame, params: Params, max_rows: int | None = None
-) -> DataFrame:
-    """Quintile of every scored name, with its forward return where there is one. Without
-    ``max_rows``, a known upper bound of the row count, group sizes of ``scores`` are counted
-    first; pass a stored frame then."""
-    return with_quintiles(scores.join(forward, ["ticker", "rebalance_date"], "left"), params, max_rows)
+def mart_scores_monthly(scores: DataFrame, forward: DataFrame) -> DataFrame:
+    """Quintile of every scored name, with its forward return where there is one, from two tables.
+    A run takes both from its month-end rows instead, without this join."""
+    return with_quintiles(scores.join(forward, ["ticker", "rebalance_date"], "left"))
 
 
 def _earned(scores_monthly: DataFrame) -> DataFrame:
@@ -54,12 +50,11 @@ def correlation(x: str, y: str) -> Column:
     return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def mart_ic(scores_monthly: DataFrame, params: Params, max_rows: int | None = None) -> DataFrame:
-    """(rebalance_date, factor, ic, n_names): correlation of score rank and forward-return rank.
-    ``max_rows`` as in ``mart_scores_monthly``."""
+def mart_ic(scores_monthly: DataFrame) -> DataFrame:
+    """(rebalance_date, factor, ic, n_names): correlation of score rank and forward-return rank."""
     earned = _earned(scores_monthly).select("ticker", *CROSS_SECTION, "score", FORWARD)
     ranks = {"rk_score": "score", "rk_fwd": FORWARD}
-    ranked = min_ranks(earned, CROSS_SECTION, ranks, "ticker", params.max_group_rows, max_rows)
+    ranked = min_ranks(earned, CROSS_SECTION, ranks, "ticker")
     return ranked.groupBy(*CROSS_SECTION).agg(
         correlation("rk_score", "rk_fwd").alias("ic"), F.count("*").alias("n_names")
     )

@@ -3,44 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from factorspark.params import Params
-from factorspark.plans import checks, dims, marts, returns, scores, signals
-from factorspark.plans.contract import validate
+from factorspark.plans import checks
+from factorspark.plans.contract import panel_profile, validate
+from factorspark.plans.tables import PLANS
 from factorspark.sources.catalog import Tables
+from factorspark.sources.staging import scope
 
-# stage -> tables it writes, in build order; every function reads only earlier tables. The daily
-# tables are bucketed by ticker, the key of all their windows. Row counts of stored tables come
-# from file footers.
+# Names of the stages and of their tables, in build order. Every table reads only
+# earlier ones. Scores and marts come from ``month_end``; nothing reads the daily signals again.
 STAGES = {
-    "dims": {"dim_factor": lambda t, p: dims.dim_factor(t.raw_prices.sparkSession)},
-    "returns": {"returns": lambda t, p: returns.daily_returns(t.raw_prices, p)},
-    "market": {
-        "market": lambda t, p: returns.market_proxy(t.returns, p),
-        "rebalance_dates": lambda t, p: returns.rebalance_dates(t.market),
-    },
-    "signals": {"signals": lambda t, p: signals.signals(t.returns, t.market)},
-    "scores": {
-        "scores": lambda t, p: scores.scores(
-            scores.signals_long(t.signals, t.rebalance_dates), t.dim_factor, p
-        ).select("ticker", "rebalance_date", "factor", "raw_value", "n_names", "direction", "score")
-    },
-    "fwd_returns": {"fwd_returns": lambda t, p: scores.forward_returns(t.returns, t.rebalance_dates)},
-    "marts": {
-        "mart_scores_monthly": lambda t, p: marts.mart_scores_monthly(t.scores, t.fwd_returns, p, t.scores.count()),
-        "mart_factor_returns": lambda t, p: marts.mart_factor_returns(t.mart_scores_monthly),
-        "mart_ic": lambda t, p: marts.mart_ic(t.mart_scores_monthly, p, t.mart_scores_monthly.count()),
-        "mart_factor_summary": lambda t, p: marts.mart_factor_summary(t.mart_factor_returns, t.mart_ic),
-        "dim_month": lambda t, p: dims.dim_month(t.mart_scores_monthly),
-    },
+    "dims": ["dim_factor"],
+    "returns": ["returns"],
+    "market": ["market", "rebalance_dates"],
+    "signals": ["signals"],
+    "month_end": ["month_end"],
+    "scores": ["scores"],
+    "fwd_returns": ["fwd_returns"],
+    "marts": ["mart_scores_monthly", "mart_factor_returns", "mart_ic", "mart_factor_summary", "dim_month"],
 }
-_BUCKETED = {"returns": "ticker"}
+_BY_TICKER = ("returns", "signals")
+
+
+@dataclass(frozen=True)
+class RunReport:
+    """What a run did: collapsed duplicate groups, profile of the loaded panel (one row), scored
+    months (one row), and the messages of the checks."""
+
+    deduped_groups: int
+    profile: Row
+    window: Row
+    failures: list[str]
+    warnings: list[str]
 
 
 def build(spark: SparkSession, params: Params, stages: Sequence[str] | None = None) -> list[str]:
-    """Run all stages, or the named ones, over the loaded ``raw_prices``; returns what ran."""
+    """Run the named stages, or all, over the loaded ``raw_prices``; returns what ran. Daily tables are stored in ``params.daily_buckets`` buckets by ticker, the key of all
+    their windows, which therefore read them without a shuffle."""
     unknown = set(stages or ()) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}; known: {list(STAGES)}")
@@ -48,16 +51,24 @@ def build(spark: SparkSession, params: Params, stages: Sequence[str] | None = No
     tables.ensure_schema()
     ran = [stage for stage in STAGES if stages is None or stage in stages]
     for stage in ran:
-        for name, plan in STAGES[stage].items():
-            tables.materialize(plan(tables, params), name, _BUCKETED.get(name))
+        for name in STAGES[stage]:
+            buckets = params.daily_buckets if name in _BY_TICKER else None
+            tables.materialize(PLANS[name](tables, params), name, "ticker" if buckets else None, buckets)
     return ran
 
 
-def run(
-    spark: SparkSession, prices: DataFrame, params: Params, dup_rel_tol: float | None = None
-) -> tuple[list[str], list[str]]:
-    """Validate, load, build and check; returns (failures, warnings)."""
+def run(spark: SparkSession, prices: DataFrame, params: Params, dup_rel_tol: float | None = None) -> RunReport:
+    """Validate, load, build and check; what was staged on the way is removed at the end."""
     tables = Tables(spark, params.schema)
-    tables.load_prices(validate(prices, dup_rel_tol).frame)
-    build(spark, params)
-    return checks.messages(checks.run_checks(tables))
+    with scope(spark):
+        valid = validate(prices, dup_rel_tol)
+        tables.load_prices(valid.frame, params.daily_buckets)
+        build(spark, params)
+        failures, warnings = checks.messages(checks.run_checks(tables))
+        return RunReport(
+            valid.deduped_groups,
+            panel_profile(tables.raw_prices).first(),
+            checks.mart_window(tables.mart_scores_monthly).first(),
+            failures,
+            warnings,
+        )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from factorspark.functions import ratio, significant
 from factorspark.params import MONTHS_PER_YEAR, QUINTILES
-from factorspark.plans.dims import FACTORS, canonical_position
+from factorspark.plans.dims import canonical_position
 from factorspark.plans.marts import ic_statistics, share_positive, spread_statistics
 
 # Fixed values: |t| from which a statistic counts as different from zero; months of the trailing
@@ -32,15 +32,14 @@ def _factor_months() -> WindowSpec:
 # --- factor statistics ------------------------------------------------------------------------
 
 
+def _tstats() -> dict[str, Column]:
+    months = F.col("n_months")
+    return {"t_ls": F.col("ls_sharpe") * F.sqrt(months / MONTHS_PER_YEAR), "t_ic": F.col("icir") * F.sqrt(months)}
+
+
 def factor_tstats(summary: DataFrame) -> DataFrame:
     """(factor, n_months, t_ls, t_ic): naive t-statistics from Sharpe ratio and ICIR."""
-    months = F.col("n_months")
-    return summary.select(
-        "factor",
-        "n_months",
-        (F.col("ls_sharpe") * F.sqrt(months / MONTHS_PER_YEAR)).alias("t_ls"),
-        (F.col("icir") * F.sqrt(months)).alias("t_ic"),
-    )
+    return summary.select("factor", "n_months", *[column.alias(name) for name, column in _tstats().items()])
 
 
 def factor_significance(summary: DataFrame) -> DataFrame:
@@ -50,18 +49,21 @@ def factor_significance(summary: DataFrame) -> DataFrame:
     return factor_tstats(summary).withColumn("verdict", verdict)
 
 
+def _position() -> Column:
+    """Canonical order, unknown factors last by name. The frame has one row per factor."""
+    return F.row_number().over(Window.orderBy(canonical_position(), "factor"))
+
+
 def factor_order(dim_factor: DataFrame) -> DataFrame:
-    """(factor, position): canonical order, unknown factors last by name."""
-    by_display = Window.orderBy(canonical_position(), "factor")  # one row per factor
-    return dim_factor.select("factor", F.row_number().over(by_display).alias("position"))
+    """(factor, position) in display order."""
+    return dim_factor.select("factor", _position().alias("position"))
 
 
 def results_table(summary: DataFrame, dim_factor: DataFrame) -> DataFrame:
     """Display table: labels, percentages, t-statistics and the display position."""
     return (
-        summary.join(F.broadcast(dim_factor.select("factor", "label")), "factor", "left")
-        .join(factor_tstats(summary).select("factor", "t_ls", "t_ic"), "factor")
-        .join(factor_order(summary), "factor")
+        summary.withColumns({**_tstats(), "position": _position()})
+        .join(F.broadcast(dim_factor.select("factor", "label")), "factor", "left")
         .select(
             "position",
             F.coalesce("label", "factor").alias("label"),
@@ -114,12 +116,21 @@ def cumulative_spread(factor_returns: DataFrame) -> DataFrame:
 
 
 def cumulative_spread_spine(
-    factor_returns: DataFrame, dim_month: DataFrame, factors: Sequence[str] | None = None, per_factor: bool = True
+    factor_returns: DataFrame,
+    dim_month: DataFrame,
+    dim_factor: DataFrame,
+    factors: Sequence[str] | None = None,
+    per_factor: bool = True,
 ) -> DataFrame:
-    """(month_end, factor, cum_spread) for every month of the dimension; a month without data is
-    neutral. With ``per_factor=False`` the monthly mean over the selected factors is compounded
-    instead (what the measure shows without a factor slicer; ``factor`` is then "all")."""
-    names = list(factors) if factors is not None else [name for name, *_ in FACTORS]
+    """(month_end, factor, cum_spread) for every month and factor of the dimensions, and for factors
+    that only the returns have; a month without data is neutral. With ``per_factor=False`` the
+    monthly mean over the selected factors is compounded instead (what the measure shows without a
+    factor slicer; ``factor`` is then "all"). The names of the factors come to the driver."""
+    if factors is None:
+        known = dim_factor.select("factor").unionByName(factor_returns.select("factor")).distinct()
+        names = [row.factor for row in known.orderBy("factor").collect()]
+    else:
+        names = list(factors)
     chosen = factor_returns.filter(F.col("factor").isin(names))
     if not per_factor:
         chosen, names = chosen.withColumn("factor", F.lit("all")), ["all"]
@@ -211,17 +222,21 @@ def run_manifest(tables) -> DataFrame:
         F.min("trade_date").alias("raw_first"),
         F.max("trade_date").alias("raw_last"),
     )
-    window = tables.mart_factor_returns.agg(
-        F.min("rebalance_date").alias("scored_first"), F.max("rebalance_date").alias("scored_last")
-    )
-    months = tables.mart_ic.agg(F.count_distinct("rebalance_date").alias("scored_months"))
-    counts = [getattr(tables, t).agg(F.count("*").alias(f"rows_{t}")) for t in EXPORTS]
+    # one pass per table
+    more = {
+        "mart_factor_returns": [
+            F.min("rebalance_date").alias("scored_first"),
+            F.max("rebalance_date").alias("scored_last"),
+        ],
+        "mart_ic": [F.count_distinct("rebalance_date").alias("scored_months")],
+    }
+    rows = [getattr(tables, t).agg(F.count("*").alias(f"rows_{t}"), *more.get(t, ())) for t in EXPORTS]
 
     def as_items(row: DataFrame) -> DataFrame:
         text = row.select(*[F.col(c).cast("string") for c in row.columns])
         return text.unpivot([], text.columns, "item", "value")
 
-    return reduce(DataFrame.unionByName, [as_items(row) for row in (raw, window, months, *counts)])
+    return reduce(DataFrame.unionByName, [as_items(row) for row in (raw, *rows)])
 
 
 def export_table(table: DataFrame, sort: Sequence[str]) -> DataFrame:

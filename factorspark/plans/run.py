@@ -1,88 +1,31 @@
-"""All stages over one price panel, composed lazily."""
+"""All tables over one price panel, composed lazily."""
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame
 
 from factorspark.params import Params
-from factorspark.plans import dims, marts, returns, scores, signals
-from factorspark.sources.staging import stage, stage_counted
+from factorspark.plans.tables import PLANS
+from factorspark.sources.staging import stage
+
+# tables with several consumers; they are written once and read back
+STAGED = ("returns", "market", "month_end", "mart_scores_monthly")
 
 
 class FactorRun:
     """Every table of a run as an attribute. Tables with several consumers are staged; the rest
     stays lazy, so asking for one table computes only what it needs."""
 
+    daily_by_ticker = False
+
     def __init__(self, raw_prices: DataFrame, params: Params):
         self.raw_prices = raw_prices
         self.params = params
 
-    @cached_property
-    def dim_factor(self) -> DataFrame:
-        return dims.dim_factor(self.raw_prices.sparkSession)
-
-    @cached_property
-    def returns(self) -> DataFrame:
-        return stage(returns.daily_returns(self.raw_prices, self.params), "returns")
-
-    @cached_property
-    def market(self) -> DataFrame:
-        return stage(returns.market_proxy(self.returns, self.params), "market")
-
-    @cached_property
-    def rebalance_dates(self) -> DataFrame:
-        return returns.rebalance_dates(self.market)
-
-    @cached_property
-    def signals(self) -> DataFrame:
-        return signals.signals(self.returns, self.market)
-
-    @cached_property
-    def _month_end(self) -> tuple[DataFrame, int]:
-        """Month-end rows with signals and forward return, and how many (row, signal) pairs they
-        can give. One pass by ticker over the daily rows yields both."""
-        daily = signals.signal_rows(self.returns, self.market)
-        month_end = scores.on_rebalance_dates(daily, self.rebalance_dates)
-        rows, n = stage_counted(scores.with_forward_return(month_end), "month_end")
-        return rows, n * len(signals.SIGNALS)
-
-    @cached_property
-    def signals_long(self) -> DataFrame:
-        return scores.unpivot_signals(self._month_end[0])
-
-    @cached_property
-    def zscores(self) -> DataFrame:
-        return scores.zscores(self.signals_long)
-
-    @cached_property
-    def scores(self) -> DataFrame:
-        return scores.scores(self.signals_long, self.dim_factor, self.params)
-
-    @cached_property
-    def fwd_returns(self) -> DataFrame:
-        return self._month_end[0].select("ticker", "rebalance_date", scores.FORWARD)
-
-    @cached_property
-    def mart_scores_monthly(self) -> DataFrame:
-        month_end, max_rows = self._month_end
-        long = scores.unpivot_signals(month_end, scores.FORWARD)
-        scored = scores.scores(long, self.dim_factor, self.params)
-        return stage(marts.with_quintiles(scored, self.params, max_rows), "mart_scores_monthly")
-
-    @cached_property
-    def mart_factor_returns(self) -> DataFrame:
-        return marts.mart_factor_returns(self.mart_scores_monthly)
-
-    @cached_property
-    def mart_ic(self) -> DataFrame:
-        return marts.mart_ic(self.mart_scores_monthly, self.params, self._month_end[1])
-
-    @cached_property
-    def mart_factor_summary(self) -> DataFrame:
-        return marts.mart_factor_summary(self.mart_factor_returns, self.mart_ic)
-
-    @cached_property
-    def dim_month(self) -> DataFrame:
-        return dims.dim_month(self.mart_scores_monthly)
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in PLANS:
+            raise AttributeError(name)
+        table = PLANS[name](self, self.params)
+        found = stage(table, name) if name in STAGED else table
+        setattr(self, name, found)
+        return found

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from factorspark.params import Params
 from factorspark.plans.contract import KEYS
 
 
@@ -15,6 +16,8 @@ class LoadError(RuntimeError):
 class Tables:
     """Reads ``schema.<name>`` as attribute ``<name>``; writes replace the table."""
 
+    daily_by_ticker = True  # the daily tables are stored in buckets by ticker
+
     def __init__(self, spark: SparkSession, schema: str = "core"):
         self._spark = spark
         self._schema = schema
@@ -27,13 +30,14 @@ class Tables:
     def ensure_schema(self) -> None:
         self._spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self._schema}")
 
-    def materialize(self, df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
-        """Replace the table. With ``bucket_by`` rows are spread by that column into as many
-        buckets as there are shuffle partitions, and later windows over it read the table without
-        a shuffle. The repartition gives every bucket a single file."""
+    def materialize(
+        self, df: DataFrame, name: str, bucket_by: str | None = None, buckets: int | None = None
+    ) -> DataFrame:
+        """Replace the table. With ``bucket_by`` rows are spread by that column into ``buckets``
+        buckets, a number that the catalog keeps: later windows over the column read the table
+        without a shuffle. The repartition gives every bucket a single file."""
         writer = df.write
         if bucket_by:
-            buckets = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
             writer = df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by)
         writer.format("parquet").mode("overwrite").saveAsTable(f"{self._schema}.{name}")
         return getattr(self, name)
@@ -48,12 +52,12 @@ class Tables:
         result = self._spark.sql(sql)
         return result.toDF(*[c.lower() for c in result.columns])
 
-    def load_prices(self, prices: DataFrame) -> DataFrame:
+    def load_prices(self, prices: DataFrame, buckets: int = Params.daily_buckets) -> DataFrame:
         """Replace ``raw_prices`` with the typed columns and verify that all rows arrived."""
         self.ensure_schema()
         sent = Observation("raw_prices")
         typed = prices.select(*KEYS, F.col("adj_close").cast("double").alias("adj_close"))
-        loaded = self.materialize(typed.observe(sent, F.count("*").alias("n")), "raw_prices", bucket_by="ticker")
+        loaded = self.materialize(typed.observe(sent, F.count("*").alias("n")), "raw_prices", "ticker", buckets)
         n_loaded = loaded.count()
         if sent.get["n"] != n_loaded:
             raise LoadError(f"raw_prices: sent {sent.get['n']} rows, loaded {n_loaded}")

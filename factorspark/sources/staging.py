@@ -2,17 +2,21 @@
 
 A staged frame is read back from files, so its lineage ends there: several consumers do not
 recompute it, and a lost executor costs only the tasks it was running. Everything an application
-stages lies under one folder, which ``release`` removes.
+stages lies under one folder, which ``release`` removes; ``scope`` does so for one job.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
+_scope: ContextVar[str] = ContextVar("scope", default="shared")
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -30,7 +34,7 @@ def run_folder(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder and return it as read from there."""
-    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{_scope.get()}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -48,8 +52,20 @@ def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return staged, seen["n"]
 
 
-def release(spark: SparkSession) -> None:
-    """Remove everything this application has staged; frames read from there end with it."""
+def release(spark: SparkSession, scope: str | None = None) -> None:
+    """Remove what this application has staged, or one scope of it; frames read from there end."""
     jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder = jvm.org.apache.hadoop.fs.Path(run_folder(spark) + (f"/{scope}" if scope else ""))
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[str]:
+    """What is staged inside is removed at the end; only stored results may leave it."""
+    name = f"run-{uuid.uuid4().hex}"
+    token = _scope.set(name)
+    try:
+        yield name
+    finally:
+        _scope.reset(token)
+        release(spark, name)

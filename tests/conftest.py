@@ -43,25 +43,37 @@ def business_days(start, n):
     return days
 
 
-def factor_prices(betas, n_days=900, noise=0.0, seed=11, start="2021-01-04", prefix="T"):
-    """Rows of a panel whose daily returns are ``beta * common factor + noise``; the first return
-    is zero. Without noise the equal-weight market is mean(beta) times the factor."""
-    rng = np.random.default_rng(seed)
-    days = business_days(start, n_days)
-    common = rng.normal(4e-4, 1e-2, n_days)
+def name_of(i):
+    """AAX, ABX, .."""
+    return f"{chr(65 + i // 26)}{chr(65 + i % 26)}X"
+
+
+def waves(n):
+    """A market that swings with three unrelated periods and drifts up a little."""
+    k = np.arange(n)
+    return 3e-4 + 8e-3 * np.sin(1.7 * k) + 3e-3 * np.sin(0.37 * k + 1) + 2e-3 * np.sin(0.053 * k)
+
+
+def swinging_panel(slopes, n_days=900, wobble=0.0, start="2019-03-01", shift=0, names=name_of):
+    """Rows of a panel: every ticker moves by its slope times the market wave, plus a sawtooth of its
+    own of height ``wobble``. The first day has no move. Without wobble the equal-weight market is
+    the mean slope times the wave."""
+    days, wave = business_days(start, n_days), waves(n_days + 1).tolist()
     rows = []
-    for i, beta in enumerate(betas):
-        daily = beta * common + rng.normal(0.0, 1.0, n_days) * noise
-        daily[0] = 0.0
-        level = 100.0 * np.cumprod(1.0 + daily)
-        rows += [(f"{prefix}{i:02d}", day, float(px)) for day, px in zip(days, level)]
+    for i, slope in enumerate(map(float, slopes)):
+        price = 20.0 * (i + 1)
+        for k, day in enumerate(days):
+            if k:
+                own = ((31 * k + 17 * (i + shift) + k * k % 7) % 23 - 11) / 11
+                price *= 1 + slope * wave[k] + wobble * own
+            rows.append((names(i), day, price))
     return rows
 
 
 @pytest.fixture(scope="session")
 def noisy_run(spark):
-    """A finished run over 20 names and 900 days."""
-    prices = spark.createDataFrame(factor_prices(np.linspace(0.4, 1.6, 20), 900, 0.006), PANEL)
+    """A finished run over 20 names and 900 days, slopes from 0.3 to 1.5."""
+    prices = spark.createDataFrame(swinging_panel(np.linspace(0.3, 1.5, 20), 900, 0.006), PANEL)
     return FactorRun(prices, Params(min_universe=5))
 
 

@@ -34,7 +34,7 @@ def test_clean_panel_is_normalised(spark):
 
 def test_missing_column_raises_at_once(spark):
     df = _frame(spark, [("A", "2024-01-02", -1.0)]).drop("adj_close")
-    assert _message(df).startswith("Missing required columns: ['adj_close']")
+    assert _message(df).startswith("Missing required columns: the panel has no adj_close")
 
 
 def test_every_violation_is_listed(spark):
@@ -48,11 +48,11 @@ def test_every_violation_is_listed(spark):
     ]
     message = _message(_frame(spark, rows, TEXT))
     for part in (
-        "1 null/unparseable values in ticker",
-        "1 null/unparseable values in trade_date",
-        "1 null/unparseable values in adj_close",
-        "1 rows with adj_close <= 0",
-        "1 duplicate (ticker, trade_date) groups",
+        "ticker is null/unparseable in 1 rows",
+        "trade_date is null/unparseable in 1 rows",
+        "adj_close is null/unparseable in 1 rows",
+        "adj_close <= 0 in 1 rows",
+        "duplicate (ticker, trade_date) keys: 1",
     ):
         assert part in message
     assert message.count("; ") == 4
@@ -88,6 +88,13 @@ def test_number_parsing(spark, text, parsed):
         ("2024-01-02T23:30:00-05:00", dt.date(2024, 1, 2)),
         ("2024-02-30", None),
         ("tomorrow", None),
+        ("20240102", dt.date(2024, 1, 2)),
+        (" 2024/1/2 ", dt.date(2024, 1, 2)),
+        ("Jan 2, 2024", dt.date(2024, 1, 2)),
+        ("2 Jan 2024", dt.date(2024, 1, 2)),
+        ("02-Jan-2024", dt.date(2024, 1, 2)),
+        ("20241301", None),
+        ("01/02/2024", None),  # could be January or February
     ],
 )
 def test_date_parsing(spark, text, parsed):
@@ -95,6 +102,21 @@ def test_date_parsing(spark, text, parsed):
     assert contract.normalize(df).first().trade_date == parsed
 
 
+def test_ambiguous_dates_on_request(spark):
+    df = _frame(spark, [("A", "01/02/2024", "1"), ("B", "2024-03-04", "1"), ("C", "20240102", "1")], TEXT)
+    found = {r.ticker: r.trade_date for r in contract.normalize(df, ["d/M/yyyy"]).collect()}
+    assert found == {"A": dt.date(2024, 2, 1), "B": dt.date(2024, 3, 4), "C": None}
+
+
+def test_what_is_loaded_is_what_was_counted(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    _frame(spark, [("A", "2024-01-02", 1.0), ("B", "2024-01-02", 2.0)]).write.parquet(path)
+    result = validate(spark.read.parquet(path))
+    _frame(spark, [("C", "2024-01-02", -1.0)]).write.mode("append").parquet(path)
+    spark.catalog.refreshByPath(path)
+    assert {r.ticker for r in result.frame.collect()} == {"A", "B"}
+
+
 def test_timestamps_lose_their_time(spark):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 2, 17, 30), 1)], "ticker string, trade_date timestamp, adj_close int")
     assert tuple(contract.normalize(df).first()) == ("A", dt.date(2024, 1, 2), 1.0)
@@ -124,12 +146,12 @@ def test_undefined_spread_is_infinite(spark):
     day = "2024-01-02"
     df = _frame(spark, [("A", day, 0.0), ("A", day, 0.0)])
     message = _message(df, dup_rel_tol=1e-5)
-    assert "2 rows with adj_close <= 0" in message and "inf" in message
+    assert "adj_close <= 0 in 2 rows" in message and "inf" in message
 
 
 def test_nothing_left_after_null_removal(spark):
-    assert "no rows left" in _message(_frame(spark, [(None, "2024-01-02", 1.0)]))
-    assert _message(_frame(spark, [])) == "no rows left after null removal"
+    assert "no complete row" in _message(_frame(spark, [(None, "2024-01-02", 1.0)]))
+    assert _message(_frame(spark, [])) == "the panel has no complete row"
 
 
 def test_violations_against_brute_force(spark):

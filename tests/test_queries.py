@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from workload import oracle
+from workload.queries import QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = ("supplier", "lineitem")
@@ -18,13 +20,17 @@ SAMPLE = (
     "mart_scores_monthly",
     "mart_factor_summary",
     "checks_damaged_run",
-    "parity_rows",
+    "parity",
+    "pipeline_build",
+    "export_factor_returns",
+    "forward_returns_with_gaps",
     "cumulative_spread_spine",
 )
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(oracle.statements())
+    assert set(QUERIES) <= set(entry_module.queries()) and set(oracle.statements()) <= set(entry_module.oracle_sql())
 
 
 def _plain(value):

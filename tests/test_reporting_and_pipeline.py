@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import PANEL, factor_prices
+from conftest import PANEL, swinging_panel
 from factorspark.params import Params
 from factorspark.plans import checks, dims, parity, pipeline, reporting
 from factorspark.plans.contract import ContractError
@@ -73,7 +73,7 @@ def test_cumulative_spread_on_the_month_spine(spark):
     months = spark.createDataFrame([(d,) for d in days], "month_end date")
 
     def found(**options):
-        spine = reporting.cumulative_spread_spine(returns, months, **options)
+        spine = reporting.cumulative_spread_spine(returns, months, dims.dim_factor(spark), **options)
         return {(r.factor, r.month_end): r.cum_spread for r in spine.collect()}
 
     one = found(factors=["mom_12_1", "rev_21d"])
@@ -81,6 +81,10 @@ def test_cumulative_spread_on_the_month_spine(spark):
     assert one["mom_12_1", days[2]] == pytest.approx(1.1 * 1.2 - 1)  # no data in month three: neutral
     assert one["rev_21d", days[2]] == pytest.approx(0.3)
     mean = found(per_factor=False)
+    known = found()
+    assert {f for f, _ in known} == {"mom_12_1", "rev_21d", "vol_63d", "beta_252d"}
+    returns = returns.unionByName(_series(spark, [0.5], "ls_ret", "quality"))
+    assert found()["quality", days[2]] == pytest.approx(0.5)  # a factor the dimension does not know
     assert mean["all", days[0]] == pytest.approx(0.2) and mean["all", days[1]] == pytest.approx(1.2 * 1.2 - 1)
 
 
@@ -144,6 +148,18 @@ def test_export(noisy_run, tmp_path):
     assert manifest["scored_months"] == str(noisy_run.mart_ic.select("rebalance_date").distinct().count())
 
 
+def test_export_keeps_missing_values(spark):
+    frame = spark.createDataFrame([("a", None), ("b", float("nan")), ("c", float("inf")), ("d", 1 / 3)], "factor string, x double")
+    found = [r.x for r in reporting.export_table(frame, ["factor"]).collect()]
+    assert found[0] is None and math.isnan(found[1]) and found[2] == math.inf and found[3] == 0.3333333333
+
+
+def test_results_table_reads_the_summary_once(spark, tmp_path):
+    _summary(spark).write.parquet(str(tmp_path / "s"))
+    table = reporting.results_table(spark.read.parquet(str(tmp_path / "s")), dims.dim_factor(spark))
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def test_dimension(spark):
     rows = dims.dim_factor(spark).collect()
     assert [(r.factor, r.direction) for r in rows] == [("mom_12_1", 1), ("rev_21d", -1), ("vol_63d", -1), ("beta_252d", -1)]
@@ -153,10 +169,12 @@ def test_dimension(spark):
 
 
 def test_build_in_the_catalog_equals_the_lazy_run(spark, noisy_run):
-    params = Params(schema="built", min_universe=5)
-    prices = spark.createDataFrame(factor_prices(np.linspace(0.4, 1.6, 20), 900, 0.006), PANEL)
-    fails, _ = pipeline.run(spark, prices, params)
-    assert fails == []
+    params = Params(schema="built", min_universe=5, daily_buckets=5)
+    prices = spark.createDataFrame(swinging_panel(np.linspace(0.3, 1.5, 20), 900, 0.006), PANEL)
+    report = pipeline.run(spark, prices, params)
+    assert report.failures == [] and report.deduped_groups == 0
+    assert (report.profile.n_rows, report.profile.n_tickers) == (18000, 20)
+    assert report.window.n_months == noisy_run.dim_month.count()
     built = Tables(spark, "built")
     assert parity.has_parity(parity.parity(built, noisy_run))
     for table in parity.TABLES:
@@ -171,10 +189,14 @@ def test_build_in_the_catalog_equals_the_lazy_run(spark, noisy_run):
     # checks on stored tables alone
     assert checks.messages(checks.run_checks(built))[0] == []
 
-    # signals and forward returns read the bucketed returns without another shuffle
+    # signals and forward returns read the bucketed returns without another shuffle, also with
+    # another number of shuffle partitions than buckets
     from factorspark.plans import scores, signals
 
-    plan = signals.signals(built.returns, built.market)._jdf.queryExecution().executedPlan().toString()
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED built.returns").collect()}
+    assert described["Num Buckets"] == str(params.daily_buckets) != spark.conf.get("spark.sql.shuffle.partitions")
+    daily = signals.signals(built.returns, built.market, built.daily_by_ticker)
+    plan = daily._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(ticker" not in plan
     plan = scores.forward_returns(built.returns, built.rebalance_dates)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(ticker" not in plan

@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import PANEL, business_days, factor_prices
+from conftest import PANEL, business_days, swinging_panel
 from factorspark.params import Params
 from factorspark.plans import returns as R
 from factorspark.plans import signals as S
@@ -25,11 +25,11 @@ def _series(df, ticker, *columns):
 
 
 def test_return_is_null_across_a_gap_only(spark, params):
-    rows = factor_prices([1.0] * 6, n_days=40)
-    kept = rows[:10] + rows[20:]  # ten business days of the first ticker are missing
-    ret = _series(_returns(spark, kept, params), "T00", "ret_1d")
-    assert len(ret) == 30
-    assert [i for i, r in enumerate(ret) if r is None] == [0, 10]
+    rows = swinging_panel([0.7, 1.1, 1.3], n_days=33)
+    kept = rows[:33] + [r for k, r in enumerate(rows[33:66]) if not 12 <= k < 19] + rows[66:]
+    ret = _series(_returns(spark, kept, params), "ABX", "ret_1d")
+    assert len(ret) == 26
+    assert [i for i, r in enumerate(ret) if r is None] == [0, 12]  # seven weekdays are missing before row 12
 
 
 def test_gap_limit_is_inclusive(spark, params):
@@ -58,7 +58,7 @@ def test_market_needs_enough_names(spark, params):
 
 
 def test_latest_month_is_never_a_rebalance_month(spark, params):
-    rows = factor_prices([0.8, 0.9, 1.0, 1.1, 1.2, 1.3], n_days=300, noise=0.01)
+    rows = swinging_panel([0.5, 1.5, 1.0, 0.7, 1.2], n_days=130, wobble=0.01)
     market = R.market_proxy(_returns(spark, rows, params), params)
     last = market.agg(F.max("trade_date")).first()[0]
     calendar = R.rebalance_dates(market).collect()
@@ -69,35 +69,44 @@ def test_latest_month_is_never_a_rebalance_month(spark, params):
         assert c.rebalance_date == max(later) and c.month_idx == c.rebalance_date.year * 12 + c.rebalance_date.month
 
 
-def test_beta_is_exact_without_noise(spark, params):
-    betas = [0.5 + 0.1 * i for i in range(10)]
-    signals = _signals(spark, factor_prices(betas, n_days=600), params)
-    last = signals.agg(F.max("trade_date")).first()[0]
-    found = {r.ticker: r.beta_252d for r in signals.filter(F.col("trade_date") == F.lit(last)).collect()}
-    mean = sum(betas) / len(betas)
-    for i, beta in enumerate(betas):
-        assert found[f"T{i:02d}"] == pytest.approx(beta / mean, abs=1e-6)
-
-
-def test_volatility_of_constant_growth(spark, params):
-    days = business_days("2022-01-03", 120)
-    rows = [(f"C{i}", day, 100 * 1.001**k) for i in range(6) for k, day in enumerate(days)]
-    vol = _series(_signals(spark, rows, params), "C0", "vol_63d")
-    # 63 returns need 64 prices
-    assert all(v is None for v in vol[:63]) and all(v is not None for v in vol[63:])
-    assert max(vol[63:]) < 1e-5
-
-
-def test_momentum_and_reversal_match_shifted_prices(spark, params):
-    rows = factor_prices([0.8, 0.9, 1.0, 1.1, 1.2, 1.3], n_days=400, noise=0.004)
-    px = [r[2] for r in rows if r[0] == "T03"]
-    found = _series(_signals(spark, rows, params), "T03", "mom_12_1", "rev_21d")
-    for t, (momentum, reversal) in enumerate(found):
-        assert (momentum is None) == (t < 252) and (reversal is None) == (t < 21)
-        if t >= 21:
-            assert reversal == pytest.approx(px[t] / px[t - 21] - 1, abs=1e-10)
-        if t >= 252:
-            assert momentum == pytest.approx(px[t - 21] / px[t - 252] - 1, abs=1e-10)
+def test_beta_is_the_slope_over_the_mean_slope(spark, params):
+    slopes = [0.2, 0.9, 1.0, 2.3, 1.6, 0.4, 0.9]
+    signals = _signals(spark, swinging_panel(slopes, n_days=320), params)
+    for i, slope in enumerate(slopes):
+        beta = _series(signals, f"A{chr(65 + i)}X", "beta_252d")
+        # 252 pairs need 253 prices
+        assert beta[251] is None and beta[252] is not None
+        assert beta[-1] == pytest.approx(slope * len(slopes) / sum(slopes), rel=1e-6)
+
+
+def test_volatility_of_a_known_sequence(spark, params):
+    # returns alternate between +2% and -1%: the deviation of any 63 of them is known
+    days = business_days("2020-06-01", 90)
+    rows = []
+    for name in ("UP", "UQ", "UR", "US", "UT"):
+        price = 64.0
+        for k, day in enumerate(days):
+            price *= 1 if k == 0 else 1.02 if k % 2 else 0.99
+            rows.append((name, day, price))
+    vol = _series(_signals(spark, rows, params), "UR", "vol_63d")
+    assert vol.index(next(v for v in vol if v is not None)) == 63  # 63 returns need 64 prices
+    ones, rest = 32, 31
+    spread = math.sqrt(0.03**2 * ones * rest / 63 / 62 * 252)
+    assert vol[63:] == pytest.approx([spread] * 27, rel=1e-9)
+    steady = [(name, day, 5.0 * 1.002**k) for name in "VWXYZ" for k, day in enumerate(days)]
+    assert max(v for v in _series(_signals(spark, steady, params), "W", "vol_63d") if v is not None) < 1e-5
+
+
+def test_momentum_and_reversal_follow_the_lags(spark, params):
+    rows = swinging_panel([0.6, 1.0, 1.4, 0.8, 1.2], n_days=290, wobble=0.003)
+    price = [r[2] for r in rows if r[0] == "AEX"]
+    found = _series(_signals(spark, rows, params), "AEX", "mom_12_1", "rev_21d")
+    month = {t: price[t] / price[t - 21] - 1 for t in range(21, 290)}
+    year = {t: price[t - 21] / price[t - 252] - 1 for t in range(252, 290)}
+    assert {t for t, row in enumerate(found) if row[1] is not None} == set(month)
+    assert {t for t, row in enumerate(found) if row[0] is not None} == set(year)
+    assert [found[t][1] for t in month] == pytest.approx(list(month.values()), abs=1e-11)
+    assert [found[t][0] for t in year] == pytest.approx(list(year.values()), abs=1e-11)
 
 
 def test_span_gates_reject_calendar_day_panels(spark, params):
@@ -110,9 +119,9 @@ def test_span_gates_reject_calendar_day_panels(spark, params):
 
 
 def test_beta_needs_every_pair_and_a_moving_market(spark, params):
-    rows = factor_prices([1.0] * 6, n_days=300, noise=0.01)
-    missing = [r for r in rows if not (r[0] == "T00" and r[1] == rows[150][1])]
-    beta = _series(_signals(spark, missing, params), "T00", "beta_252d")
+    rows = swinging_panel([1.0] * 5, n_days=300, wobble=0.01)
+    missing = [r for r in rows if not (r[0] == "AAX" and r[1] == rows[150][1])]
+    beta = _series(_signals(spark, missing, params), "AAX", "beta_252d")
     assert beta[-1] is not None  # the gap is short: the return across it is valid
     flat = [(f"F{i}", day, 100.0) for i in range(6) for day in business_days("2022-01-03", 280)]
     assert _signals(spark, flat, params).filter("beta_252d IS NOT NULL").isEmpty()
@@ -120,7 +129,7 @@ def test_beta_needs_every_pair_and_a_moving_market(spark, params):
 
 def test_window_sums_match_sliding_frames(spark, params):
     """The additive sums against plain frames, on a panel with gaps and an extreme price."""
-    rows = factor_prices([0.6, 0.8, 1.0, 1.2, 1.4, 1.6], n_days=420, noise=0.01)
+    rows = swinging_panel([0.6, 0.8, 1.0, 1.2, 1.4, 1.6], n_days=420, wobble=0.01)
     rows = [r for k, r in enumerate(rows) if k % 97 != 5]
     rows[50] = (rows[50][0], rows[50][1], rows[50][2] * 1e6)
     returns = _returns(spark, rows, params)
@@ -144,8 +153,8 @@ def test_window_sums_match_sliding_frames(spark, params):
 
 
 def test_signals_shuffle_daily_rows_once(spark, params, tmp_path):
-    prices = spark.createDataFrame(factor_prices([1.0] * 6, n_days=30), PANEL)
-    _returns(spark, factor_prices([1.0] * 6, n_days=30), params).write.parquet(str(tmp_path / "r"))
+    prices = spark.createDataFrame(swinging_panel([1.0] * 6, n_days=30), PANEL)
+    _returns(spark, swinging_panel([1.0] * 6, n_days=30), params).write.parquet(str(tmp_path / "r"))
     returns = spark.read.parquet(str(tmp_path / "r"))
     plan = S.signals(returns, R.market_proxy(returns, params))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(ticker") == 1
@@ -154,10 +163,10 @@ def test_signals_shuffle_daily_rows_once(spark, params, tmp_path):
 
 
 def test_volatility_is_annualised(spark, params):
-    rows = factor_prices([1.0] * 6, n_days=80, noise=0.01)
-    px = [r[2] for r in rows if r[0] == "T02"]
+    rows = swinging_panel([1.0] * 6, n_days=80, wobble=0.01)
+    px = [r[2] for r in rows if r[0] == "ACX"]
     daily = [b / a - 1 for a, b in zip(px, px[1:])][-63:]
     mean = sum(daily) / 63
     expected = math.sqrt(sum((r - mean) ** 2 for r in daily) / 62 * 252)
-    assert _series(_signals(spark, rows, params), "T02", "vol_63d")[-1] == pytest.approx(expected, rel=1e-12)
+    assert _series(_signals(spark, rows, params), "ACX", "vol_63d")[-1] == pytest.approx(expected, rel=1e-12)
     assert Params().min_universe == 30 and Params().max_gap_days == 5

@@ -88,7 +88,18 @@ def test_staged_rows_come_from_files(spark):
     frame, n = staging.stage_counted(spark.range(7), "seven")
     assert n == 7 and frame.count() == 7
     root = staging.staging_root(spark)
-    assert all(f"{root}/factorspark/seven-" in f"/{path.split('///')[-1]}" for path in frame.inputFiles())
+    run = staging.run_folder(spark)
+    assert run.startswith(f"{root}/factorspark/")
+    assert all(run.split("//")[-1] in path and "/seven-" in path for path in frame.inputFiles())
+
+
+def test_a_scope_leaves_nothing_behind(spark):
+    with staging.scope(spark) as name:
+        inside = staging.stage(spark.range(3), "three")
+        assert inside.count() == 3 and all(f"/{name}/" in path for path in inside.inputFiles())
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{staging.run_folder(spark)}/{name}")
+    assert not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    assert "/shared/" in staging.stage(spark.range(1), "one").inputFiles()[0]
 
 
 class _Session:
@@ -103,16 +114,13 @@ class _Session:
     def getCheckpointDir(self):
         return self._folder
 
-    def setCheckpointDir(self, folder):
-        self._folder = folder
-
 
 def test_staging_folder(tmp_path):
     assert staging.staging_root(_Session("yarn", setting="/shared/a")) == "/shared/a"
     assert staging.staging_root(_Session("yarn", folder="/shared/b")) == "/shared/b"
-    assert "factorspark-" in staging.staging_root(_Session("local[8]"))
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging.staging_root(_Session("yarn"))
+    for master in ("yarn", "local[8]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            staging.staging_root(_Session(master))
 
 
 def test_load_replaces_and_verifies(spark, monkeypatch):
@@ -121,7 +129,7 @@ def test_load_replaces_and_verifies(spark, monkeypatch):
     assert tables.load_prices(first).count() == 2
     assert tables.load_prices(first.limit(1)).count() == 1
     assert tables.raw_prices.dtypes == first.dtypes
-    monkeypatch.setattr(Tables, "materialize", lambda self, df, name, bucket_by=None: df.write.format("noop").mode("overwrite").save() or first.limit(1))
+    monkeypatch.setattr(Tables, "materialize", lambda self, df, name, bucket_by=None, buckets=None: df.write.format("noop").mode("overwrite").save() or first.limit(1))
     with pytest.raises(LoadError, match="sent 2 rows, loaded 1"):
         tables.load_prices(first)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F
 
 from factorspark.functions import is_weekday
 from factorspark.params import Params
-from factorspark.plans import dims, marts
+from factorspark.plans import dims, marts, pipeline
 from factorspark.plans.run import FactorRun
+from factorspark.sources.catalog import Tables
 from factorspark.sources.staging import stage
 from factorspark.sources.trades import daily_trades, dense_panel, sparse_panel, supplier_ticker, unit_price
 
@@ -41,8 +44,8 @@ class Inputs:
 
     @cached_property
     def quotes(self) -> DataFrame:
-        """Every traded line as a raw quote in text, with padding, lower case, time parts,
-        unparseable dates and prices, and negative prices. Days repeat."""
+        """Every traded line as a raw quote in text, with padding, lower case, time parts, several
+        date formats, unparseable dates and prices, and negative prices. Days repeat."""
         order = F.col("l_orderkey")
         ticker = supplier_ticker(F.col("l_suppkey"))
         day = F.date_format("l_shipdate", "yyyy-MM-dd")
@@ -54,6 +57,8 @@ class Inputs:
             .alias("ticker"),
             F.when(order % 97 == 0, F.lit("n.d."))
             .when(order % 7 == 0, F.concat(day, F.lit(" 17:30:00")))
+            .when(order % 11 == 0, F.date_format("l_shipdate", "yyyyMMdd"))
+            .when(order % 13 == 0, F.date_format("l_shipdate", "MMM d, yyyy"))
             .when(order % 89 != 0, day)
             .alias("trade_date"),
             F.when(order % 101 == 0, F.lit("n/a"))
@@ -97,6 +102,14 @@ class Inputs:
             .select("security_key", _date_key("date"), unit_price().alias("adj_close"))
         )
 
+    @cached_property
+    def built(self) -> Tables:
+        """The run built and stored in a schema of this application."""
+        schema = "build_" + re.sub(r"\W", "_", self.spark.sparkContext.applicationId)
+        params = replace(PARAMS, schema=schema, daily_buckets=8)
+        pipeline.run(self.spark, dense_panel(self.table("lineitem")), params)
+        return Tables(self.spark, schema)
+
     # altered copies of the marts, to have something to find
 
     @cached_property
@@ -145,7 +158,7 @@ class Altered:
 
     @cached_property
     def mart_ic(self) -> DataFrame:
-        return marts.mart_ic(self.mart_scores_monthly, PARAMS)
+        return marts.mart_ic(self.mart_scores_monthly)
 
     @cached_property
     def mart_factor_summary(self) -> DataFrame:

@@ -74,6 +74,7 @@ _MODEL = {
                CASE WHEN v_n = 63 THEN v_sd * sqrt(252) END AS vol_63d,
                CASE WHEN b_n = 252 THEN b_cov / nullif(b_sxx / 252, 0) END AS beta_252d
         FROM windows""",
+    # fixed values: names, directions and definitions of the factors
     "dim_factor": """
         SELECT * FROM (VALUES
           ('mom_12_1', 'Momentum (12-1)', 1, 'Price(t-21d) / Price(t-252d) - 1; skips most recent month'),
@@ -100,8 +101,10 @@ _MODEL = {
         SELECT r.ticker, r.adj_close, d.rebalance_date, d.month_idx
         FROM returns r JOIN rebalance_dates d ON d.rebalance_date = r.trade_date""",
     "fwd_returns": """
-        SELECT a.ticker, a.rebalance_date, b.adj_close / a.adj_close - 1 AS fwd_ret_1m
-        FROM month_px a LEFT JOIN month_px b ON b.ticker = a.ticker AND b.month_idx = a.month_idx + 1""",
+        SELECT ticker, rebalance_date,
+               max(adj_close) OVER (PARTITION BY ticker ORDER BY month_idx RANGE BETWEEN 1 FOLLOWING AND 1 FOLLOWING)
+                 / adj_close - 1 AS fwd_ret_1m
+        FROM month_px""",
     "mart_scores_monthly": """
         SELECT s.ticker, s.rebalance_date, s.factor, s.raw_value, s.score,
                ntile(5) OVER (PARTITION BY s.rebalance_date, s.factor ORDER BY s.score, s.ticker) AS quintile, f.fwd_ret_1m
@@ -169,6 +172,8 @@ _QUOTES = {
         SELECT CASE WHEN l_linenumber = 1 THEN '  ' || lower(t) || chr(9) WHEN l_linenumber = 2 THEN lower(t)
                     WHEN l_orderkey % 83 <> 0 THEN t END AS ticker,
                CASE WHEN l_orderkey % 97 = 0 THEN 'n.d.' WHEN l_orderkey % 7 = 0 THEN d || ' 17:30:00'
+                    WHEN l_orderkey % 11 = 0 THEN replace(d, '-', '')
+                    WHEN l_orderkey % 13 = 0 THEN strftime(l_shipdate, '%b %-d, %Y')
                     WHEN l_orderkey % 89 <> 0 THEN d END AS trade_date,
                CASE WHEN l_orderkey % 101 = 0 THEN 'n/a' WHEN l_orderkey % 103 = 0 THEN '-' || p
                     WHEN l_orderkey % 107 = 0 THEN 'NaN' ELSE p END AS adj_close
@@ -177,7 +182,9 @@ _QUOTES = {
               FROM lineitem)""",
     "normalized": r"""
         SELECT upper(regexp_replace(ticker, '^\s+|\s+$', '', 'g')) AS ticker,
-               CAST(try_cast(trade_date AS TIMESTAMP) AS DATE) AS trade_date,
+               CAST(CASE WHEN regexp_full_match(trade_date, '[0-9]{8}') THEN try_strptime(trade_date, '%Y%m%d')
+                         WHEN trade_date LIKE '%, %' THEN try_strptime(trade_date, '%b %-d, %Y')
+                         ELSE try_cast(trade_date AS TIMESTAMP) END AS DATE) AS trade_date,
                CASE WHEN NOT isnan(try_cast(adj_close AS DOUBLE)) THEN try_cast(adj_close AS DOUBLE) END AS adj_close
         FROM quotes""",
     "complete": """
@@ -213,6 +220,11 @@ def _r(*columns: str) -> str:
     return ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in columns)
 
 
+def _r10(*columns: str) -> str:
+    """The same after ten significant digits."""
+    return ", ".join(f"round(CAST(format('{{:.9e}}', {c}) AS DOUBLE), 6) + 0.0 AS {c}" for c in columns)
+
+
 def _i(*columns: str) -> str:
     return ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in columns)
 
@@ -287,9 +299,39 @@ def _checks(p: str, mart: str) -> dict[str, str]:
     }
 
 
+_PARITY_ROWS = """
+        SELECT count(*) FILTER (WHERE a.ticker IS NULL OR b.ticker IS NULL) AS n_one_sided,
+                        count(*) FILTER (WHERE a.ticker = b.ticker) AS n_pairs,
+                        count(*) FILTER (WHERE a.ticker = b.ticker AND a.quintile IS DISTINCT FROM b.quintile) AS n_quintile_diff,
+                        max(abs(a.score - b.score)) AS s, max(abs(a.fwd_ret_1m - b.fwd_ret_1m)) AS f,
+                        count(*) FILTER (WHERE a.ticker = b.ticker AND (a.fwd_ret_1m IS NULL) <> (b.fwd_ret_1m IS NULL))
+                          + count(*) FILTER (WHERE a.ticker = b.ticker AND (a.score IS NULL) <> (b.score IS NULL))
+                          AS n_null_mismatch
+                 FROM mart_scores_monthly a FULL JOIN restated b
+                   ON a.ticker = b.ticker AND a.rebalance_date = b.rebalance_date AND a.factor = b.factor"""
+
+_UNALTERED = ("raw_prices", "dim_factor", "returns", "market", "rebalance_dates", "signals", "scores", "fwd_returns")
+
+
+def _parity() -> str:
+    """All three comparisons as (section, item, difference, same)."""
+    rows = _PARITY_ROWS
+    items = " UNION ALL ".join(
+        f"""SELECT 'score rows' AS section, '{c}' AS item, CAST({c} AS DOUBLE) AS difference,
+            coalesce({c} <= {limit}, false) AS same FROM ({rows})"""
+        for c, limit in (("n_one_sided", 0), ("n_quintile_diff", 0), ("s", 1e-9), ("f", 1e-9))
+    ).replace("'s' AS item", "'max_score_diff' AS item").replace("'f' AS item", "'max_fwd_diff' AS item")
+    return f"""
+        SELECT section, item, round(difference, 6) + 0.0 AS difference, same FROM (
+        SELECT 'row counts' AS section, table_name AS item, CAST(abs(n_a - n_b) AS DOUBLE) AS difference, same
+        FROM ({_parity_counts()})
+        UNION ALL SELECT 'factor summary', metric, max_diff, same FROM ({_parity_summary()})
+        UNION ALL {items})"""
+
+
 def _parity_counts() -> str:
     sides = {
-        "scores": "scores",
+        **{t: t for t in _UNALTERED},
         "mart_scores_monthly": "restated",
         "mart_factor_returns": "b_mart_factor_returns",
         "mart_ic": "b_mart_ic",
@@ -385,6 +427,12 @@ _STATEMENTS: dict[str, tuple[dict[str, str], str]] = {
                   round((max(adj_close) - min(adj_close)) / nullif(abs(min(adj_close)), 0), 6) + 0.0 AS spread
            FROM consensus GROUP BY ticker, trade_date HAVING count(*) > 1""",
     ),
+    "pipeline_build": (_RUN, f"SELECT factor, n_months, {_r(*_SUMMARY)} FROM mart_factor_summary"),
+    "export_factor_summary": (_RUN, f"SELECT factor, n_months, {_r10(*_SUMMARY)} FROM mart_factor_summary"),
+    "export_factor_returns": (
+        {**_RUN, **_DAMAGED},
+        f"SELECT rebalance_date, factor, {_r10(*_QUINTILE_RETURNS)}, n_names FROM d_mart_factor_returns",
+    ),
     # the second price of a near-duplicate is the higher one, so the original panel remains
     "contract_dedup": (_SPARSE, "SELECT ticker, trade_date, adj_close FROM raw_prices"),
     "daily_returns": (_RUN, f"SELECT ticker, trade_date, adj_close, {_r('ret_1d')} FROM returns"),
@@ -443,19 +491,12 @@ _STATEMENTS: dict[str, tuple[dict[str, str], str]] = {
     "parity_summary": ({**_RUN, **_RESTATED}, _parity_summary()),
     "parity_rows": (
         {**_RUN, **_RESTATED},
-        """SELECT n_one_sided, n_pairs, n_quintile_diff, round(s, 6) + 0.0 AS max_score_diff,
+        f"""SELECT n_one_sided, n_pairs, n_quintile_diff, round(s, 6) + 0.0 AS max_score_diff,
                   round(f, 6) + 0.0 AS max_fwd_diff, n_null_mismatch,
                   n_one_sided = 0 AND n_quintile_diff = 0 AND s <= 1e-9 AND f <= 1e-9 AS same
-           FROM (SELECT count(*) FILTER (WHERE a.ticker IS NULL OR b.ticker IS NULL) AS n_one_sided,
-                        count(*) FILTER (WHERE a.ticker = b.ticker) AS n_pairs,
-                        count(*) FILTER (WHERE a.ticker = b.ticker AND a.quintile IS DISTINCT FROM b.quintile) AS n_quintile_diff,
-                        max(abs(a.score - b.score)) AS s, max(abs(a.fwd_ret_1m - b.fwd_ret_1m)) AS f,
-                        count(*) FILTER (WHERE a.ticker = b.ticker AND (a.fwd_ret_1m IS NULL) <> (b.fwd_ret_1m IS NULL))
-                          + count(*) FILTER (WHERE a.ticker = b.ticker AND (a.score IS NULL) <> (b.score IS NULL))
-                          AS n_null_mismatch
-                 FROM mart_scores_monthly a FULL JOIN restated b
-                   ON a.ticker = b.ticker AND a.rebalance_date = b.rebalance_date AND a.factor = b.factor)""",
+           FROM ({_PARITY_ROWS})""",
     ),
+    "parity": ({**_RUN, **_RESTATED}, _parity()),
     "factor_order": (_RUN, f"SELECT factor, row_number() OVER (ORDER BY {_POSITION}, factor) AS position FROM mart_factor_summary"),
     "factor_tstats": (
         _RUN,

@@ -14,7 +14,6 @@ from workload.inputs import Inputs
 DIGITS = 6
 # Prices come from integer sums and are the same to the last bit; rounding could split a tie.
 EXACT = {"adj_close", "min_price", "max_price", "l_extendedprice"}
-PARITY_TABLES = ("scores", "mart_scores_monthly", "mart_factor_returns", "mart_ic", "mart_factor_summary", "dim_month")
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -33,7 +32,11 @@ def _one_signal(name: str) -> Callable[[Inputs], DataFrame]:
 
 
 def _check(check) -> Callable[[Inputs], DataFrame]:
-    return lambda i: check(i.run)
+    return lambda i: check(checks.Measures(i.run))
+
+
+def _export(run: str, table: str) -> Callable[[Inputs], DataFrame]:
+    return lambda i: reporting.export_table(getattr(getattr(i, run), table), reporting.EXPORTS[table])
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -82,11 +85,16 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     **{f"check_{check.__name__}": _check(check) for check in checks.CHECKS},
     "checks_damaged_run": lambda i: checks.run_checks(i.damaged),
     # comparison of two runs
-    "parity_counts": lambda i: parity.parity_counts(i.run, i.restated, PARITY_TABLES),
+    "parity_counts": lambda i: parity.parity_counts(i.run, i.restated),
     "parity_keys": lambda i: parity.key_sides(i.run.mart_scores_monthly, i.restated.mart_scores_monthly),
     "parity_summary": lambda i: parity.parity_summary(i.run.mart_factor_summary, i.restated.mart_factor_summary),
     "parity_rows": lambda i: parity.parity_rows(i.run.mart_scores_monthly, i.restated.mart_scores_monthly),
+    "parity": lambda i: parity.parity(i.run, i.restated),
+    # build in a catalog
+    "pipeline_build": lambda i: i.built.mart_factor_summary,
     # report and BI tables
+    "export_factor_summary": _export("run", "mart_factor_summary"),
+    "export_factor_returns": _export("damaged", "mart_factor_returns"),
     "factor_order": lambda i: reporting.factor_order(i.run.mart_factor_summary),
     "factor_tstats": lambda i: reporting.factor_tstats(i.run.mart_factor_summary),
     "factor_significance": lambda i: reporting.factor_significance(i.run.mart_factor_summary),
@@ -94,9 +102,11 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "ic_tstats": lambda i: reporting.ic_tstats(i.run.mart_ic),
     "ic_rolling_12m": lambda i: reporting.ic_rolling(i.run.mart_ic),
     "cumulative_spread": lambda i: reporting.cumulative_spread(i.run.mart_factor_returns),
-    "cumulative_spread_spine": lambda i: reporting.cumulative_spread_spine(i.run.mart_factor_returns, i.run.dim_month),
+    "cumulative_spread_spine": lambda i: reporting.cumulative_spread_spine(
+        i.run.mart_factor_returns, i.run.dim_month, i.run.dim_factor
+    ),
     "cumulative_spread_mean": lambda i: reporting.cumulative_spread_spine(
-        i.run.mart_factor_returns, i.run.dim_month, per_factor=False
+        i.run.mart_factor_returns, i.run.dim_month, i.run.dim_factor, per_factor=False
     ),
     "quintile_profile": lambda i: reporting.quintile_profile(i.run.mart_factor_returns),
     "factor_measures": lambda i: reporting.factor_measures(
