@@ -34,6 +34,7 @@ TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
 LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
 LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
+SPACES = re.compile(r"\s+")
 BLANKS = re.compile(r"[^\S\n]+")
 EMPTY_LINES = re.compile(r" ?\n\s*")
 
@@ -67,8 +68,8 @@ def digest(data: bytes) -> str:
 
 
 def plain_text(page: str) -> str:
-    """Readable text: a line per block element, white space folded, entities resolved."""
-    page = HIDDEN.sub(" ", page)
+    """Readable text: a line per block element, other white space folded, entities resolved."""
+    page = SPACES.sub(" ", HIDDEN.sub(" ", page))
     page = ANY_TAG.sub("", LINE_TAG.sub("\n", page))
     if "&" in page:
         page = html.unescape(page)
