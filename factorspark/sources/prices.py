@@ -47,10 +47,12 @@ def read_prices(
     jdbc_url: str | None = None,
     query: str | None = None,
     query_file: str | None = None,
+    one_task: bool = False,
     **jdbc_split,
 ) -> DataFrame:
     """Read from exactly one of ``parquet``, ``csv`` and ``jdbc_url`` (which needs a query).
-    CSV columns stay text. ``jdbc_split`` takes the partitioning arguments of ``jdbc_options``."""
+    CSV columns stay text. ``jdbc_split`` takes the partitioning arguments of ``jdbc_options``;
+    reading a whole query in one task has to be asked for."""
     if sum(map(bool, (parquet, csv, jdbc_url))) != 1:
         raise ValueError("give exactly one of: parquet, csv, jdbc_url")
     statement = query_text(query, query_file)
@@ -60,6 +62,8 @@ def read_prices(
         return spark.read.option("header", True).csv(csv)
     if not statement:
         raise ValueError("jdbc_url needs a query")
+    if "partition_column" not in jdbc_split and not one_task:
+        raise ValueError("without partition_column the whole query is read in one task; split it or set one_task")
     return spark.read.format("jdbc").options(**jdbc_options(jdbc_url, statement, **jdbc_split)).load()
 
 
@@ -67,12 +71,12 @@ def consensus_prices(fact: DataFrame, dim_security: DataFrame, dim_date: DataFra
     """(ticker, trade_date, adj_close) of a price fact on trading days.
 
     Several security keys of a slowly-changing dimension can share a ticker, which yields several
-    rows per (ticker, date); the contract decides about those. The date dimension has one row per
-    day and is broadcast; how to join the securities is left to their measured size.
+    rows per (ticker, date); the contract decides about those. How to join the dimensions is left to
+    their measured size.
     """
     trading_days = dim_date.filter("is_trading_day").select("date_key", F.col("date").alias("trade_date"))
     return (
-        fact.join(F.broadcast(trading_days), "date_key")
+        fact.join(trading_days, "date_key")
         .join(dim_security.select("security_key", "ticker"), "security_key")
         .select("ticker", "trade_date", "adj_close")
     )

@@ -27,6 +27,11 @@ def test_jdbc_needs_one_query(spark, tmp_path):
         read_prices(spark, jdbc_url="jdbc:postgresql://host/db", query="SELECT 2", query_file=str(path))
 
 
+def test_jdbc_in_one_task_has_to_be_asked_for(spark):
+    with pytest.raises(ValueError, match="one task"):
+        read_prices(spark, jdbc_url="jdbc:postgresql://host/db", query="SELECT 1")
+
+
 def test_jdbc_options():
     single = jdbc_options("jdbc:x", "SELECT 1")
     assert single["query"] == "SELECT 1" and "dbtable" not in single
