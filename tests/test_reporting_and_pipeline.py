@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import PANEL, swinging_panel
+from panels import PANEL, swinging_panel
 from factorspark.params import Params
 from factorspark.plans import checks, dims, parity, pipeline, reporting
 from factorspark.plans.contract import ContractError

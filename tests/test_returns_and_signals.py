@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import PANEL, business_days, swinging_panel
+from panels import PANEL, business_days, swinging_panel
 from factorspark.params import Params
 from factorspark.plans import returns as R
 from factorspark.plans import signals as S

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import PANEL
+from panels import PANEL
 from factorspark.sources import staging
 from factorspark.sources.catalog import LoadError, Tables
 from factorspark.sources.prices import consensus_prices, jdbc_options, query_text, read_prices
