@@ -15,34 +15,43 @@ from pyspark.sql import functions as F
 from factorspark.sources.staging import stage
 
 
-def _sorted_runs(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The rows with ``_run`` and ``_seq``: their run, and a number that rises along it.
+def _sorted_runs(df: DataFrame, group: Sequence[str], order: Sequence[str], ties: str | None = None) -> DataFrame:
+    """The rows with ``_run`` and ``_seq``: their run, and a number that rises along it; with
+    ``ties`` also ``_tie``, the number of the first row of the run that has the same value.
 
     ``order`` has to identify a row within its group; then the range partitions are balanced even
     when most rows tie on the leading column. The runs are staged before they are counted: a second
     evaluation could draw other range bounds.
     """
-    return stage(
+    runs = (
         df.repartitionByRange(*group, *order)
         .sortWithinPartitions(*group, *order)
-        .withColumns({"_run": F.spark_partition_id(), "_seq": F.monotonically_increasing_id()}),
-        "sorted-runs",
+        .withColumns({"_run": F.spark_partition_id(), "_seq": F.monotonically_increasing_id()})
     )
+    if ties:
+        # a window per run: rows that share a value meet by run only
+        runs = runs.withColumn("_tie", F.min("_seq").over(Window.partitionBy(*group, "_run", ties)))
+    return stage(runs, "sorted-runs")
 
 
-def _starts(runs: DataFrame, group: Sequence[str]) -> DataFrame:
-    """``(group, _run, _shift)``: ``_seq + _shift`` is the 1-based position in the group. At most as
-    many rows as there are groups plus range partitions."""
-    sizes = runs.groupBy(*group, "_run").agg(F.count("*").alias("_rows"), F.min("_seq").alias("_first"))
-    earlier = Window.partitionBy(*group).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1
-    return sizes.select(*group, "_run", shift.alias("_shift"))
+def _run_table(runs: DataFrame, group: Sequence[str], *ends: Column) -> DataFrame:
+    """One row per group and run, at most as many as there are groups plus range partitions:
+    ``_seq + _shift`` is the 1-based position in the group, ``_size`` the rows of the group."""
+    table = runs.groupBy(*group, "_run").agg(F.count("*").alias("_rows"), F.min("_seq").alias("_first"), *ends)
+    along = Window.partitionBy(*group).orderBy("_run")
+    earlier = F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    return table.withColumns(
+        {
+            "_shift": F.coalesce(earlier, F.lit(0)) - F.col("_first") + 1,
+            "_size": F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        }
+    )
 
 
 def sorted_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], column: str) -> DataFrame:
     """Add the 1-based position of every row in its group under ``order``."""
     runs = _sorted_runs(df, group, order)
-    placed = runs.join(_starts(runs, group), [*group, "_run"])
+    placed = runs.join(_run_table(runs, group).select(*group, "_run", "_shift"), [*group, "_run"])
     return placed.withColumn(column, F.col("_seq") + F.col("_shift")).drop("_run", "_seq", "_shift")
 
 
@@ -59,11 +68,10 @@ def _bucket_of(position: Column, size: Column, buckets: int) -> Column:
 def ntile(df: DataFrame, group: Sequence[str], order: Sequence[str], buckets: int, column: str) -> DataFrame:
     """Add NTILE(``buckets``) per group; ``order`` has to identify a row within its group."""
     runs = _sorted_runs(df, group, order)
-    sizes = runs.groupBy(*group).agg(F.count("*").alias("_size"))
-    starts = _starts(runs, group).join(sizes, list(group))
+    table = _run_table(runs, group).select(*group, "_run", "_shift", "_size")
     bucket = _bucket_of(F.col("_seq") + F.col("_shift"), F.col("_size"), buckets)
     return (
-        runs.join(starts, [*group, "_run"])
+        runs.join(table, [*group, "_run"])
         .withColumn(column, bucket.cast("int"))
         .drop("_run", "_seq", "_shift", "_size")
     )
@@ -71,30 +79,19 @@ def ntile(df: DataFrame, group: Sequence[str], order: Sequence[str], buckets: in
 
 def _run_heads(runs: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """``(group, _run, _shift, _head, _head_rank)``: the first value of each run, and the rank of its
-    ties, which may have begun in an earlier run. One row per group and run."""
-    ends = runs.groupBy(*group, "_run").agg(
-        F.min_by(value, "_seq").alias("_head"), F.max_by(value, "_seq").alias("_tail"), F.min("_seq").alias("_first")
-    )
-    # the first row of the last value: ties at the end of a run may go on in the next
-    last = (
-        runs.join(ends.select(*group, "_run", "_tail"), [*group, "_run"])
-        .filter(F.col(value) == F.col("_tail"))
-        .groupBy(*group, "_run")
-        .agg(F.min("_seq").alias("_tail_seq"))
-    )
+    ties, which may have begun in an earlier run."""
+    ends = [F.min_by(value, "_seq").alias("_head"), F.max_by(value, "_seq").alias("_tail")]
+    table = _run_table(runs, group, *ends, F.max("_tie").alias("_tail_tie"))
     along = Window.partitionBy(*group).orderBy("_run")
     goes_on = F.coalesce(F.lag("_tail").over(along) == F.col("_head"), F.lit(False))
-    table = (
-        ends.join(last, [*group, "_run"])
-        .join(_starts(runs, group), [*group, "_run"])
-        .withColumn("_goes_on", goes_on)
-    )
     # where the last value of a run began: known in the run itself unless all of it goes on
     whole = F.col("_goes_on") & (F.col("_head") == F.col("_tail"))
-    began = F.when(~whole, F.col("_tail_seq") + F.col("_shift"))
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    rank = F.when(F.col("_goes_on"), F.last(began, ignorenulls=True).over(before)).otherwise(F.col("_first") + F.col("_shift"))
-    return table.select(*group, "_run", "_shift", "_head", rank.alias("_head_rank"))
+    began = F.when(~whole, F.col("_tail_tie") + F.col("_shift"))
+    before = F.last(began, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    rank = F.when(F.col("_goes_on"), before).otherwise(F.col("_first") + F.col("_shift"))
+    return table.withColumn("_goes_on", goes_on).select(
+        *group, "_run", "_shift", "_head", rank.alias("_head_rank")
+    )
 
 
 def min_ranks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str], row_key: str) -> DataFrame:
@@ -105,13 +102,11 @@ def min_ranks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str], row
     that share a value never meet in one task.
     """
     for name, value in ranks.items():
-        runs = _sorted_runs(df, group, [value, row_key])
-        ties = Window.partitionBy(*group, "_run", value)
-        first = F.min("_seq").over(ties) + F.col("_shift")
-        rank = F.when(F.col(value) == F.col("_head"), F.col("_head_rank")).otherwise(first)
+        runs = _sorted_runs(df, group, [value, row_key], ties=value)
+        rank = F.when(F.col(value) == F.col("_head"), F.col("_head_rank")).otherwise(F.col("_tie") + F.col("_shift"))
         df = (
             runs.join(_run_heads(runs, group, value), [*group, "_run"])
             .withColumn(name, rank)
-            .drop("_run", "_seq", "_shift", "_head", "_head_rank")
+            .drop("_run", "_seq", "_tie", "_shift", "_head", "_head_rank")
         )
     return df
