@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from factorspark.functions import ratio, significant
 from factorspark.params import MONTHS_PER_YEAR, QUINTILES
 from factorspark.plans.dims import canonical_position
-from factorspark.plans.marts import ic_statistics, share_positive, spread_statistics
+from factorspark.plans.marts import ic_statistics, spread_statistics
 
 # Fixed values: |t| from which a statistic counts as different from zero; months of the trailing
 # mean; the exported tables with their sort columns.

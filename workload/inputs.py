@@ -15,7 +15,7 @@ from factorspark.plans import dims, marts, pipeline
 from factorspark.plans.run import FactorRun
 from factorspark.sources.catalog import Tables
 from factorspark.sources.staging import stage
-from factorspark.sources.trades import daily_trades, dense_panel, sparse_panel, supplier_ticker, unit_price
+from factorspark.sources.trades import dense_panel, sparse_panel, supplier_ticker, unit_price
 
 PARAMS = Params(min_universe=5, max_gap_days=5)
 
