@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factorspark.llm.batches import small_batches
 from factorspark.llm.learning import remainder
 
 WINDOW = 256
@@ -161,7 +162,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     Learns only from rows with a language, a text and a remainder other than ``HELD_OUT``; None if
     there are none. The most frequent ``MAX_LANGUAGES`` languages are learned.
     """
-    usable = docs.filter(
+    usable = small_batches(docs).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "") & (remainder("doc_id", MODULUS) != HELD_OUT)
     )
     counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factorspark.llm.batches import small_batches
 from factorspark.llm.pretokens import BYTE_PATTERN, is_plain, load_tokenizer, special_strings, worker_state
 from factorspark.sources.staging import stage_observed
 
@@ -81,7 +82,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, ranks_path: str | None, end_
             if out:
                 yield pa.RecordBatch.from_arrays(columns, _names(_PIECES))
 
-    return docs.select("doc_id", "text").mapInArrow(rows, _PIECES)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(rows, _PIECES)
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factorspark.llm.learning import fit_logistic, labelled_sample, logit, remainder, sigmoid
+from factorspark.llm.batches import small_batches
+from factorspark.llm.learning import fit_logistic, in_order, labelled_sample, logit, remainder, sigmoid
 from factorspark.sources.staging import stage
 
 SAMPLE_ROWS = 30_000
@@ -92,18 +93,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
 
     With no labelled document every text is good, with a single class it is that class.
     """
-    sample = labelled_sample(docs, labels, "quality", MODULUS, rows)
+    sample = labelled_sample(small_batches(docs), labels, "quality", MODULUS, rows)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = pa.array([features(text) for text in batch.column(0).to_pylist()], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([values, batch.column(1)], ["x", "y"])
 
-    table = sample.select("text", "label").mapInArrow(measured, "x array<double>, y int").orderBy("y", "x").toArrow()
-    y = table["y"].to_numpy().astype(np.float64)
+    table = sample.select("text", "label").mapInArrow(measured, "x array<double>, y int").toArrow()
+    _, x, y = in_order(table["x"].to_pylist(), table["y"].to_numpy())
     if len(y) == 0 or y.min() == y.max():
         return Model([], None, float(y[0]) if len(y) else 1.0)
-    x = np.array(table["x"].to_pylist(), np.float64)
     at = np.linspace(0, 1, BINS + 1)[1:-1]
     cuts = [np.unique(np.r_[np.quantile(c, at), np.quantile(np.unique(c), at)]) for c in x.T]
     model = Model(cuts, None, float(y.mean()))

@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factorspark.llm.batches import small_batches
 from factorspark.llm.components import connected_components
 from factorspark.sources.staging import stage
 
@@ -74,7 +75,7 @@ def with_fingerprints(docs: DataFrame, width: int) -> DataFrame:
             found = np.array([fingerprint(text, width) for text in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, fp long")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(rows, "doc_id long, fp long")
 
 
 def shard_keys(fp: str, radius: int) -> list:
@@ -205,7 +206,7 @@ def one_of_each(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
             yield pd.Series(np.array(found, np.uint64).view(np.int64))
 
     marked = stage(
-        docs.select(
+        small_batches(docs).select(
             F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
             "doc_id",
             marked_text("text").alias("fp"),

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factorspark.llm.batches import small_batches
 from factorspark.llm.pretokens import WORD_BPE, is_plain, load_tokenizer, special_strings
 
 ORD_BITS = 13
@@ -126,7 +127,7 @@ def _blocks(docs: DataFrame, path: str) -> DataFrame:
         if block.ids:
             yield block.packed(number)
 
-    return docs.select("doc_id", "text").mapInArrow(rows, _ROWS)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(rows, _ROWS)
 
 
 def _sums(dealt: DataFrame, path: str) -> DataFrame:

@@ -12,8 +12,6 @@ Scores are integers and exact: products run in floating point only while all sum
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window

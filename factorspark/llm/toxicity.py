@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factorspark.llm.learning import Trees, fit_isotonic, fit_trees, labelled_sample, remainder
+from factorspark.llm.batches import small_batches
+from factorspark.llm.learning import Trees, fit_isotonic, fit_trees, in_order, labelled_sample, remainder
 from factorspark.sources.staging import stage
 
 SAMPLE_ROWS = 30_000
@@ -189,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
 
     With no labelled document the score is 0, and with a single class its label, for every text.
     """
-    sample = stage(labelled_sample(docs, labels, "toxic", MODULUS, rows), "toxic-sample")
+    sample = stage(labelled_sample(small_batches(docs), labels, "toxic", MODULUS, rows), "toxic-sample")
     seen = {row["label"] for row in sample.select("label").distinct().collect()}
     if len(seen) < 2:
         return Model(Lexicon.of({}), None, (np.zeros(1), np.zeros(1)), float(max(seen, default=0)))
@@ -205,9 +206,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
             )
 
     measured = sample.select("text", "label", "fold").mapInArrow(rows_of, "x array<double>, y int, fold int")
-    table = measured.orderBy("fold", "y", "x").toArrow()
-    x = np.array(table["x"].to_pylist(), np.float64)
-    y, fold = table["y"].to_numpy().astype(np.float64), table["fold"].to_numpy()
+    table = measured.toArrow()
+    rows_, x, y = in_order(table["x"].to_pylist(), table["y"].to_numpy())
+    fold = table["fold"].to_numpy()[rows_]
     margins = np.zeros(len(y))
     for k in range(3):
         own = fold == k

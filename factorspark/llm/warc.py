@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factorspark.llm.batches import small_batches
+
 SOURCE_DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
 
@@ -145,7 +147,7 @@ def derive(records: DataFrame) -> DataFrame:
                         )
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names)
 
-    return records.select("key", "record_id", "target_uri", "date", "block").mapInArrow(rows, RECORD)
+    return small_batches(records).select("key", "record_id", "target_uri", "date", "block").mapInArrow(rows, RECORD)
 
 
 def rendered(date: str) -> Column:
