@@ -277,6 +277,38 @@ def test_imatch_without_broadcast_and_with_repeated_rows(messy, messy_rows, monk
     assert len(one) == len(messy_rows)
 
 
+def test_imatch_tells_a_large_group_of_near_copies(spark):
+    random_ = random.Random(6)
+    word = lambda: "".join(random_.choices("abcdefghijklmnop", k=5))
+    base, pool = [word() for _ in range(200)], [word() for _ in range(3000)]
+    rows = [(k, " ".join(random_.sample(pool, 200))) for k in range(400)]
+    # a third of the rows, all different: three words are replaced by rare ones
+    rows += [(1000 + k, " ".join([*base[: k % 190], word(), word(), word(), *base[k % 190 + 3 :]])) for k in range(200)]
+    found = {r.doc_id: r for r in imatch.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    near = [found[1000 + k] for k in range(199)]
+    assert min(r.near_next for r in near) > 0.3 and np.mean([r.near_next for r in near]) > 0.7
+    assert min(r.near_edited for r in near) > 0.1
+    assert max(found[k].near_next for k in range(399)) < 0.3
+    # its last member is followed by another text, so that half of it is kept
+    assert found[1199].near_edited > 0 and found[1199].near_next < 0.3
+
+
+def test_imatch_counts_copies_of_a_text_once(spark, monkeypatch):
+    rows = [(k, f"w{k % 9} v{k} u{k % 5}") for k in range(60)] + [(100 + k, "same old words") for k in range(30)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (imatch.BROADCAST_TERMS, 0):
+        monkeypatch.setattr(imatch, "BROADCAST_TERMS", most)
+        kept = {r.term for r in imatch.band(texts, 90, 0.0, 0.2)[0].collect()}
+        assert kept == {r.t for r in texts.select(F.explode(imatch.terms(F.col("text"))).alias("t")).collect()}
+
+
+def test_imatch_tells_texts_of_rare_words_by_all_of_them(spark):
+    rows = [(k, f"common{k % 7} plain{k % 5} usual{k % 6}") for k in range(300)]
+    rows += [(1000, " ".join(f"rare{k}" for k in range(80))), (1001, " ".join(f"rare{k}" for k in range(81)))]
+    got = imatch.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), min_share=0.02).filter("doc_id = 1000")
+    assert got.first().near_next > 0.5
+
+
 def test_imatch_of_nothing_and_of_one(spark, no_docs):
     assert imatch.fingerprints(no_docs).count() == 0
     (only,) = imatch.fingerprints(spark.createDataFrame([(3, "ab cd")], "doc_id long, text string")).collect()
