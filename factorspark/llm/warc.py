@@ -28,10 +28,11 @@ END = "\r\n\r\n"
 HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
 LINE_TAG = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figcaption|footer|form|h[1-6]|head|header|hr|li|main|nav|"
-    r"ol|option|p|pre|section|table|title|td|th|tr|ul)\b(?:[^>\"']++|\"[^\"]{0,4096}+\"|'[^']{0,4096}+')*+>",
+    r"ol|option|p|pre|section|table|title|td|th|tr|ul)\b",
     re.I,
 )
-ANY_TAG = re.compile(r"<[a-z/!?](?:[^>\"']++|\"[^\"]{0,4096}+\"|'[^']{0,4096}+')*+>", re.I)
+ANY_TAG = re.compile(r"<[a-z/!?]", re.I)
+SIGN = re.compile(r"[>\"']")
 TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
 LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
 LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -69,10 +70,58 @@ def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+class _TagEnds:
+    """Where tags end: at the first ``>`` outside quoted values, however long these are.
+
+    Tags are asked for from left to right. All of them together take time linear in the page: a sign
+    from which no end was reached is never followed again.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.first = page, -1
+        self.endless: set[int] = set()
+
+    def _sign(self, at: int) -> int:
+        found = SIGN.search(self.page, at)
+        return found.start() if found else len(self.page)
+
+    def end(self, start: int) -> int:
+        """The place behind the tag that begins at ``start``; 0 if it has no end."""
+        if self.first < start:
+            self.first = self._sign(start)
+        at, passed = self.first, []
+        while at < len(self.page) and at not in self.endless:
+            if self.page[at] == ">":
+                return at + 1
+            passed.append(at)
+            closing = self.page.find(self.page[at], at + 1)
+            if closing < 0:
+                break
+            at = self._sign(closing + 1)
+        self.endless.update(passed)
+        return 0
+
+
+def _without_tags(page: str) -> str:
+    """A line end for every tag that ends a line, nothing for others; what has no end is text."""
+    parts, kept, at, ends = [], 0, 0, _TagEnds(page)
+    while found := ANY_TAG.search(page, at):
+        start = found.start()
+        at = ends.end(start)
+        if at:
+            parts.append(page[kept:start])
+            if LINE_TAG.match(page, start):
+                parts.append("\n")
+            kept = at
+        else:
+            at = start + 1
+    return "".join(parts) + page[kept:]
+
+
 def plain_text(page: str) -> str:
     """Readable text: a line per block element, other white space folded, entities resolved."""
     page = SPACES.sub(" ", HIDDEN.sub(" ", page))
-    page = ANY_TAG.sub("", LINE_TAG.sub("\n", page))
+    page = _without_tags(page)
     if "&" in page:
         page = html.unescape(page)
     return EMPTY_LINES.sub("\n", BLANKS.sub(" ", page)).strip()

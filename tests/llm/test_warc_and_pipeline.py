@@ -3,6 +3,7 @@ import glob
 import gzip
 import hashlib
 import os
+import time
 
 import duckdb
 import pytest
@@ -58,6 +59,19 @@ def test_hostile_markup_is_linear():
     assert warc.plain_text("<script>" * 20_000) == ""
 
 
+def test_long_attributes_are_no_text():
+    value = "data:image/png;base64," + "iVBORw0KGgo>" * 9_000
+    for quote in "\"'":
+        assert warc.plain_text(f"one<img src={quote}{value}{quote}> two<p style={quote}{value}{quote}>three") == "one two\nthree"
+
+
+def test_tags_without_an_end_are_linear():
+    began = time.process_time()
+    for page in ("<a '", '<a "', "<a '\"", "<a", "<a '<b \"", "<p title='\"'"):
+        assert warc.plain_text(page * 100_000 + "x").endswith("x")
+    assert time.process_time() - began < 20
+
+
 def test_other_character_sets():
     fields, text, *_ = warc.derivatives("r", b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>caf\xe9")
     assert text == "café" and "charset: latin-1" in fields
