@@ -25,7 +25,10 @@ SOURCE_DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
 
 # Elements without readable text, and elements that end a line.
-HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|svg)(?=[\s/>]|\Z)", re.I)
+HIDDEN_END = {
+    name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "svg")
+} | {"": re.compile("-->")}
 LINE_TAG = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figcaption|footer|form|h[1-6]|head|header|hr|li|main|nav|"
     r"ol|option|p|pre|section|table|title|td|th|tr|ul)\b",
@@ -102,6 +105,24 @@ class _TagEnds:
         return 0
 
 
+def _without_hidden(page: str) -> str:
+    """A space for every comment and hidden element; one without an end reaches to the end of the page.
+
+    Names are whole names, so ``<svg-icon>`` is not hidden, and ``<svg .../>`` has no content.
+    """
+    parts, at, ends = [], 0, _TagEnds(page)
+    while found := HIDDEN.search(page, at):
+        parts += (page[at : found.start()], " ")
+        name = (found[1] or "").lower()
+        own = ends.end(found.start()) if name == "svg" else 0
+        if own and page[own - 2] == "/":
+            at = own
+        else:
+            closing = HIDDEN_END[name].search(page, found.end())
+            at = closing.end() if closing else len(page)
+    return "".join(parts) + page[at:]
+
+
 def _without_tags(page: str) -> str:
     """A line end for every tag that ends a line, nothing for others; what has no end is text."""
     parts, kept, at, ends = [], 0, 0, _TagEnds(page)
@@ -120,7 +141,7 @@ def _without_tags(page: str) -> str:
 
 def plain_text(page: str) -> str:
     """Readable text: a line per block element, other white space folded, entities resolved."""
-    page = SPACES.sub(" ", HIDDEN.sub(" ", page))
+    page = SPACES.sub(" ", _without_hidden(page))
     page = _without_tags(page)
     if "&" in page:
         page = html.unescape(page)

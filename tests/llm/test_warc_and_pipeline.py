@@ -72,6 +72,13 @@ def test_tags_without_an_end_are_linear():
     assert time.process_time() - began < 20
 
 
+def test_only_hidden_elements_are_hidden():
+    assert warc.plain_text("a<svg-icon name='x'></svg-icon> b <template-card>c</template-card><style-guide> d") == "a b c d"
+    assert warc.plain_text("a<svg/>b<svg width='1' title='>'/>c<svg><path/>no</svg>d") == "a b c d"
+    assert warc.plain_text("a<SVG\n>no</svg >b<script src='x'>no</Script>c<style>no") == "a b c"
+    assert warc.plain_text("<svg '</svg>" * 50_000 + "x") == "x"
+
+
 def test_other_character_sets():
     fields, text, *_ = warc.derivatives("r", b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>caf\xe9")
     assert text == "café" and "charset: latin-1" in fields
