@@ -16,8 +16,10 @@ import types
 # Latin letters and numbers up to U+024F, and the patterns of two public vocabularies.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 NUMBERS = "0-9²³¹¼-¾"
-# without U+0130, whose lower case has two characters, and without other line and space signs
-NOT_PLAIN = re.compile(r"[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
+# without U+0130, whose lower case has two characters, without letters whose lower case is beyond U+024F
+# (U+0181, U+023A and others), and without other line and space signs
+LATIN = "".join(c for c in map(chr, range(0x131, 0x250)) if c.lower() <= "\u024f")
+NOT_PLAIN = re.compile(rf"[^\t-\r\x20-\x7e\xa0-\u012f{LATIN}\u2010-\u2027\u2030-\u205e\u20ac]")
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_BPE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+")
 

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from factorspark.llm import components, imatch, mixture, packing, simhash, tokencount, topk
+from factorspark.llm import components, imatch, mixture, packing, pretokens, simhash, tokencount, topk
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -181,6 +181,17 @@ def test_token_counts_equal_the_tokenizer(messy, messy_rows):
     assert Counter(tuple(r) for r in tokencount.token_counts(messy, WORDS).collect()) == expected
 
 
+def test_pieces_of_plain_characters_are_those_of_the_tokenizer():
+    tokenizer = Tokenizer.from_file(WORDS)
+    for character in filter(lambda c: pretokens.is_plain(c, ()), map(chr, range(0x10000))):
+        text = f"ab{character}cd. {character}"
+        own = pretokens.WORD_BPE.findall(tokenizer.normalizer.normalize_str(text).lower())
+        assert pretokens.WORD_BPE.findall(text.lower()) == own, hex(ord(character))
+        whole = tokenizer.encode(text, add_special_tokens=False).ids
+        apart = [i for piece in pretokens.WORD_BPE.findall(text.lower()) for i in tokenizer.encode(piece, add_special_tokens=False).ids]
+        assert whole == apart, hex(ord(character))
+
+
 def test_many_occurrences_take_several_postings(spark):
     block = tokencount._Block()
     block.add(1, 5, "x", ["x"] * (3 << tokencount.TIMES_BITS))
