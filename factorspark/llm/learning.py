@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factorspark.sources.staging import stage_counted
+
 
 def remainder(doc_id: str, modulus: int) -> Column:
     """CRC-32 of the id as text, modulo ``modulus``; null for a null id."""
@@ -15,11 +17,12 @@ def remainder(doc_id: str, modulus: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, rows: int) -> DataFrame:
-    """``(doc_id, text, label, fold)`` of at most ``rows`` labelled ids with a remainder other than 0.
+    """``(doc_id, text, label, fold)`` of at most ``rows`` labelled documents with a remainder other than 0.
 
     The ids are those with the smallest hashes, so the sample is the same in every run. Null labels
-    are left out, and an id labelled twice counts as the larger label. ``fold`` (0 to 2) depends on
-    the text, so copies share a fold. ``rows`` bounds the broadcast table of ids.
+    are left out, and an id labelled twice counts as the larger label. Rows with the same id and text
+    are one document. ``fold`` (0 to 2) depends on the text, so copies share a fold. ``rows`` bounds
+    the broadcast table of ids and, where ids have several texts, the sample itself.
     """
     ids = (
         labels.filter(F.col(label).isNotNull() & (remainder("doc_id", modulus) != 0))
@@ -30,7 +33,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     )
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     fold = F.pmod(F.xxhash64("text"), F.lit(3)).cast("int").alias("fold")
-    return texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label", fold)
+    found, n = stage_counted(texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label").distinct(), "labelled")
+    if n > rows:
+        keyed = found.withColumn("text_hash", F.xxhash64("text"))
+        first = keyed.select("doc_id", "text_hash").orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash").limit(rows)
+        found = keyed.join(F.broadcast(first), ["doc_id", "text_hash"], "left_semi")
+    return found.select("doc_id", "text", "label", fold)
 
 
 def in_order(values: list, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

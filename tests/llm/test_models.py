@@ -189,3 +189,12 @@ def test_language_without_anything_to_learn(no_docs, messy):
     assert langid.identify(no_docs).count() == 0
     nothing = langid.identify(messy.withColumn("lang", F.lit(None).cast("string"))).toPandas()
     assert set(nothing.lang_pred) == {"und"} and (nothing.score == 0).all()
+
+
+def test_labelled_sample_is_bounded_by_documents(spark):
+    rows = [(1, "copy")] * 300 + [(k, f"text {k}") for k in range(2, 40)] + [(5, f"other {k}") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 40)], "doc_id long, toxic int")
+    found = learning.labelled_sample(docs, labels, "toxic", 1_000_003, 1_000).collect()
+    assert sorted((r.doc_id, r.text) for r in found) == sorted(set(rows))
+    assert len(learning.labelled_sample(docs, labels, "toxic", 1_000_003, 30).collect()) == 30
