@@ -5,7 +5,8 @@ widths run over each window; each filter keeps its maximum, and a softmax layer
 into probabilities. A document's probabilities are the mean of its windows', weighted by their bytes.
 
 The network is trained in numpy on a bounded sample: about ``PER_LANGUAGE`` documents of each
-language and at most ``MAX_WINDOWS`` windows. Where it is applied, embedding and filter are folded
+language and ``MAX_WINDOWS`` windows, dealt evenly to the languages, but at least ``MIN_WINDOWS`` of each
+that has them. Where it is applied, embedding and filter are folded
 into one table per pair of bytes, so that a window costs a few look-ups per byte instead of the
 multiplications.
 """
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factorspark.llm.batches import small_batches
@@ -30,6 +31,7 @@ FILTERS = 16
 EMBEDDING = 8
 PER_LANGUAGE = 1_000
 MAX_WINDOWS = 12_000
+MIN_WINDOWS = 100
 MAX_LANGUAGES = 1_000
 EPOCHS = 3
 BATCH = 64
@@ -168,29 +170,30 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return None
+    quota = max(MIN_WINDOWS, MAX_WINDOWS // len(counts))
     # the shares are a small literal map, one entry per language
     share = F.element_at(
         F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], min(1.0, per_language / row["count"]))]), F.col("lang")
     )
     hashed = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    each = max(1, MAX_WINDOWS // (per_language * len(counts)))
+    each = {row["lang"]: -(-quota // min(per_language, row["count"])) for row in counts}
 
     def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Up to ``each`` windows from anywhere in a text."""
+        """Up to ``each`` windows of its language from anywhere in a text."""
         for batch in batches:
             langs, order, texts = (column.to_pylist() for column in batch.columns)
             out = []
             for lang, at, text in zip(langs, order, texts):
                 data, _, _ = windows([text.encode()])
-                picked = np.random.default_rng(at & 0xFFFFFFFF).permutation(len(data))[:each]
+                picked = np.random.default_rng(at & 0xFFFFFFFF).permutation(len(data))[: each[lang]]
                 out += [(lang, at, data[k].tobytes()) for k in picked]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["lang", "at", "data"])
 
     sample = usable.filter(hashed < share).select("lang", F.xxhash64("doc_id", "text").alias("at"), "text")
-    rows = (
-        sample.mapInArrow(drawn, "lang string, at long, data binary").orderBy("at", "lang", "data").limit(MAX_WINDOWS).collect()
-    )
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("at", "data"))
+    pooled = sample.mapInArrow(drawn, "lang string, at long, data binary").withColumn("place", place)
+    rows = pooled.filter(F.col("place") <= quota).orderBy("at", "lang", "data").collect()
     languages = [row["lang"] for row in counts]
     number = {name: k for k, name in enumerate(languages)}
     data = np.frombuffer(b"".join(row["data"] for row in rows), np.uint8).reshape(-1, WINDOW)

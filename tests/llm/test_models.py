@@ -198,3 +198,12 @@ def test_labelled_sample_is_bounded_by_documents(spark):
     found = learning.labelled_sample(docs, labels, "toxic", 1_000_003, 1_000).collect()
     assert sorted((r.doc_id, r.text) for r in found) == sorted(set(rows))
     assert len(learning.labelled_sample(docs, labels, "toxic", 1_000_003, 30).collect()) == 30
+
+
+def test_every_language_keeps_its_windows(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_WINDOWS", 60)
+    monkeypatch.setattr(langid, "MIN_WINDOWS", 10, raising=False)
+    monkeypatch.setattr(langid, "train", lambda data, target, languages: np.bincount(target, minlength=len(languages)).tolist())
+    rows = [(k, f"text {k} " * 60, f"l{k % 11}") for k in range(1_100)] + [(2_000 + k, f"rare {k} " * 300, "rare") for k in range(6)]
+    counts = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=50)
+    assert counts == [10] * 12
