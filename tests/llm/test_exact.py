@@ -320,6 +320,14 @@ def test_imatch_tells_texts_of_rare_words_by_all_of_them(spark):
     assert got.first().near_next > 0.5
 
 
+def test_imatch_tells_short_texts_by_a_whole_hash(spark):
+    one = spark.range(300_000).select(F.array("id").alias("terms"))
+    half = one.select("terms", imatch.subset_hashes(F.col("terms")).alias("print"))
+    alike_ = half.groupBy(F.concat(F.substring("print", 1, 8), F.substring("print", 17, 256))).agg(F.collect_set("print").alias("prints"), F.count("*").alias("n"))
+    found = alike_.filter("n > 1").collect()
+    assert found and all(len(r.prints) == r.n for r in found)
+
+
 def test_imatch_of_nothing_and_of_one(spark, no_docs):
     assert imatch.fingerprints(no_docs).count() == 0
     (only,) = imatch.fingerprints(spark.createDataFrame([(3, "ab cd")], "doc_id long, text string")).collect()
