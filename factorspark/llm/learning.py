@@ -44,7 +44,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
 def in_order(values: list, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows, features, labels) of a sample in an order of its own, whatever order it arrived in, so
     that sums over it are the same in every run."""
-    x, y = np.array(values, np.float64).reshape(len(labels), -1), labels.astype(np.float64)
+    width = len(values[0]) if values else 0
+    x, y = np.array(values, np.float64).reshape(len(labels), width), labels.astype(np.float64)
     rows = np.lexsort((*x.T, y))
     return rows, x[rows], y[rows]
 
