@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorspark.llm import imatch, langid, mixture, packing, quality, simhash, tokencount, topk, toxicity, warc
+from factorspark.llm import (
+    alignment,
+    divergence,
+    imatch,
+    langid,
+    mixture,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    tokencount,
+    topk,
+    toxicity,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +75,29 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
+    return alignment.align(_table(spark, sf_dir, "documents"), *map(public_tokenizers.path, names))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+def op13_shuffled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shuffled(_table(spark, sf_dir, "documents"), shards=40, seed=42)
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    return rows.select(
+        "row.doc_id",
+        sharding.text_bytes("row.text").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_toxicity": op2_toxicity,
@@ -72,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_components": op8_simhash_components,
     "op9_token_counts": op9_token_counts,
     "op10_source_mix": op10_source_mix,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_shuffled_shards": op13_shuffled_shards,
 }
 
 SQL: dict[str, str] = {
@@ -122,4 +162,44 @@ SQL: dict[str, str] = {
                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS BIGINT) AS taken
         FROM sized s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
     """,
+    "op12_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), groups AS (
+            SELECT DISTINCT lang, source FROM docs
+        ), seen AS (
+            SELECT k, lang, source, unnest(terms) AS term FROM docs
+        ), kept AS (
+            SELECT lang, term, count(*) AS n FROM seen GROUP BY ALL HAVING count(DISTINCT k) >= 30
+        ), sizes AS (
+            SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+        ), counts AS (
+            SELECT s.lang, s.source, s.term, count(*) AS n FROM seen s SEMI JOIN kept k USING (lang, term) GROUP BY ALL
+        ), totals AS (
+            SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL
+        ), probabilities AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                   1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.total, 0) + 5 * z.v) AS p,
+                   1 + (1000000000::HUGEINT * (k.n + 5)) // (z.total + 5 * z.v) AS q
+            FROM groups g JOIN kept k USING (lang) JOIN sizes z USING (lang)
+            LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+            LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ), found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN probabilities x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN probabilities y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+            GROUP BY ALL
+            UNION ALL
+            SELECT lang, source, 'term', term, p - q FROM probabilities WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+        )
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
 }
