@@ -64,9 +64,11 @@ def shuffled(docs: DataFrame, shards: int = 40, seed: int = 42, bucket_bytes: in
     marked = written.select("row", "number", bucket.alias("bucket"))
 
     by_hash = Window.partitionBy("bucket").orderBy("number")
-    ranked = marked.withColumn("nth", F.row_number().over(by_hash))
+    # as many partitions as buckets, on both sides of the join, so that their size does not grow with the table
+    ranked = marked.repartition(buckets, "bucket").withColumn("nth", F.row_number().over(by_hash))
+    orders = _orders(marked, seed).repartition(buckets, "bucket")
     at = F.col("start") + F.element_at("places", F.col("nth"))
-    placed = ranked.join(_orders(marked, seed), "bucket").select("row", at.alias("at"))
+    placed = ranked.join(orders, "bucket").select("row", at.alias("at"))
     rows = F.lit(max(1, seen["rows"])).cast("long")
     shard = F.call_function("div", F.col("at") * shards, rows)
     first = F.call_function("div", F.col("shard") * rows + (shards - 1), F.lit(shards).cast("long"))
