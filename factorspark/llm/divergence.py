@@ -25,7 +25,9 @@ from factorspark.llm.batches import small_batches
 from factorspark.sources.staging import stage
 
 SLICE_BYTES = 8 << 20
-BLOCK_ENTRIES = 1 << 19  # occurrences (source, term) in a block of terms
+# occurrences (source, term) in a block of terms: a block gives one row per two sources, so it has about
+# as many, within these bounds
+BLOCK_ENTRIES = (1 << 15, 1 << 20)
 SOURCE_SLICE = 256
 CELLS = 1 << 21  # of a matrix in memory
 UNIT = 1_000_000_000
@@ -237,8 +239,9 @@ def audit(docs: DataFrame, min_docs: int = 30, top: int = 50) -> DataFrame:
         "groups",
     )
     shape = groups.groupBy("lang").count().agg(F.max("count").alias("sources")).first()
-    blocks = max(1, -(-entries.count() // BLOCK_ENTRIES))
-    slices = max(1, -(-(shape["sources"] or 0) // SOURCE_SLICE))
+    sources = shape["sources"] or 0
+    blocks = max(1, -(-entries.count() // min(max(sources**2, BLOCK_ENTRIES[0]), BLOCK_ENTRIES[1])))
+    slices = max(1, -(-sources // SOURCE_SLICE))
 
     # the table of groups has a row per source: its size decides how it is joined
     scored = entries.join(groups, ["lang", "source"]).select(
