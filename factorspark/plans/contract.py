@@ -23,7 +23,11 @@ KEYS = ["ticker", "trade_date"]
 
 
 class ContractError(ValueError):
-    """The panel breaks the contract; the message lists every violation."""
+    """The panel breaks the contract; the message lists every violation, ``report`` has every rule."""
+
+    def __init__(self, message: str, report: Sequence[Row] = ()):
+        super().__init__(message)
+        self.report = list(report)
 
 
 @dataclass(frozen=True)
@@ -32,9 +36,9 @@ class ValidatedPrices:
     deduped_groups: int
 
 
-def normalize(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+def normalize(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS, keep: Sequence[str] = ()) -> DataFrame:
     """(ticker string, trade_date date, adj_close double): trimmed upper-case ticker, leniently
-    parsed date and price; what cannot be parsed is NULL. Other columns are dropped.
+    parsed date and price; what cannot be parsed is NULL. Other columns are dropped but for ``keep``.
 
     Text dates are ISO, or in the first of ``date_formats`` that fits. The defaults cannot be
     mistaken for one another; formats such as ``d/M/yyyy`` have to be asked for."""
@@ -46,6 +50,7 @@ def normalize(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> Data
         clean_ticker(F.col("ticker")).alias("ticker"),
         parse_date(F.col("trade_date"), types["trade_date"], date_formats).alias("trade_date"),
         parse_number(F.col("adj_close"), types["adj_close"]).alias("adj_close"),
+        *keep,
     )
 
 
@@ -106,31 +111,49 @@ def violations(normalized: DataFrame) -> DataFrame:
     return _per_key(normalized).agg(*[column.alias(name) for name, column in _totals().items()])
 
 
-def _problems(counts: Row, dup_rel_tol: float | None) -> list[str]:
-    found = [
-        f"{column} is {UNPARSEABLE} in {counts[f'null_{column}']} rows"
-        for column in REQUIRED
-        if counts[f"null_{column}"]
-    ]
-    if counts.nonpositive:
-        found.append(f"{NONPOSITIVE} in {counts.nonpositive} rows")
-    if counts.duplicate_groups and not _collapsible(counts, dup_rel_tol):
-        worst = float("inf") if counts.worst_spread is None else counts.worst_spread
-        limit = "" if dup_rel_tol is None else f" and {INTOLERABLE} {dup_rel_tol:g}"
-        found.append(f"{REPEATED} keys: {counts.duplicate_groups}, whose prices differ by up to {worst:.2e} of the lowest{limit}")
-    if not counts.complete_rows:
-        found.append("the panel has no complete row")
-    return found
+_COUNTS = (
+    "null_ticker long, null_trade_date long, null_adj_close long, complete_rows long, nonpositive long, "
+    "duplicate_groups long, worst_spread double"
+)
 
 
-def _collapsible(counts: Row, dup_rel_tol: float | None) -> bool:
-    return dup_rel_tol is not None and counts.worst_spread is not None and counts.worst_spread <= dup_rel_tol
+def report(counts: DataFrame, dup_rel_tol: float | None = None) -> DataFrame:
+    """(rule, column, n_rows, worst, passes): one row per rule of the contract, from ``violations``.
+
+    ``n_rows`` are the rows against the rule; of ``unique`` the groups with several prices, with their
+    worst relative spread in ``worst`` (NULL: undefined); of ``not empty`` the complete rows. Groups
+    pass when their spread is within ``dup_rel_tol``."""
+    within = F.lit(False) if dup_rel_tol is None else F.coalesce(F.col("worst_spread") <= dup_rel_tol, F.lit(False))
+    rules = [("parseable", column, F.col(f"null_{column}"), None, F.col(f"null_{column}") == 0) for column in REQUIRED]
+    rules += [
+        ("positive", "adj_close", F.col("nonpositive"), None, F.col("nonpositive") == 0),
+        ("unique", ", ".join(KEYS), F.col("duplicate_groups"), "worst_spread", (F.col("duplicate_groups") == 0) | within),
+        ("not empty", None, F.col("complete_rows"), None, F.col("complete_rows") > 0),
+    ]
+    rows = [
+        F.struct(
+            F.lit(rule).alias("rule"),
+            F.lit(column).cast("string").alias("column"),
+            n_rows.alias("n_rows"),
+            (F.col(worst) if worst else F.lit(None).cast("double")).alias("worst"),
+            passes.alias("passes"),
+        )
+        for rule, column, n_rows, worst, passes in rules
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
-def collapse(normalized: DataFrame) -> DataFrame:
-    """One row per key with its lowest price. Row order means nothing in a distributed frame, so
-    the lowest price stands for the group whatever the partitioning."""
-    return normalized.dropna(subset=list(REQUIRED)).groupBy(*KEYS).agg(F.min("adj_close").alias("adj_close"))
+def _problem(rule: Row, dup_rel_tol: float | None) -> str:
+    """What a rule that does not pass is called in the message."""
+    if rule.rule == "parseable":
+        return f"{rule.column} is {UNPARSEABLE} in {rule.n_rows} rows"
+    if rule.rule == "positive":
+        return f"{NONPOSITIVE} in {rule.n_rows} rows"
+    if rule.rule == "unique":
+        worst = float("inf") if rule.worst is None else rule.worst
+        limit = "" if dup_rel_tol is None else f" and {INTOLERABLE} {dup_rel_tol:g}"
+        return f"{REPEATED} keys: {rule.n_rows}, whose prices differ by up to {worst:.2e} of the lowest{limit}"
+    return "the panel has no complete row"
 
 
 def validate(df: DataFrame, dup_rel_tol: float | None = None) -> ValidatedPrices:
@@ -142,12 +165,13 @@ def validate(df: DataFrame, dup_rel_tol: float | None = None) -> ValidatedPrices
     A valid panel without duplicates has one row per key, so the keys are the panel.
     """
     per_key, seen = stage_observed(_per_key(normalize(df)), "panel", **_totals())
-    counts = Row(**seen)
-    found = _problems(counts, dup_rel_tol)
+    counts = df.sparkSession.createDataFrame([Row(**seen)], _COUNTS)
+    rules = report(counts, dup_rel_tol).collect()
+    found = [_problem(rule, dup_rel_tol) for rule in rules if not rule.passes]
     if found:
-        raise ContractError("; ".join(found))
+        raise ContractError("; ".join(found), rules)
     panel = per_key.filter(_complete_key() & (F.col("n_prices") > 0))
-    return ValidatedPrices(panel.select(*KEYS, F.col("min_price").alias("adj_close")), counts.duplicate_groups)
+    return ValidatedPrices(panel.select(*KEYS, F.col("min_price").alias("adj_close")), seen["duplicate_groups"])
 
 
 def panel_profile(prices: DataFrame) -> DataFrame:

@@ -6,22 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factorspark.functions import ratio
-from factorspark.operators.ranking import min_ranks, ntile
+from factorspark.operators.ranking import min_ranks, ranked
 from factorspark.params import MONTHS_PER_YEAR, QUINTILES
 from factorspark.plans.scores import CROSS_SECTION, FORWARD
 
 
-def with_quintiles(scored: DataFrame) -> DataFrame:
-    """(ticker, rebalance_date, factor, raw_value, score, quintile, fwd_ret_1m) from scores that
-    already carry their forward return. Every scored name counts, with or without one."""
-    ranked = ntile(scored, CROSS_SECTION, ["score", "ticker"], QUINTILES, "quintile")
-    return ranked.select("ticker", *CROSS_SECTION, "raw_value", "score", "quintile", FORWARD)
+RANK = "rk_score"
+
+
+def ranked_scores(scored: DataFrame) -> DataFrame:
+    """(ticker, rebalance_date, factor, raw_value, score, quintile, fwd_ret_1m, rk_score) from scores that
+    already carry their forward return.
+
+    One sort by score gives both: the quintile, for which every scored name counts, and ``rk_score``, the
+    rank among the names with a forward return, NULL for the others."""
+    rows = scored.select("ticker", *CROSS_SECTION, "raw_value", "score", FORWARD)
+    found = ranked(rows, CROSS_SECTION, "score", "ticker", {"quintile": QUINTILES}, {RANK: F.col(FORWARD).isNotNull()})
+    return found.select("ticker", *CROSS_SECTION, "raw_value", "score", "quintile", FORWARD, RANK)
+
+
+def scores_with_forward(scores: DataFrame, forward: DataFrame) -> DataFrame:
+    """Every score with its forward return where there is one. Both tables are stored in the same buckets
+    by (ticker, rebalance_date), so the merge join asked for reads them without a shuffle, at any size."""
+    return scores.join(forward.hint("merge"), ["ticker", "rebalance_date"], "left")
 
 
 def mart_scores_monthly(scores: DataFrame, forward: DataFrame) -> DataFrame:
     """Quintile of every scored name, with its forward return where there is one, from two tables.
     A run takes both from its month-end rows instead, without this join."""
-    return with_quintiles(scores.join(forward, ["ticker", "rebalance_date"], "left"))
+    return ranked_scores(scores_with_forward(scores, forward)).drop(RANK)
 
 
 def _earned(scores_monthly: DataFrame) -> DataFrame:
@@ -51,12 +64,15 @@ def correlation(x: str, y: str) -> Column:
 
 
 def mart_ic(scores_monthly: DataFrame) -> DataFrame:
-    """(rebalance_date, factor, ic, n_names): correlation of score rank and forward-return rank."""
-    earned = _earned(scores_monthly).select("ticker", *CROSS_SECTION, "score", FORWARD)
-    ranks = {"rk_score": "score", "rk_fwd": FORWARD}
-    ranked = min_ranks(earned, CROSS_SECTION, ranks, "ticker")
-    return ranked.groupBy(*CROSS_SECTION).agg(
-        correlation("rk_score", "rk_fwd").alias("ic"), F.count("*").alias("n_names")
+    """(rebalance_date, factor, ic, n_names): correlation of score rank and forward-return rank. Where
+    the table has the score ranks already, one sort is left, by forward return."""
+    known = RANK in scores_monthly.columns
+    earned = _earned(scores_monthly).select("ticker", *CROSS_SECTION, FORWARD, RANK if known else "score")
+    missing = {"rk_fwd": FORWARD} if known else {RANK: "score", "rk_fwd": FORWARD}
+    return (
+        min_ranks(earned, CROSS_SECTION, missing, "ticker")
+        .groupBy(*CROSS_SECTION)
+        .agg(correlation(RANK, "rk_fwd").alias("ic"), F.count("*").alias("n_names"))
     )
 
 

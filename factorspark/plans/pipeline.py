@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from factorspark.params import Params
 from factorspark.plans import checks
 from factorspark.plans.contract import panel_profile, validate
-from factorspark.plans.tables import PLANS
+from factorspark.plans.marts import mart_factor_returns, mart_ic
+from factorspark.plans.tables import PLANS, ranked_scores
 from factorspark.sources.catalog import Tables
-from factorspark.sources.staging import scope
+from factorspark.sources.staging import scope, stage
 
 # Names of the stages and of their tables, in build order. Every table reads only
-# earlier ones. Scores and marts come from ``month_end``; nothing reads the daily signals again.
+# earlier ones. Scores and marts come from ``month_end``.
 STAGES = {
     "dims": ["dim_factor"],
     "returns": ["returns"],
@@ -26,7 +29,31 @@ STAGES = {
     "fwd_returns": ["fwd_returns"],
     "marts": ["mart_scores_monthly", "mart_factor_returns", "mart_ic", "mart_factor_summary", "dim_month"],
 }
-_BY_TICKER = ("returns", "signals")
+# how tables are stored: in buckets, so that windows and joins over the key need no shuffle, or in a
+# folder per month, so that some months can be read and renewed alone
+_BUCKETS = {
+    "returns": ["ticker"],
+    "signals": ["ticker"],
+    "scores": ["ticker", "rebalance_date"],
+    "fwd_returns": ["ticker", "rebalance_date"],
+}
+_MONTHLY = ("month_end", "mart_scores_monthly")
+
+
+class _Working:
+    """Stored tables, and the ranked scores, which are staged for the marts and not stored."""
+
+    def __init__(self, tables: Tables, params: Params, ranked: DataFrame | None = None):
+        self._tables, self._params, self._ranked = tables, params, ranked
+
+    @property
+    def ranked_scores(self) -> DataFrame:
+        if self._ranked is None:
+            self._ranked = stage(PLANS["ranked_scores"](self, self._params), "ranked_scores")
+        return self._ranked
+
+    def __getattr__(self, name: str):
+        return getattr(self._tables, name)
 
 
 @dataclass(frozen=True)
@@ -42,21 +69,46 @@ class RunReport:
 
 
 def build(spark: SparkSession, params: Params, stages: Sequence[str] | None = None) -> list[str]:
-    """Run the named stages, or all, over the loaded ``raw_prices``; returns what ran. Daily tables are stored in ``params.daily_buckets`` buckets by ticker, the key of all
-    their windows, which therefore read them without a shuffle."""
+    """Run the named stages, or all, over the loaded ``raw_prices``; returns what ran.
+
+    Daily tables are stored in ``params.daily_buckets`` buckets by ticker, the key of all their windows,
+    which therefore read them without a shuffle; scores and forward returns in as many by (ticker, date),
+    the key of their join; month-end rows and the scores mart in a folder per month."""
     unknown = set(stages or ()) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}; known: {list(STAGES)}")
     tables = Tables(spark, params.schema)
     tables.ensure_schema()
-    ran = [stage for stage in STAGES if stages is None or stage in stages]
-    for stage in ran:
-        for name in STAGES[stage]:
-            buckets = params.daily_buckets if name in _BY_TICKER else None
-            tables.materialize(PLANS[name](tables, params), name, "ticker" if buckets else None, buckets)
+    ran = [step for step in STAGES if stages is None or step in stages]
+    with scope(spark):
+        working = _Working(tables, params)
+        for name in (name for step in ran for name in STAGES[step]):
+            keys = _BUCKETS.get(name)
+            month = "rebalance_date" if name in _MONTHLY else None
+            tables.materialize(PLANS[name](working, params), name, keys, keys and params.daily_buckets, month)
     return ran
 
 
+def rebuild_months(spark: SparkSession, params: Params, months: Sequence[dt.date]) -> None:
+    """Build the marts of some rebalance dates again, from their stored month-end rows.
+
+    A month's scores, quintiles and ranks depend on that month alone, so only its folders of ``month_end``
+    are read and only its folders of the scores mart are written. The tables with a row per month and
+    factor keep their other rows; the summary and the months follow from them."""
+    tables = Tables(spark, params.schema)
+    wanted = F.col("rebalance_date").isin(list(months))
+    with scope(spark):
+        month_end = tables.month_end.filter(wanted)
+        ranked = stage(ranked_scores(month_end, tables.dim_factor, params), "ranked_scores")
+        fresh = _Working(tables, params, ranked)
+        mart = PLANS["mart_scores_monthly"](fresh, params)
+        tables.replace_partitions(mart, "mart_scores_monthly", months)
+        for name, rows in (("mart_factor_returns", mart_factor_returns(mart)), ("mart_ic", mart_ic(ranked))):
+            tables.materialize(getattr(tables, name).filter(~wanted).unionByName(rows), name)
+        for name in ("mart_factor_summary", "dim_month"):
+            tables.materialize(PLANS[name](tables, params), name)
+
+
 def run(spark: SparkSession, prices: DataFrame, params: Params, dup_rel_tol: float | None = None) -> RunReport:
     """Validate, load, build and check; what was staged on the way is removed at the end."""
     tables = Tables(spark, params.schema)

@@ -5,27 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from factorspark.params import Params
+from factorspark.plans.returns import daily_returns
 from factorspark.plans.tables import PLANS
-from factorspark.sources.staging import stage
+from factorspark.sources.staging import stage, stage_bucketed
 
 # tables with several consumers; they are written once and read back
-STAGED = ("returns", "market", "month_end", "mart_scores_monthly")
+STAGED = ("market", "month_end", "ranked_scores")
 
 
 class FactorRun:
     """Every table of a run as an attribute. Tables with several consumers are staged; the rest
-    stays lazy, so asking for one table computes only what it needs."""
+    stays lazy, so asking for one table computes only what it needs.
 
-    daily_by_ticker = False
+    The prices are dealt by ticker once. The returns are staged in buckets by ticker, a layout that the
+    catalog keeps, so the windows of the signals read them without a second exchange."""
+
+    signals_stored = False
 
     def __init__(self, raw_prices: DataFrame, params: Params):
         self.raw_prices = raw_prices
         self.params = params
 
+    def _returns(self) -> DataFrame:
+        buckets = self.params.daily_buckets
+        dealt = daily_returns(self.raw_prices.repartition(buckets, "ticker"), self.params)
+        return stage_bucketed(dealt, "returns", ["ticker"], buckets)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in PLANS:
             raise AttributeError(name)
-        table = PLANS[name](self, self.params)
-        found = stage(table, name) if name in STAGED else table
+        if name == "returns":
+            found = self._returns()
+        else:
+            table = PLANS[name](self, self.params)
+            found = stage(table, name) if name in STAGED else table
         setattr(self, name, found)
         return found

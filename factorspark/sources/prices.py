@@ -6,6 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def query_text(query: str | None = None, query_file: str | None = None) -> str | None:
@@ -40,6 +41,26 @@ def jdbc_options(
     }
 
 
+# Text of a line that does not fit the columns.
+BAD_LINE = "_bad_line"
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of the header as text, and ``_bad_line``.
+
+    Fields may be quoted and then hold commas, and quotes written twice. A line with too few or too many
+    fields, or with a quote that is not closed, has NULL in all columns and its text in ``_bad_line``;
+    the contract counts it as unparseable. Every file needs the same header."""
+    names = spark.read.option("header", True).csv(path).columns
+    fields = StructType([StructField(name, StringType()) for name in [*names, BAD_LINE]])
+    reader = spark.read.schema(fields).option("columnNameOfCorruptRecord", BAD_LINE).option("mode", "PERMISSIVE")
+    # a line is judged by all its fields, whatever columns are asked for
+    reader = reader.option("columnPruning", False).option("header", True).option("enforceSchema", False)
+    lines = reader.option("quote", '"').option("escape", '"').csv(path)
+    fits = F.col(BAD_LINE).isNull()
+    return lines.select(*[F.when(fits, F.col(f"`{name}`")).alias(name) for name in names], BAD_LINE)
+
+
 def read_prices(
     spark: SparkSession,
     parquet: str | None = None,
@@ -51,7 +72,7 @@ def read_prices(
     **jdbc_split,
 ) -> DataFrame:
     """Read from exactly one of ``parquet``, ``csv`` and ``jdbc_url`` (which needs a query).
-    CSV columns stay text. ``jdbc_split`` takes the partitioning arguments of ``jdbc_options``;
+    CSV columns stay text, and damaged lines are kept beside them (``read_csv``). ``jdbc_split`` takes the partitioning arguments of ``jdbc_options``;
     reading a whole query in one task has to be asked for."""
     if sum(map(bool, (parquet, csv, jdbc_url))) != 1:
         raise ValueError("give exactly one of: parquet, csv, jdbc_url")
@@ -59,7 +80,7 @@ def read_prices(
     if parquet:
         return spark.read.parquet(parquet)
     if csv:
-        return spark.read.option("header", True).csv(csv)
+        return read_csv(spark, csv)
     if not statement:
         raise ValueError("jdbc_url needs a query")
     if "partition_column" not in jdbc_split and not one_task:

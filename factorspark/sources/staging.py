@@ -8,7 +8,7 @@ stages lies under one folder, which ``release`` removes; ``scope`` does so for o
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 _scope: ContextVar[str] = ContextVar("scope", default="shared")
+_tables: dict[str, list[str]] = {}  # catalog entries of bucketed stages, by scope
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -39,6 +40,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, name: str, by: Sequence[str], buckets: int) -> DataFrame:
+    """``stage`` in buckets by some columns, one file each. Windows and joins over these columns read the
+    result without a shuffle. The layout is known through an entry of the catalog, which ``release``
+    drops."""
+    spark, scope_, number = df.sparkSession, _scope.get(), uuid.uuid4().hex
+    table = f"{spark.catalog.currentDatabase()}.staged_{name}_{number}"
+    dealt = df.repartition(buckets, *by)
+    path = f"{run_folder(spark)}/{scope_}/{name}-{number}"
+    dealt.write.format("parquet").bucketBy(buckets, *by).option("path", path).saveAsTable(table)
+    _tables.setdefault(scope_, []).append(table)
+    return spark.table(table)
+
+
 def stage_observed(df: DataFrame, name: str, **figures) -> tuple[DataFrame, dict]:
     """``stage``, and aggregates of the rows, taken while they are written."""
     seen = Observation(name)
@@ -54,6 +68,9 @@ def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
 
 def release(spark: SparkSession, scope: str | None = None) -> None:
     """Remove what this application has staged, or one scope of it; frames read from there end."""
+    for name in [scope] if scope else list(_tables):
+        for table in _tables.pop(name, []):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(run_folder(spark) + (f"/{scope}" if scope else ""))
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

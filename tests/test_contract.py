@@ -58,6 +58,25 @@ def test_every_violation_is_listed(spark):
     assert message.count("; ") == 4
 
 
+def test_report_has_every_rule_and_gives_the_message(spark):
+    rows = [("A", "2024-01-02", "1"), ("A", "2024-01-02", "1.5"), ("B", "2024-01-02", "-3"), ("C", "soon", "1")]
+    found = contract.report(contract.violations(contract.normalize(_frame(spark, rows, TEXT))), 1e-5).collect()
+    assert [(r.rule, r.column, r.n_rows, r.worst, r.passes) for r in found] == [
+        ("parseable", "ticker", 0, None, True),
+        ("parseable", "trade_date", 1, None, False),
+        ("parseable", "adj_close", 0, None, True),
+        ("positive", "adj_close", 1, None, False),
+        ("unique", "ticker, trade_date", 1, 0.5, False),
+        ("not empty", None, 3, None, True),
+    ]
+    with pytest.raises(contract.ContractError) as error:
+        contract.validate(_frame(spark, rows, TEXT), 1e-5)
+    assert error.value.report == found
+    assert str(error.value).count("; ") == sum(not r.passes for r in found) - 1
+    wide = contract.report(contract.violations(contract.normalize(_frame(spark, rows, TEXT))), 0.5).collect()
+    assert [r.passes for r in wide] == [True, False, True, False, True, True]
+
+
 @pytest.mark.parametrize(
     "text, parsed",
     [

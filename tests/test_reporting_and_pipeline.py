@@ -195,7 +195,7 @@ def test_build_in_the_catalog_equals_the_lazy_run(spark, noisy_run):
 
     described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED built.returns").collect()}
     assert described["Num Buckets"] == str(params.daily_buckets) != spark.conf.get("spark.sql.shuffle.partitions")
-    daily = signals.signals(built.returns, built.market, built.daily_by_ticker)
+    daily = signals.signals(built.returns, built.market, by_ticker=True)
     plan = daily._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(ticker" not in plan
     plan = scores.forward_returns(built.returns, built.rebalance_dates)._jdf.queryExecution().executedPlan().toString()
@@ -207,3 +207,48 @@ def test_a_broken_panel_is_not_loaded(spark):
     with pytest.raises(ContractError):
         pipeline.run(spark, prices, Params(schema="never"))
     assert not spark.catalog.databaseExists("never")
+
+
+def test_months_are_rebuilt_alone(spark, noisy_run):
+    params = Params(schema="months", min_universe=5, daily_buckets=3)
+    prices = spark.createDataFrame(swinging_panel(np.linspace(0.3, 1.5, 20), 900, 0.006), PANEL)
+    pipeline.run(spark, prices, params)
+    built = Tables(spark, "months")
+    months = [r.month_end for r in built.dim_month.orderBy("month_end").collect()]
+    wrong, lost, *kept = months[3:]
+
+    def files(day):
+        return set(built.mart_scores_monthly.filter(F.col("rebalance_date") == F.lit(day)).inputFiles())
+
+    before = {day: files(day) for day in kept}
+    worse = built.mart_scores_monthly.filter(F.col("rebalance_date") == F.lit(wrong)).withColumn("score", F.lit(9.0))
+    rows = worse.collect()
+    worse = spark.createDataFrame(rows, built.mart_scores_monthly.schema)
+    built.replace_partitions(worse, "mart_scores_monthly", [wrong, lost])
+    assert not parity.has_parity(parity.parity(built, noisy_run))
+    pipeline.rebuild_months(spark, params, [wrong, lost])
+    assert parity.has_parity(parity.parity(built, noisy_run))
+    assert {day: files(day) for day in kept} == before
+    # one month reads one folder
+    plan = built.month_end.filter(F.col("rebalance_date") == F.lit(lost))
+    assert len({path.rsplit("/", 2)[1] for path in plan.inputFiles()}) == 1
+
+
+def test_scores_and_forward_returns_join_without_a_shuffle(spark, noisy_run):
+    from factorspark.plans import marts
+
+    params = Params(schema="joined", min_universe=5, daily_buckets=3)
+    prices = spark.createDataFrame(swinging_panel(np.linspace(0.3, 1.5, 20), 900, 0.006), PANEL)
+    pipeline.run(spark, prices, params)
+    built = Tables(spark, "joined")
+    joined = marts.scores_with_forward(built.scores, built.fwd_returns)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    plain = noisy_run.scores.join(noisy_run.fwd_returns, ["ticker", "rebalance_date"], "left")
+    keys = ["ticker", "rebalance_date", "factor", "raw_value", "fwd_ret_1m"]
+    assert joined.select(keys).exceptAll(plain.select(keys)).isEmpty() and plain.count() == joined.count()
+
+
+def test_lazy_signals_read_the_returns_without_a_shuffle(noisy_run):
+    plan = noisy_run.signals._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(ticker" not in plan

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panels import PANEL
 from factorspark.sources import staging
+from factorspark.plans import contract
 from factorspark.sources.catalog import LoadError, Tables
 from factorspark.sources.prices import consensus_prices, jdbc_options, query_text, read_prices
 from factorspark.sources.trades import dense_panel, sparse_panel
@@ -47,7 +48,7 @@ def test_csv_stays_text_and_parquet_keeps_types(spark, tmp_path):
     df.write.option("header", True).csv(str(tmp_path / "c"))
     df.write.parquet(str(tmp_path / "p"))
     csv = read_prices(spark, csv=str(tmp_path / "c"))
-    assert [t for _, t in csv.dtypes] == ["string"] * 3 and tuple(csv.first()) == ("A", "2024-01-02", "1.5")
+    assert [t for _, t in csv.dtypes] == ["string"] * 4 and tuple(csv.first()) == ("A", "2024-01-02", "1.5", None)
     assert read_prices(spark, parquet=str(tmp_path / "p")).dtypes == df.dtypes
 
 
@@ -89,6 +90,25 @@ def test_sparse_panel_has_traded_days_only(spark):
     assert [(r.trade_date.day, r.adj_close) for r in sparse_panel(trades).orderBy("trade_date").collect()] == [(3, 10.0), (8, 30.0)]
 
 
+def test_csv_keeps_damaged_lines(spark, tmp_path):
+    folder = tmp_path / "quotes"
+    folder.mkdir()
+    (folder / "a.csv").write_text(
+        'ticker,trade_date,adj_close,note\n"A, ""x""",2024-01-02,1,\nB,2024-01-02\nC,2024-01-03,2,n,extra\n'
+        'D,"2024-01-02,3,n\nE,2024-01-04,5,"two words"\n'
+    )
+    (folder / "b.csv").write_text("ticker,trade_date,adj_close,note\nF,2024-01-05,6,\n")
+    raw = read_prices(spark, csv=str(folder))
+    bad = {r._bad_line for r in raw.filter("_bad_line IS NOT NULL").collect()}
+    assert bad == {"B,2024-01-02", "C,2024-01-03,2,n,extra", 'D,"2024-01-02,3,n'}
+    good = {(r.ticker, r.adj_close, r.note) for r in raw.filter("_bad_line IS NULL").collect()}
+    assert good == {('A, "x"', "1", None), ("E", "5", "two words"), ("F", "6", None)}
+    # a line is judged by all its fields, whatever is asked for
+    assert raw.select("ticker").filter("ticker IS NULL").count() == 3
+    with pytest.raises(contract.ContractError, match="ticker is null/unparseable in 3 rows"):
+        contract.validate(raw)
+
+
 def test_staged_rows_come_from_files(spark):
     frame, n = staging.stage_counted(spark.range(7), "seven")
     assert n == 7 and frame.count() == 7
@@ -98,6 +118,16 @@ def test_staged_rows_come_from_files(spark):
     assert all(run.split("//")[-1] in path and "/seven-" in path for path in frame.inputFiles())
 
 
+def test_a_bucketed_stage_is_read_without_a_shuffle(spark):
+    with staging.scope(spark):
+        rows = spark.range(100).select((F.col("id") % 9).alias("k"), "id")
+        kept = staging.stage_bucketed(rows, "by_key", ["k"], 3)
+        counted = kept.groupBy("k").count()
+        assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+        assert counted.count() == 9 and any(t.name.startswith("staged_by_key") for t in spark.catalog.listTables())
+    assert not any(t.name.startswith("staged_by_key") for t in spark.catalog.listTables())
+
+
 def test_a_scope_leaves_nothing_behind(spark):
     with staging.scope(spark) as name:
         inside = staging.stage(spark.range(3), "three")
@@ -134,9 +164,52 @@ def test_load_replaces_and_verifies(spark, monkeypatch):
     assert tables.load_prices(first).count() == 2
     assert tables.load_prices(first.limit(1)).count() == 1
     assert tables.raw_prices.dtypes == first.dtypes
-    monkeypatch.setattr(Tables, "materialize", lambda self, df, name, bucket_by=None, buckets=None: df.write.format("noop").mode("overwrite").save() or first.limit(1))
+    counted = Tables._verify
+    monkeypatch.setattr(Tables, "_verify", staticmethod(lambda name, sent, loaded: counted(name, sent, loaded - 1)))
     with pytest.raises(LoadError, match="sent 2 rows, loaded 1"):
         tables.load_prices(first)
+    # the old table is still there, and nothing beside it
+    assert tables.raw_prices.count() == 1
+    assert [t.name for t in spark.catalog.listTables("load_test")] == ["raw_prices"]
+
+
+def test_a_failed_write_leaves_the_old_table(spark):
+    tables = Tables(spark, "swap_test")
+    tables.ensure_schema()
+    month = F.date_add(F.lit(dt.date(2024, 1, 31)), (F.col("id") % 3).cast("int")).alias("m")
+    tables.materialize(spark.range(9).select("id", month), "months", partition_by="m")
+    for _ in range(2):  # a replacement may read the table that it replaces
+        tables.materialize(tables.months.withColumn("id", F.col("id") + 1), "months", partition_by="m")
+    broken = tables.months.withColumn("id", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        tables.materialize(broken, "months", partition_by="m")
+    assert sorted(r.id for r in tables.months.collect()) == list(range(2, 11))
+    assert [t.name for t in spark.catalog.listTables("swap_test")] == ["months"]
+
+
+def test_a_swap_that_was_cut_short_is_mended(spark):
+    tables = Tables(spark, "mend_test")
+    tables.ensure_schema()
+    tables.materialize(spark.range(5), "five")
+    spark.sql("ALTER TABLE mend_test.five RENAME TO mend_test.five__old")  # where a process died
+    with pytest.raises(Exception, match="lost"):
+        tables.materialize(spark.range(1).select(F.raise_error(F.lit("lost")).alias("id")), "five")
+    assert tables.five.count() == 5
+
+
+def test_partitions_are_replaced_alone(spark):
+    tables = Tables(spark, "part_test")
+    tables.ensure_schema()
+    days = [dt.date(2024, m, 28) for m in (1, 2, 3, 4)]
+    rows = [(f"K{i}", float(i), day) for day in days for i in range(5)]
+    tables.materialize(spark.createDataFrame(rows, "k string, x double, d date"), "t", partition_by="d")
+    files = {d: set(tables.t.filter(F.col("d") == F.lit(d)).inputFiles()) for d in days}
+    fresh = spark.createDataFrame([("N", days[1], 7.0)], "k string, d date, x double")  # another column order
+    tables.replace_partitions(fresh, "t", [days[1], days[2]])
+    left = {d: [(r.k, r.x) for r in tables.t.filter(F.col("d") == F.lit(d)).collect()] for d in days}
+    assert left[days[1]] == [("N", 7.0)] and left[days[2]] == [] and len(left[days[0]]) == len(left[days[3]]) == 5
+    for d in (days[0], days[3]):
+        assert set(tables.t.filter(F.col("d") == F.lit(d)).inputFiles()) == files[d]
 
 
 def test_ad_hoc_sql_has_lower_case_names(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import replace
 from functools import cached_property
 
@@ -14,10 +15,10 @@ from factorspark.params import Params
 from factorspark.plans import dims, marts, pipeline
 from factorspark.plans.run import FactorRun
 from factorspark.sources.catalog import Tables
-from factorspark.sources.staging import stage
+from factorspark.sources.staging import run_folder, stage
 from factorspark.sources.trades import dense_panel, sparse_panel, supplier_ticker, unit_price
 
-PARAMS = Params(min_universe=5, max_gap_days=5)
+PARAMS = Params(min_universe=5, max_gap_days=5, daily_buckets=8)
 
 
 class Inputs:
@@ -105,27 +106,64 @@ class Inputs:
     @cached_property
     def built(self) -> Tables:
         """The run built and stored in a schema of this application."""
-        schema = "build_" + re.sub(r"\W", "_", self.spark.sparkContext.applicationId)
-        params = replace(PARAMS, schema=schema, daily_buckets=8)
-        pipeline.run(self.spark, dense_panel(self.table("lineitem")), params)
-        return Tables(self.spark, schema)
+        pipeline.run(self.spark, dense_panel(self.table("lineitem")), self._stored)
+        return Tables(self.spark, self._stored.schema)
+
+    @cached_property
+    def _stored(self) -> Params:
+        name = f"build_{self.spark.sparkContext.applicationId}_{uuid.uuid4().hex[:8]}"
+        return replace(PARAMS, schema=re.sub(r"\W", "_", name))
+
+    @cached_property
+    def rebuilt(self) -> Tables:
+        """The stored run after two months of its marts were damaged and built again."""
+        built = self.built
+        months = [r.month_end for r in built.dim_month.filter("yr = 1997 AND mth IN (3, 8)").collect()]
+        worse = built.mart_scores_monthly.filter(F.col("rebalance_date").isin(months) & (F.col("quintile") > 1))
+        worse = stage(worse.withColumn("score", -F.col("score")), "worse")
+        built.replace_partitions(worse, "mart_scores_monthly", months)
+        for name in ("mart_factor_returns", "mart_ic"):
+            built.materialize(getattr(built, name).filter(~F.col("rebalance_date").isin(months)), name)
+        pipeline.rebuild_months(self.spark, self._stored, months)
+        return built
+
+    @cached_property
+    def csv_folder(self) -> str:
+        """The sparse panel as CSV. Lines of the 9th of a month lack the price, those of the 16th have
+        a field more, those of the 23rd an open quote; tickers of the 27th are quoted, with a comma and
+        quotes inside."""
+        path = f"{run_folder(self.spark)}/csv-{uuid.uuid4().hex}"
+        on = F.dayofmonth("trade_date")
+        day = F.date_format("trade_date", "yyyy-MM-dd")
+        line = (
+            F.when(on == 9, F.concat_ws(",", "ticker", day))
+            .when(on == 16, F.concat_ws(",", "ticker", day, F.lit("1"), F.lit("2")))
+            .when(on == 23, F.concat(F.col("ticker"), F.lit(',"'), day, F.lit(",1")))
+            .when(on == 27, F.concat(F.lit('"'), F.col("ticker"), F.lit(', ""b""",'), day, F.lit(","), F.col("adj_close").cast("string")))
+            .otherwise(F.concat_ws(",", "ticker", day, F.col("adj_close").cast("string")))
+        )
+        # one column of finished lines, written as it is under the header of three
+        lines = self.sparse.select(line.alias("ticker,trade_date,adj_close"))
+        lines.write.option("header", True).option("sep", "\x01").option("quote", "\x00").csv(path)
+        return path
 
     # altered copies of the marts, to have something to find
 
     @cached_property
     def restated(self) -> "Altered":
-        """The run with restated scores: March dropped, December quintiles mirrored, momentum
-        scores shifted, some forward returns missing."""
+        """The run with restated scores: February dropped, the second and the fourth quintile of July
+        merged, low-volatility scores stretched, some forward returns missing."""
         mart = self.run.mart_scores_monthly
         month = F.month("rebalance_date")
         missing = (F.col("factor") == "rev_21d") & (F.col("quintile") == 3)
-        changed = mart.filter(month != 3).select(
+        merged = (month == 7) & (F.col("quintile") == 4)
+        changed = mart.filter(month != 2).select(
             "ticker",
             "rebalance_date",
             "factor",
             "raw_value",
-            F.when(F.col("factor") == "mom_12_1", F.col("score") + 0.001).otherwise(F.col("score")).alias("score"),
-            F.when(month == 12, 6 - F.col("quintile")).otherwise(F.col("quintile")).alias("quintile"),
+            F.when(F.col("factor") == "vol_63d", F.col("score") * 1.04).otherwise(F.col("score")).alias("score"),
+            F.when(merged, F.lit(2)).otherwise(F.col("quintile")).alias("quintile"),
             F.when(~missing, F.col("fwd_ret_1m")).alias("fwd_ret_1m"),
         )
         return Altered(self.run, changed)

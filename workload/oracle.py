@@ -147,10 +147,10 @@ def _marts(prefix: str, source: str) -> dict[str, str]:
 _RESTATED = {
     "restated": """
         SELECT ticker, rebalance_date, factor, raw_value,
-               CASE WHEN factor = 'mom_12_1' THEN score + 0.001 ELSE score END AS score,
-               CASE WHEN month(rebalance_date) = 12 THEN 6 - quintile ELSE quintile END AS quintile,
+               CASE WHEN factor = 'vol_63d' THEN score * 1.04 ELSE score END AS score,
+               CASE WHEN month(rebalance_date) = 7 AND quintile = 4 THEN 2 ELSE quintile END AS quintile,
                CASE WHEN NOT (factor = 'rev_21d' AND quintile = 3) THEN fwd_ret_1m END AS fwd_ret_1m
-        FROM mart_scores_monthly WHERE month(rebalance_date) <> 3""",
+        FROM mart_scores_monthly WHERE month(rebalance_date) <> 2""",
     **_marts("b_", "restated"),
 }
 
@@ -420,6 +420,39 @@ _STATEMENTS: dict[str, tuple[dict[str, str], str]] = {
                   (SELECT count(*) FROM clashes) AS duplicate_groups,
                   round((SELECT max(reach / base) FROM clashes WHERE base > 0), 6) + 0.0 AS worst_spread""",
     ),
+    "contract_report": (
+        _QUOTES,
+        """SELECT rule, "column", CAST(n_rows AS BIGINT) AS n_rows, round(worst, 6) + 0.0 AS worst, passes FROM (
+           SELECT 'parseable' AS rule, 'ticker' AS "column", count(*) AS n_rows, CAST(NULL AS DOUBLE) AS worst,
+                  count(*) = 0 AS passes FROM normalized WHERE ticker IS NULL
+           UNION ALL SELECT 'parseable', 'trade_date', count(*), NULL, count(*) = 0 FROM normalized WHERE trade_date IS NULL
+           UNION ALL SELECT 'parseable', 'adj_close', count(*), NULL, count(*) = 0 FROM normalized WHERE adj_close IS NULL
+           UNION ALL SELECT 'positive', 'adj_close', count(*), NULL, count(*) = 0 FROM complete WHERE adj_close <= 0
+           UNION ALL SELECT 'unique', 'ticker, trade_date', count(*), max(reach / base) FILTER (WHERE base > 0),
+                  count(*) = 0 OR coalesce(max(reach / base) FILTER (WHERE base > 0) <= 1e-5, false) FROM clashes
+           UNION ALL SELECT 'not empty', NULL, count(*), NULL, count(*) > 0 FROM complete)""",
+    ),
+    "src_csv": (
+        _SPARSE,
+        """SELECT CASE WHEN damage IS NOT NULL THEN NULL WHEN d = 27 THEN ticker || ', "B"' ELSE ticker END AS ticker,
+                  CASE WHEN damage IS NULL THEN trade_date END AS trade_date,
+                  CASE WHEN damage IS NULL THEN adj_close END AS adj_close, damage AS bad_line
+           FROM (SELECT *, day(trade_date) AS d, CASE day(trade_date) WHEN 9 THEN ticker || ',' || trade_date
+                        WHEN 16 THEN ticker || ',' || trade_date || ',1,2'
+                        WHEN 23 THEN ticker || ',"' || trade_date || ',1' END AS damage FROM raw_prices)""",
+    ),
+    "adhoc_sql": (
+        _RUN,
+        """SELECT d.label, count(*) AS n_months, count(*) FILTER (WHERE f.ls_ret > 0) AS n_hits,
+                  round(max(f.ls_ret), 6) + 0.0 AS best_month
+           FROM mart_factor_returns f, dim_factor d WHERE f.factor = d.factor GROUP BY d.label""",
+    ),
+    "pipeline_rebuild_month": (_RUN, f"{_SCORE_ROWS} FROM mart_scores_monthly"),
+    "scores_with_forward": (
+        _RUN,
+        f"""SELECT ticker, rebalance_date, factor, {_r('raw_value')}, n_names, {_i('direction')}, {_r('score', 'fwd_ret_1m')}
+            FROM scores LEFT JOIN fwd_returns USING (ticker, rebalance_date)""",
+    ),
     "contract_dup_groups": (
         _STAR,
         """SELECT ticker, trade_date, count(*) AS n_prices, min(adj_close) AS min_price,

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorspark.plans import checks, contract, parity, reporting, returns, scores
-from factorspark.sources.prices import consensus_prices, read_prices
+from factorspark.plans import checks, contract, marts, parity, reporting, returns, scores
+from factorspark.sources.catalog import Tables
+from factorspark.sources.prices import BAD_LINE, consensus_prices, read_prices
 from workload.inputs import Inputs
 
 DIGITS = 6
@@ -39,17 +40,32 @@ def _export(run: str, table: str) -> Callable[[Inputs], DataFrame]:
     return lambda i: reporting.export_table(getattr(getattr(i, run), table), reporting.EXPORTS[table])
 
 
+def _from_csv(raw: DataFrame) -> DataFrame:
+    """The normalised columns of every line, and the text of those that do not fit."""
+    return contract.normalize(raw, keep=[BAD_LINE]).withColumnRenamed(BAD_LINE, "bad_line")
+
+
+def _ad_hoc(built: Tables) -> DataFrame:
+    built.register_views(["mart_factor_returns", "dim_factor"])
+    return built.query(
+        """SELECT D.Label, count(*) AS N_Months, count_if(F.LS_Ret > 0) AS N_Hits, max(F.LS_Ret) AS Best_Month
+           FROM Mart_Factor_Returns F JOIN Dim_Factor D ON F.Factor = D.Factor GROUP BY D.Label"""
+    )
+
+
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # sources and input contract
     "src_parquet": lambda i: read_prices(i.spark, parquet=f"{i.sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_linenumber", "l_suppkey", F.to_date("l_shipdate").alias("ship_date"), "l_extendedprice"
     ),
+    "src_csv": lambda i: _from_csv(read_prices(i.spark, csv=i.csv_folder)),
     "price_panel": lambda i: i.run.raw_prices,
     "price_panel_sparse": lambda i: i.sparse,
     "consensus_prices": lambda i: consensus_prices(i.fact_prices, i.dim_security, i.dim_date),
     "panel_profile": lambda i: contract.panel_profile(i.run.raw_prices),
     "contract_normalize": lambda i: contract.normalize(i.quotes),
     "contract_violations": lambda i: contract.violations(contract.normalize(i.quotes)),
+    "contract_report": lambda i: contract.report(contract.violations(contract.normalize(i.quotes)), dup_rel_tol=1e-5),
     "contract_dup_groups": lambda i: contract.duplicate_groups(
         contract.normalize(consensus_prices(i.fact_prices, i.dim_security, i.dim_date))
     ),
@@ -92,6 +108,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "parity": lambda i: parity.parity(i.run, i.restated),
     # build in a catalog
     "pipeline_build": lambda i: i.built.mart_factor_summary,
+    "pipeline_rebuild_month": lambda i: i.rebuilt.mart_scores_monthly,
+    "scores_with_forward": lambda i: marts.scores_with_forward(i.built.scores, i.built.fwd_returns),
+    "adhoc_sql": lambda i: _ad_hoc(i.built),
     # report and BI tables
     "export_factor_summary": _export("run", "mart_factor_summary"),
     "export_factor_returns": _export("damaged", "mart_factor_returns"),
