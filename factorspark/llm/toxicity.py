@@ -43,7 +43,8 @@ YOU = frozenset(
     "tú ti tus usted ustedes vosotros".split()
 )
 WORD = re.compile(r"[^\W\d_]+")
-MASKED = re.compile(r"[^\W\d_]+[0-9@$*!|]+[^\W\d_]+[^\s,.;:?]*")
+# entered once per run of letters and without going back: linear in texts without a break
+MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[0-9@$*!|]++[^\W\d_]++[^\s,.;:?]*+")
 DRAWN_OUT = re.compile(r"([^\W\d_])\1\1")
 UNMASK = str.maketrans("013457@$!|", "oieastasil")
 UPPER = bytes(range(65, 91))
