@@ -21,6 +21,7 @@ from factorspark.sources.staging import stage_observed
 
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 8_192
+CELLS = 1 << 21  # scores of a leaf that are held at a time
 LEAF_ROWS = 128
 FLOOR = np.iinfo(np.int64).min
 
@@ -145,10 +146,16 @@ def search(
             here = who[now & (leaf == node)]
             start, end = tree.range[node]
             members = tree.order[start:end]
-            scores = (exact_queries[here] @ exact_points[members].T).astype(np.int64)
-            hit = (scores >= floor[here][:, None]) & (rows[members][None, :] != own[here][:, None])
-            i, j = np.nonzero(hit)
-            parts.append((here[i], members[j], scores[i, j]))
+            members = members[np.argsort(ties[members])]
+            # a leaf of many equal points is searched for a few queries at a time, and each keeps its best k
+            step_rows = max(1, CELLS // len(members))
+            for asked in (here[a : a + step_rows] for a in range(0, len(here), step_rows)):
+                scores = (exact_queries[asked] @ exact_points[members].T).astype(np.int64)
+                hit = (scores >= floor[asked][:, None]) & (rows[members][None, :] != own[asked][:, None])
+                if len(members) > k:
+                    hit &= _best_of_leaf(np.where(hit, scores, np.iinfo(np.int64).min), k)
+                i, j = np.nonzero(hit)
+                parts.append((asked[i], members[j], scores[i, j]))
         asked, point, score = (np.concatenate(x) for x in zip(*parts))
         best = _best(asked, score, ties[point], k)
         found = (asked[best], point[best], score[best])
@@ -160,6 +167,13 @@ def search(
     return found
 
 
+def _best_of_leaf(scores: np.ndarray, k: int) -> np.ndarray:
+    """Which of each row's scores are its best k, the first ones of equal scores."""
+    kth = np.partition(scores, -k, axis=1)[:, -k][:, None]
+    above, equal = scores > kth, scores == kth
+    return above | (equal & (np.cumsum(equal, axis=1) <= k - above.sum(axis=1)[:, None]))
+
+
 def _tie_order(ids: pa.Array, rows: np.ndarray) -> np.ndarray:
     """Position of every row by (vec_id, null last, row)."""
     known = np.array(ids.is_valid())
