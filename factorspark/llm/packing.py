@@ -13,7 +13,7 @@ from __future__ import annotations
 import base64
 import struct
 import zlib
-from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -115,7 +115,8 @@ class _Bins:
         self.bins, self.capacity = bins, capacity
         self.gap = [capacity - sum(items) for items in bins]
         self.at: dict[int, set[int]] = {}
-        self.masks: dict[int, int] = {}
+        self.masks: dict[int, tuple[int, int]] = {}
+        self.held: dict[int, tuple[int, int]] = {}
         for k in range(len(bins)):
             self._put(k)
 
@@ -133,13 +134,28 @@ class _Bins:
                 del self.at[gap]
             self.masks.pop(gap, None)
 
-    def mask(self, gap: int) -> int:
+    def _lengths(self, k: int) -> tuple[int, int]:
+        """Bit masks of the lengths that a bin holds, and of the sums of two of its pieces."""
+        if k not in self.held:
+            one = twice = two = 0
+            for length in self.bins[k]:
+                bit = 1 << length
+                twice |= one & bit
+                one |= bit
+            for length in set(self.bins[k]):
+                two |= (one & ~(1 << length) | twice & 1 << length) << length
+            self.held[k] = one, two
+        return self.held[k]
+
+    def mask(self, gap: int) -> tuple[int, int]:
+        """The same masks for all bins with that gap."""
         if gap not in self.masks:
-            mask = 0
+            one = two = 0
             for k in self.at[gap]:
-                for length in self.bins[k]:
-                    mask |= 1 << length
-            self.masks[gap] = mask
+                of_bin = self._lengths(k)
+                one |= of_bin[0]
+                two |= of_bin[1]
+            self.masks[gap] = one, two
         return self.masks[gap]
 
     def exchange(self, i: int, give: list[int], j: int, get: list[int]) -> None:
@@ -149,31 +165,42 @@ class _Bins:
             for length in off:
                 self.bins[k].remove(length)
             self.bins[k].extend(on)
+            self.held.pop(k, None)
             self.gap[k] += sum(off) - sum(on)
             self._put(k)
 
     def holder(self, gap: int, lengths: list[int]) -> int:
-        """A bin with that gap which holds the lengths."""
-        return next(k for k in self.at[gap] if all(length in self.bins[k] for length in lengths))
+        """A bin with that gap which holds the length, if any."""
+        wanted = sum(1 << length for length in lengths)
+        return next(k for k in self.at[gap] if self._lengths(k)[0] & wanted == wanted)
+
+    def holder_of_two(self, gap: int, total: int) -> tuple[int, list[int]]:
+        """A bin with that gap and two of its pieces with that sum."""
+        at = next(k for k in self.at[gap] if self._lengths(k)[1] >> total & 1)
+        items = self.bins[at]
+        one = next(x for x in items if total - x in items and (2 * x != total or items.count(x) > 1))
+        return at, [one, total - one]
 
 
 def _best_exchange(state: _Bins, i: int) -> tuple[int, list[int], int, list[int]] | None:
     """The exchange that moves most out of bin i into a fuller bin: (moved, give, j, get).
 
     Bin i gives one length or two, and gets nothing, or one smaller length; or it gives one and gets
-    two. The receiver must become fuller than bin i was, which makes the squared fills grow.
+    two. The receiver must become fuller than bin i was, which makes the squared fills grow. All
+    receivers are covered: those of a gap are looked up by the lengths and pair sums that they hold.
     """
     own = sorted(state.bins[i], reverse=True)
     least = state.gap[i]  # a receiver has at most this gap
     best: tuple[int, list[int], int, list[int]] | None = None
     gives = [[a] for a in dict.fromkeys(own)]
-    gives += [[a, b] for n, a in enumerate(own) for b in own[n + 1 :]] if len(own) <= 6 else []
+    gives += {a + b: [a, b] for a, b in _pairs(own)}.values()
+    single = len(set(own))
     state._take(i)
     try:
         for gap in sorted((g for g in state.at if g <= least), reverse=True):
             if best and gap <= best[0]:
                 break  # no bin can take more than its gap
-            mask = state.mask(gap)
+            mask, pairs = state.mask(gap)
             for give in gives:
                 total = sum(give)
                 moved, get = (total, []) if total <= gap else (0, [])
@@ -187,32 +214,53 @@ def _best_exchange(state: _Bins, i: int) -> tuple[int, list[int], int, list[int]
                     best = (moved, give, state.holder(gap, get), get)
             if best and best[0] == gap:
                 continue
-            for j in list(state.at[gap])[:4]:
-                items = sorted(state.bins[j])
-                for give in gives[: len(set(own))]:
-                    for n, b in enumerate(items):
-                        # the smallest partner that keeps the receiver within its gap
-                        at = max(bisect_left(items, give[0] - gap - b), n + 1)
-                        if at < len(items) and 0 < (moved := give[0] - b - items[at]) > (best[0] if best else 0):
-                            best = (moved, give, j, [b, items[at]])
+            for give in gives[:single]:
+                # the smallest two that keep the receiver within its gap
+                least_two = max(0, give[0] - gap)
+                low = pairs >> least_two
+                total = least_two + (low & -low).bit_length() - 1
+                if low and 0 < (moved := give[0] - total) > (best[0] if best else 0):
+                    best = (moved, give, *state.holder_of_two(gap, total))
     finally:
         state._put(i)
     return best
 
 
+def _pairs(own: list[int]) -> Iterator[tuple[int, int]]:
+    """Every two lengths that a bin can give together, each two lengths once."""
+    counts = Counter(own)
+    lengths = list(counts)
+    for n, a in enumerate(lengths):
+        if counts[a] > 1:
+            yield a, a
+        for b in lengths[n + 1 :]:
+            yield a, b
+
+
 def local_search(bins: list[list[int]], capacity: int) -> list[list[int]]:
     """Empty bins by exchanges; each one increases the sum of squared fills, so the search ends.
 
-    The victims are the emptiest bins, no more than the free room could take in. A victim is worked
-    on until it is empty or no exchange improves it.
+    Bins are worked on from the emptiest on, each until it is empty or no exchange improves it, as long
+    as the free room could still take in a bin.
     """
     state = _Bins(bins, capacity)
     spare = sum(state.gap) // capacity
-    victims = sorted(range(len(bins)), key=lambda k: -state.gap[k])[: 2 * spare]
-    for i in victims:
-        while state.bins[i] and 0 < state.gap[i] and (found := _best_exchange(state, i)):
+    stuck: set[tuple[int, ...]] = set()  # contents without an exchange, as the bins stand
+    for i in sorted(range(len(bins)), key=lambda k: -state.gap[k]):
+        if not spare:
+            break
+        while state.bins[i] and 0 < state.gap[i]:
+            items = tuple(sorted(state.bins[i]))
+            if items in stuck:
+                break
+            found = _best_exchange(state, i)
+            if not found:
+                stuck.add(items)
+                break
             _, give, j, get = found
             state.exchange(i, give, j, get)
+            stuck.clear()
+        spare -= not state.bins[i]
     return [items for items in state.bins if items]
 
 
