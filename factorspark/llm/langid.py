@@ -40,7 +40,6 @@ CHUNK = 1024
 MODULUS = 4
 HELD_OUT = 2
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -210,7 +209,7 @@ def predictions(docs: DataFrame, network: Network | None) -> DataFrame:
         tables = network.tables() if network else []
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            known = [network is not None and text is not None and LETTER.search(text) is not None for text in texts]
+            known = [network is not None and text is not None and any(map(str.isalpha, text)) for text in texts]
             data, owner, used = windows([text.encode() if ok else b"" for text, ok in zip(texts, known)])
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             if len(data):
