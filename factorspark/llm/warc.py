@@ -13,6 +13,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,15 +37,17 @@ LINE_TAG = re.compile(
 )
 ANY_TAG = re.compile(r"<[a-z/!?]", re.I)
 SIGN = re.compile(r"[>\"']")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
-LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAMED_TAG = re.compile(r"<(a|html|title)(?=[\s/>])", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
+TITLE_END = re.compile("</title", re.I)
+SUBTAG = re.compile(r"[\w-]+")
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 SPACES = re.compile(r"\s+")
 BLANKS = re.compile(r"[^\S\n]+")
 EMPTY_LINES = re.compile(r" ?\n\s*")
 
-RESPONSE = "key long, record_id string, target_uri string, date string, block binary"
+# ``fields``: the source record's own header, as the lines of the file
+RESPONSE = "key long, record_id string, target_uri string, date string, fields string, block binary"
 RECORD = (
     "key long, record_type string, record_id string, refers_to string, refers_to_uri string, refers_to_date string, "
     "concurrent_to string, content_type string, content_length long, block_digest string, source_block_digest string, "
@@ -65,6 +68,7 @@ def responses(pages: DataFrame, date: str = SOURCE_DATE) -> DataFrame:
         F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">")).alias("record_id"),
         F.col("url").alias("target_uri"),
         F.lit(date).alias("date"),
+        F.lit(None).cast("string").alias("fields"),
         F.concat(F.encode(head, "utf-8"), payload).alias("block"),
     )
 
@@ -148,20 +152,112 @@ def plain_text(page: str) -> str:
     return EMPTY_LINES.sub("\n", BLANKS.sub(" ", page)).strip()
 
 
-def split_response(block: bytes) -> tuple[str, dict[str, str], bytes]:
-    """(status line, header fields in lower case, payload) of an HTTP response; a block without an
-    empty line is all payload."""
+Fields = list[tuple[str, str]]
+
+
+def header_fields(lines: list[str]) -> Fields:
+    """(name in lower case, value) of every line, in order, repeated names included. A line that begins
+    with white space goes on with the field before it."""
+    found: Fields = []
+    for line in lines:
+        if line[:1] in (" ", "\t") and found:
+            found[-1] = (found[-1][0], f"{found[-1][1]} {line.strip()}")
+        elif line.strip():
+            name, _, value = line.partition(":")
+            found.append((name.strip().lower(), value.strip()))
+    return found
+
+
+def value_of(fields: Fields, name: str) -> str:
+    """The last value of a field, or ''."""
+    return next((value for key, value in reversed(fields) if key == name), "")
+
+
+def split_response(block: bytes) -> tuple[str, Fields, bytes]:
+    """(status line, header fields, payload) of an HTTP response; a block without an empty line is all
+    payload."""
     head, end, payload = block.partition(b"\r\n\r\n")
     if not end or not head.startswith(b"HTTP/"):
-        return "", {}, block
+        return "", [], block
     status, *lines = head.decode("latin-1").split("\r\n")
-    fields = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
-    return status, fields, payload
+    return status, header_fields(lines), payload
+
+
+def unchunked(payload: bytes) -> bytes:
+    """The payload of a chunked transfer, as far as it goes; from the first chunk on that is none, bytes
+    stay as they are."""
+    parts, at = [], 0
+    while True:
+        line = payload.find(b"\r\n", at, at + 4096)
+        if parts and line < 0 and len(payload) - at < 4096:
+            return b"".join(parts)  # cut short in the line of a size
+        size = payload[at:line].split(b";")[0].strip() if line >= 0 else b""
+        if not size or len(size) > 16 or size.strip(b"0123456789abcdefABCDEF"):
+            return b"".join(parts) + payload[at:]
+        n = int(size, 16)
+        if not n:
+            return b"".join(parts)
+        parts.append(payload[line + 2 : line + 2 + n])
+        at = line + 2 + n + 2
+        if at >= len(payload):
+            return b"".join(parts)
+
+
+def uncompressed(payload: bytes, coding: str) -> bytes:
+    """The content of a gzip or deflate payload, as far as it can be read; other codings, and payloads
+    that are not coded as they say, stay as they are."""
+    for name in reversed([part.strip() for part in coding.lower().split(",")]):
+        kinds = {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}.get(name, ())
+        for kind in kinds:
+            reader = zlib.decompressobj(kind)
+            parts, sound = [], bool(payload)
+            try:
+                for at in range(0, len(payload), 1 << 16):
+                    parts.append(reader.decompress(payload[at : at + (1 << 16)]))
+            except zlib.error:
+                sound = any(parts)
+            if sound:
+                payload = b"".join(parts)
+                break
+    return payload
+
+
+def page_facts(page: str) -> tuple[str | None, str | None, list[str]]:
+    """(title, language, outlinks) by the tags of the page outside comments and hidden elements; links
+    are those of ``a`` in their order. Takes time linear in the page."""
+    page = _without_hidden(page)
+    title = language = None
+    links: list[str] = []
+    at, ends, untitled = 0, _TagEnds(page), True
+    while found := NAMED_TAG.search(page, at):
+        at = ends.end(found.start())
+        if not at:
+            at = found.end()
+            continue
+        name = found[1].lower()
+        if name == "title":
+            if untitled:
+                untitled = False  # asked once: the first title, if it ends
+                closing = TITLE_END.search(page, at)
+                title = page[at : closing.start()] if closing else None
+            continue
+        if name == "html" and language:
+            continue
+        wanted = "href" if name == "a" else "lang"
+        for attribute in ATTRIBUTE.finditer(page, found.end(), at - 1):
+            if attribute[1].lower() == wanted:
+                value = next((v for v in attribute.groups()[1:] if v is not None), None)
+                if wanted == "href" and value is not None:
+                    links.append(value)
+                elif value and (tag := SUBTAG.match(value.strip())):
+                    language = tag[0]
+                break
+    return title, language, links
 
 
-def decoded(payload: bytes, fields: dict[str, str]) -> tuple[str, str]:
+def decoded(payload: bytes, fields: Fields) -> tuple[str, str]:
     """(text, character set) by the header, else by the page's own statement, else UTF-8."""
-    stated = CHARSET.search(fields.get("content-type", "")) or CHARSET.search(payload[:1024].decode("latin-1"))
+    stated = CHARSET.search(value_of(fields, "content-type")) or CHARSET.search(payload[:1024].decode("latin-1"))
     name = stated[1].lower() if stated else "utf-8"
     try:
         return payload.decode(name, "replace"), name
@@ -173,27 +269,43 @@ def _one_line(value: str) -> str:
     return " ".join(value.split())
 
 
-def derivatives(record_id: str, block: bytes) -> tuple[str, str, str, str]:
-    """(metadata, text, block digest, payload digest) of a response."""
+def derivatives(block: bytes, source: str = "") -> tuple[str, str, str, str]:
+    """(metadata, text, block digest, payload digest) of a response.
+
+    ``source`` is the header of its record. The digests that it states are carried on as they are, next
+    to whether the bytes agree; else they are taken from the bytes. The payload is that after any
+    transfer coding; for text and links its content coding is undone, too."""
     status, fields, payload = split_response(block)
-    page, charset = decoded(payload, fields)
+    if "chunked" in value_of(fields, "transfer-encoding").lower():
+        payload = unchunked(payload)
+    page, charset = decoded(uncompressed(payload, value_of(fields, "content-encoding")), fields)
     text = plain_text(page)
-    of_block, of_payload = digest(block), digest(payload)
-    title, language = TITLE.search(page), LANGUAGE.search(page)
+    of_record = header_fields(source.splitlines())
+    stated = [value_of(of_record, f"warc-{kind}-digest") for kind in ("block", "payload")]
+    own = [digest(block), digest(payload)]
+    of_block, of_payload = (a or b for a, b in zip(stated, own))
+    title, language, links = page_facts(page)
     lines = [f"http-status: {status.split(' ', 2)[1]}"] if status.count(" ") else []
-    lines += [f"http-{name}: {_one_line(value)}" for name, value in fields.items()]
+    lines += [f"http-{name}: {_one_line(value)}" for name, value in fields]
+    lines += [f"source-{name}: {_one_line(value)}" for name, value in of_record]
+    lines += [
+        f"source-{kind}-digest-agrees: {str(a == b).lower()}"
+        for kind, a, b in zip(("block", "payload"), stated, own)
+        if a.lower().startswith("sha1:")
+    ]
     lines += [f"charset: {charset}", f"source-block-digest: {of_block}", f"source-payload-digest: {of_payload}"]
-    lines += [f"title: {_one_line(html.unescape(title[1]))}"] if title else []
-    lines += [f"language: {language[1]}"] if language else []
+    lines += [f"title: {_one_line(html.unescape(title))}"] if title is not None else []
+    lines += [f"language: {language}"] if language else []
     lines += [f"text-length: {len(text)}"]
-    lines += [f"outlink: {_one_line(html.unescape(a or b or c))}" for a, b, c in LINK.findall(page)]
+    lines += [f"outlink: {_one_line(html.unescape(link))}" for link in links]
     return "\r\n".join(lines) + "\r\n", text, of_block, of_payload
 
 
 def derive(records: DataFrame) -> DataFrame:
     """Two records (``RECORD``) per response of ``records`` (``RESPONSE``).
 
-    Null blocks are empty ones, so their text is empty; null ids, addresses and dates stay null in
+    All header fields of the response go on as ``http-..`` and those of its record as ``source-..`` lines
+    of the metadata, repeated ones as often as they occur. Null blocks are empty ones, so their text is empty; null ids, addresses and dates stay null in
     what refers to them; a repeated response gives the same two records again; an empty table gives
     an empty result; other columns are ignored. Bytes outside the character set become U+FFFD.
     """
@@ -204,8 +316,8 @@ def derive(records: DataFrame) -> DataFrame:
         for whole in batches:
             for first in range(0, whole.num_rows, 512):
                 batch, out = whole.slice(first, 512), []
-                for key, own, uri, date, block in zip(*(column.to_pylist() for column in batch.columns)):
-                    fields, text, of_block, of_payload = derivatives(own, block or b"")
+                for key, own, uri, date, source, block in zip(*(column.to_pylist() for column in batch.columns)):
+                    fields, text, of_block, of_payload = derivatives(block or b"", source or "")
                     ids = [f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{own} {kind}')}>" for kind in ("metadata", "conversion")]
                     for kind, mine, other, content, data in (
                         ("metadata", ids[0], ids[1], "application/warc-fields", fields),
@@ -217,7 +329,7 @@ def derive(records: DataFrame) -> DataFrame:
                         )
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names)
 
-    return small_batches(records).select("key", "record_id", "target_uri", "date", "block").mapInArrow(rows, RECORD)
+    return small_batches(records).select("key", "record_id", "target_uri", "date", "fields", "block").mapInArrow(rows, RECORD)
 
 
 def rendered(date: str) -> Column:
