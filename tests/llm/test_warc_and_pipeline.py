@@ -2,8 +2,11 @@ import base64
 import glob
 import gzip
 import hashlib
+import html
 import os
 import time
+import zlib
+from html.parser import HTMLParser
 
 import duckdb
 import pytest
@@ -79,10 +82,99 @@ def test_only_hidden_elements_are_hidden():
     assert warc.plain_text("<svg '</svg>" * 50_000 + "x") == "x"
 
 
+@pytest.mark.parametrize(
+    "page", ["<a " * 20_000, "<title>" * 20_000, "<html " * 20_000, "<a href='" * 20_000, "<a x= " * 20_000 + ">", "<a b=\"'" * 20_000, "x" * 1_000_000]
+)
+def test_hostile_pages_are_linear(page):
+    began = time.process_time()
+    warc.derivatives(page.encode())
+    assert time.process_time() - began < 1.5
+
+
+def test_header_fields_and_digests_go_on():
+    block = b"HTTP/1.1 200 OK\r\nSet-Cookie: a\r\nSet-Cookie: b\r\nX-Long: one\r\n two\r\n\r\nhi"
+    source = f"WARC-IP-Address: 192.0.2.1\r\nWARC-Payload-Digest: {sha1(b'hi')}\r\nWARC-Block-Digest: sha1:OTHER\r\n"
+    fields, text, of_block, of_payload = warc.derivatives(block, source)
+    lines = fields.split("\r\n")
+    assert [x for x in lines if x.startswith("http-set")] == ["http-set-cookie: a", "http-set-cookie: b"]
+    assert "http-x-long: one two" in lines and "source-warc-ip-address: 192.0.2.1" in lines
+    assert (text, of_block, of_payload) == ("hi", "sha1:OTHER", sha1(b"hi"))
+    assert "source-block-digest-agrees: false" in lines and "source-payload-digest-agrees: true" in lines
+
+
+def test_transfer_and_content_codings_are_undone():
+    page = "<title>T</title><p>é " + "body " * 500 + "<a href=/x>y</a>"
+    packed = gzip.compress(page.encode())
+    chunks = b"".join(f"{len(c):x};ext=1\r\n".encode() + c + b"\r\n" for c in (packed[:7], packed[7:60], packed[60:])) + b"0\r\n\r\n"
+    head = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nContent-Encoding: gzip\r\n\r\n"
+    fields, text, _, of_payload = warc.derivatives(head + chunks)
+    assert text == warc.plain_text(page) and "outlink: /x\r\n" in fields and of_payload == sha1(packed)
+    # cut short, or not coded as stated
+    assert warc.plain_text(page).startswith(warc.derivatives(head + chunks[:-20])[1][:40])
+    assert warc.derivatives(head + chunks[:90])[1] == ""  # nothing readable yet
+    assert warc.derivatives(head + b"zz plain")[1] == "zz plain"
+    for coding, data in (("deflate", zlib.compress(b"abc")), ("deflate", zlib.compress(b"abc")[2:-4]), ("br", b"abc"), ("gzip", b"abc")):
+        assert warc.uncompressed(data, coding) == b"abc"
+
+
+class _Facts(HTMLParser):
+    """Title, language and links by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.title, self.language, self.links, self.hidden, self.in_title = None, None, [], 0, False
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "noscript", "template", "svg"):
+            self.hidden += 1
+        if self.hidden:
+            return
+        values = dict(reversed(attrs))
+        if tag == "a" and values.get("href") is not None:
+            self.links.append(values["href"])
+        if tag == "html" and not self.language:
+            self.language = values.get("lang")
+        self.in_title = tag == "title" and self.title is None
+        if self.in_title:
+            self.title = ""
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style", "noscript", "template", "svg"):
+            self.hidden = max(0, self.hidden - 1)
+        if tag == "title":
+            self.in_title = False
+
+    def handle_data(self, data):
+        if self.in_title:
+            self.title += data
+
+
+def _facts(page):
+    title, language, links = warc.page_facts(page)
+    return html.unescape(title) if title else title, language, [html.unescape(x) for x in links]
+
+
+def test_facts_of_a_page():
+    page = (
+        "<!-- <a href=no> --><html class=x LANG='pt-BR'><title a='>'>A &amp; B</title><title>C</title>"
+        "<script>'<a href=no>'</script><a title='>' href=\"/1\">a</a><abbr href=no></abbr><a href=/2 href=no>"
+        "<a\n HREF = '/3'><a data-href=no><a href=''><svg><a href=no></a></svg><a href=/4"
+    )
+    assert _facts(page) == ("A & B", "pt-BR", ["/1", "/2", "/3", ""])
+
+
+@needs_data
+def test_facts_of_all_pages(spark):
+    for row in spark.read.parquet(f"{DATA}/pages.parquet").collect():
+        plain = _Facts()
+        plain.feed(row.html or "")
+        assert _facts(row.html or "") == (plain.title, plain.language, plain.links)
+
+
 def test_other_character_sets():
-    fields, text, *_ = warc.derivatives("r", b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>caf\xe9")
+    fields, text, *_ = warc.derivatives(b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>caf\xe9")
     assert text == "café" and "charset: latin-1" in fields
-    assert warc.derivatives("r", b"no header \xff")[1] == "no header �"
+    assert warc.derivatives(b"no header \xff")[1] == "no header �"
 
 
 def test_files_hold_the_records(records, tmp_path):
