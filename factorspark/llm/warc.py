@@ -109,7 +109,7 @@ class _TagEnds:
         return 0
 
 
-def _without_hidden(page: str) -> str:
+def without_hidden(page: str) -> str:
     """A space for every comment and hidden element; one without an end reaches to the end of the page.
 
     Names are whole names, so ``<svg-icon>`` is not hidden, and ``<svg .../>`` has no content.
@@ -145,8 +145,11 @@ def _without_tags(page: str) -> str:
 
 def plain_text(page: str) -> str:
     """Readable text: a line per block element, other white space folded, entities resolved."""
-    page = SPACES.sub(" ", _without_hidden(page))
-    page = _without_tags(page)
+    return _readable(without_hidden(page))
+
+
+def _readable(page: str) -> str:
+    page = _without_tags(SPACES.sub(" ", page))
     if "&" in page:
         page = html.unescape(page)
     return EMPTY_LINES.sub("\n", BLANKS.sub(" ", page)).strip()
@@ -223,9 +226,8 @@ def uncompressed(payload: bytes, coding: str) -> bytes:
 
 
 def page_facts(page: str) -> tuple[str | None, str | None, list[str]]:
-    """(title, language, outlinks) by the tags of the page outside comments and hidden elements; links
+    """(title, language, outlinks) by the tags of a page without its comments and hidden elements; links
     are those of ``a`` in their order. Takes time linear in the page."""
-    page = _without_hidden(page)
     title = language = None
     links: list[str] = []
     at, ends, untitled = 0, _TagEnds(page), True
@@ -279,7 +281,8 @@ def derivatives(block: bytes, source: str = "") -> tuple[str, str, str, str]:
     if "chunked" in value_of(fields, "transfer-encoding").lower():
         payload = unchunked(payload)
     page, charset = decoded(uncompressed(payload, value_of(fields, "content-encoding")), fields)
-    text = plain_text(page)
+    page = without_hidden(page)
+    text = _readable(page)
     of_record = header_fields(source.splitlines())
     stated = [value_of(of_record, f"warc-{kind}-digest") for kind in ("block", "payload")]
     own = [digest(block), digest(payload)]
