@@ -2,15 +2,17 @@
 
 A staged frame is read back from files, so its lineage ends there: several consumers do not
 recompute it, and a lost executor costs only the tasks it was running. Everything an application
-stages lies under one folder, which ``release`` removes; ``scope`` does so for one job.
+stages lies under one folder, which ``release`` removes; ``scope`` does so for one job, ``discard`` for
+one frame.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 _SETTING = "spark.checkpoint.dir"
 _scope: ContextVar[str] = ContextVar("scope", default="shared")
 _tables: dict[str, list[str]] = {}  # catalog entries of bucketed stages, by scope
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()  # where staged frames lie
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -35,9 +38,38 @@ def run_folder(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder and return it as read from there."""
-    path = f"{run_folder(df.sparkSession)}/{_scope.get()}/{name}-{uuid.uuid4().hex}"
+    return _written(df, _new_folder(df.sparkSession, name))
+
+
+def stage_alone(spark: SparkSession, plan: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The frame that ``plan`` returns, staged. What ``plan`` stages on the way is removed once the frame
+    is written."""
+    path = _new_folder(spark, name)
+    with scope(spark):
+        return _written(plan(), path)
+
+
+def discard(*staged: DataFrame) -> None:
+    """Remove the files of staged frames that nothing reads any more; other frames are left alone."""
+    for frame in staged:
+        if path := _folders.pop(frame, None):
+            _delete(frame.sparkSession, path)
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{run_folder(spark)}/{_scope.get()}/{name}-{uuid.uuid4().hex}"
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[found] = path
+    return found
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage_bucketed(df: DataFrame, name: str, by: Sequence[str], buckets: int) -> DataFrame:
@@ -71,9 +103,7 @@ def release(spark: SparkSession, scope: str | None = None) -> None:
     for name in [scope] if scope else list(_tables):
         for table in _tables.pop(name, []):
             spark.sql(f"DROP TABLE IF EXISTS {table}")
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(run_folder(spark) + (f"/{scope}" if scope else ""))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, run_folder(spark) + (f"/{scope}" if scope else ""))
 
 
 @contextmanager

@@ -137,6 +137,32 @@ def test_a_scope_leaves_nothing_behind(spark):
     assert "/shared/" in staging.stage(spark.range(1), "one").inputFiles()[0]
 
 
+def _stored(spark, folder):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_a_discarded_frame_leaves_no_files_and_others_stay(spark):
+    one, other = staging.stage(spark.range(3), "one"), staging.stage(spark.range(4), "other")
+    folder = one.inputFiles()[0].rsplit("/", 1)[0]
+    staging.discard(one, spark.range(2), other.filter("id > 1"))
+    assert not _stored(spark, folder) and other.count() == 4
+    staging.discard(one)
+
+
+def test_a_frame_staged_alone_leaves_only_itself(spark):
+    between = []
+
+    def plan():
+        stored = staging.stage(spark.range(5), "between")
+        between.append(stored.inputFiles()[0])
+        return stored.filter("id > 2")
+
+    found = staging.stage_alone(spark, plan, "alone")
+    assert found.count() == 2 and "/shared/alone-" in found.inputFiles()[0]
+    assert not _stored(spark, between[0])
+
+
 class _Session:
     """Just the settings that decide where intermediate results go."""
 
