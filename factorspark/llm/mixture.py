@@ -9,7 +9,8 @@ reached; the last one in part. So every source takes its target, rounded to whol
 The table of sources has one row per source and is never collected: each round of the filling is an
 aggregate of two numbers. Documents of a source are dealt into slots of that hash order, as many as
 the table needs; a running total over the sizes of the slots gives each slot its start, so a source
-with most of the rows is spread over many tasks.
+with most of the rows is spread over many tasks. Ids that very many rows share are dealt by the staged
+place of each row instead.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factorspark.sources.staging import stage, stage_observed
+from factorspark.sources.staging import stage, stage_counted, stage_observed
 
 # ASCII white space.
 SPACE = r"[\x20\x09-\x0D]"
 SLOT_ROWS = 20_000
+BROADCAST_IDS = 1_000_000  # repeated ids, 8 bytes each, that are still broadcast
 HASH_BITS = 56
 
 
@@ -79,6 +81,27 @@ def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame
         rate = (float(total) - row["taken"]) / open_weight
 
 
+def _in_slots(sized: DataFrame, slots: int, seed: int) -> DataFrame:
+    """Add ``slot`` by ``at``.
+
+    Only an id that many rows share can fill a slot far above ``SLOT_ROWS``. Where one does, the rows of
+    such ids get an ``at`` of their own from their staged place, so they go into all slots.
+    """
+    number = F.floor(F.col("at") / F.lit(float(1 << HASH_BITS)) * slots).cast("int")
+    slot = F.least(number, F.lit(slots - 1))
+    slotted = sized.withColumn("slot", slot)
+    crowded = slotted.groupBy("origin", "slot").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * SLOT_ROWS)
+    crowded, n = stage_counted(crowded.select("origin", "slot"), "crowded")
+    if not n:
+        return slotted
+    within = slotted.join(crowded, ["origin", "slot"], "left_semi").groupBy("at").agg(F.count("*").alias("n"))
+    shared, n = stage_counted(within.filter(F.col("n") > max(1, SLOT_ROWS // 20)).select("at"), "shared-ids")
+    shared = shared.withColumn("shared", F.lit(True))
+    marked = sized.join(F.broadcast(shared) if n <= BROADCAST_IDS else shared, "at", "left")
+    at = F.when(F.col("shared"), seeded_order("row", seed)).otherwise(F.col("at"))
+    return marked.withColumn("at", at).drop("shared").withColumn("slot", slot)
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (5.0, 2.0, 1.0),
@@ -94,7 +117,7 @@ def mix(
     turn and share the words of all documents.
 
     A null text has size 0 and is taken 0 times; a null source is a source like others; repeated rows
-    are rows of their own (equal doc_ids are ordered by their staged place); sources without words
+    are rows of their own (equal doc_ids are ordered by their staged place, or by a hash of it if very many share an id); sources without words
     have target 0; an empty table gives an empty result; other columns are ignored.
     """
     if min(weights) <= 0:
@@ -124,8 +147,7 @@ def mix(
     plan = filled.select("origin", "source_size", "target", whole.alias("whole"), rest.alias("rest"))
 
     slots = max(1, -(-seen["rows"] // SLOT_ROWS))
-    slot = F.floor(F.col("at") / F.lit(float(1 << HASH_BITS)) * slots).cast("int")
-    slotted = sized.withColumn("slot", F.least(slot, F.lit(slots - 1)))
+    slotted = _in_slots(sized, slots, seed)
     earlier = Window.partitionBy("origin").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         slotted.groupBy("origin", "slot")

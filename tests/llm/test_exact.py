@@ -371,6 +371,25 @@ def test_mixture_meets_targets(messy, messy_rows, monkeypatch, slot_rows):
     assert all(abs(taken[s] - targets[s]) <= 0.51 for s in sizes)
 
 
+def test_mixture_deals_ids_that_many_rows_share(spark, monkeypatch):
+    """A third of the rows under one id and a third without any, against the totals and the other ids' order."""
+    monkeypatch.setattr(mixture, "SLOT_ROWS", 40)
+    rows = [(k, "w " * (1 + k % 7), f"s{k % 2}") for k in range(400)]
+    rows += [(7_000, "w " * (1 + k % 5), "s0") for k in range(400)] + [(None, "w " * (1 + k % 3), "s1") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    slots = []
+    deal = mixture._in_slots
+    monkeypatch.setattr(mixture, "_in_slots", lambda *given: slots.append(deal(*given)) or slots[-1])
+    got = mixture.mix(docs, keep=["doc_id", "source"]).collect()
+    assert max(r["count"] for r in slots[0].groupBy("origin", "slot").count().collect()) < 80
+    assert sorted((r.doc_id or 0, r.size, r.source) for r in got) == sorted((k or 0, len(t) // 2, s) for k, t, s in rows)
+    for source in ("s0", "s1"):
+        mine = [r for r in got if r.source == source]
+        assert sum(r.taken for r in mine) == round(mine[0].target)
+        assert all(r.whole * r.size <= r.taken <= (r.whole + 1) * r.size for r in mine)
+        assert sum(0 < r.part < r.size for r in mine) <= 1
+
+
 def test_mixed_documents_have_the_words_taken(messy):
     taken = mixture.mix(messy).agg(F.sum("taken")).first()[0]
     out = mixture.mixed_documents(messy)
