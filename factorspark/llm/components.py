@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factorspark.sources.staging import stage_observed
+from factorspark.sources.staging import discard, stage_observed
 
 
 def _star(pairs: DataFrame) -> DataFrame:
@@ -31,14 +31,16 @@ def connected_components(links: DataFrame) -> DataFrame:
     """``links(a, b)``, both long, to ``(node, root)``: the smallest node of each component.
 
     Only nodes that have a link to another one are listed. Every step is staged, and the loop ends
-    when the table of links stops changing; the driver sees a count and a checksum.
+    when the table of links stops changing; the driver sees a count and a checksum. A round is removed
+    when the next one is written.
     """
     figures = {"n": F.count("*"), "sum": F.bit_xor(F.xxhash64("a", "b"))}
     pairs = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs, seen = stage_observed(pairs, "links", **figures)
     while seen["n"]:
-        before = seen
-        pairs, seen = stage_observed(_star(_large_star(pairs)), "links", **figures)
+        before, earlier = seen, pairs
+        pairs, seen = stage_observed(_star(_large_star(earlier)), "links", **figures)
+        discard(earlier)
         if seen == before:
             break
     roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

@@ -7,14 +7,16 @@ import os
 import time
 import zlib
 from html.parser import HTMLParser
+from itertools import combinations
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from factorspark.llm import queries, simhash, warc
-from factorspark.sources.staging import stage
+from factorspark.llm import queries, warc
+from factorspark.sources.staging import run_folder, stage
+from test_exact import plain_fingerprint, union_find
 
 DATA = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the test tables")
@@ -233,8 +235,10 @@ def test_stages_take_effect(stages, spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "near_duplicates", "mixture", "packing"]
     assert all(frame.columns == docs.columns for frame in (clean, good, single, mixed))
     assert 0 < good.count() < clean.count() < docs.count()
-    # near-duplicates: what stays is the first row of each brute-force component
-    assert {r.doc_id for r in single.collect()} == {r.component_id for r in simhash.near_duplicates(good).collect()}
+    # near-duplicates: what stays is the first row of each component, found from all pairs
+    prints = {r.doc_id: plain_fingerprint(r.text) for r in good.collect()}
+    near = [(a, b) for a, b in combinations(sorted(prints), 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    assert near and {r.doc_id for r in single.collect()} == set(union_find(near, prints).values())
     # the mix: words by source add up to the total
     words = F.size(F.filter(F.split("text", r"[ \t-\r]+"), lambda w: w != ""))
     total = single.agg(F.sum(words)).first()[0]
@@ -246,8 +250,16 @@ def test_stages_take_effect(stages, spark):
 @needs_data
 def test_run_gives_the_rows_of_the_stages(stages, spark):
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    before = set(glob.glob(f"{_folder(run_folder(spark))}/shared/*"))
     got = sorted(map(tuple, corpus_pipeline.run(spark, DATA).select(*columns).collect()))
     assert got == sorted(map(tuple, stages[-1][1].select(*columns).collect()))
+    # the input of the last stage is left, and what that one stores
+    left = {os.path.basename(path).split("-")[0] for path in set(glob.glob(f"{_folder(run_folder(spark))}/shared/*")) - before}
+    assert "mixture" in left and not left & {"toxicity", "quality", "near_duplicates", "marked", "links", "sizes"}
+
+
+def _folder(path):
+    return path.removeprefix("file:")
 
 
 def test_stages_of_messy_and_of_no_documents(spark, messy, no_docs, tmp_path):
