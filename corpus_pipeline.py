@@ -2,7 +2,7 @@
 
 ``STAGES`` lists the stages in order. A stage takes ``(spark, docs, sf_dir)`` and returns what it
 keeps; it is written as Parquet and read again as the next stage's ``docs``. All but the last return
-the columns of documents.
+the columns of documents. When a stage is written, its input and what it stored on the way are removed.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factorspark.llm import mixture, packing, quality, simhash, toxicity
-from factorspark.sources.staging import stage
+from factorspark.sources.staging import discard, stage_alone
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,5 +63,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``."""
     docs = _table(spark, sf_dir, "documents")
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), name)
+        before = docs
+        docs = stage_alone(spark, lambda: apply(spark, before, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
