@@ -1,17 +1,21 @@
 """Exact top-k search by inner product: ball trees per shard, branch and bound.
 
-Rows are dealt into shards and queries into blocks, both of bounded size; a task has one shard and
-one block. It builds the ball tree of its shard and lets every query of the block go down: a node is
+Rows are dealt into shards, shards into chains, queries into blocks and blocks into lanes, all of
+bounded size; a task has one chain and one lane. It holds the lane's queries and reads its shards one
+by one: it builds the ball tree of a shard once and lets every query of the lane go down. A node is
 followed only if its upper bound, ``q . centre + |q| * radius``, reaches the query's current kth
 score, and each query opens its leaves in the order of their bounds. The kth score is shared: first
-every block searches one shard, and what it finds there is the floor from which the other shards
-start. What reaches the final merge is only what beats that floor.
+every block searches one shard, what it finds there is the floor from which all chains start, and
+a chain hands the risen floor from shard to shard. What reaches the final merge is k rows for a query
+and chain at most.
 
 Scores are integers and exact: products run in floating point only while all sums are below 2^53.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +25,9 @@ from factorspark.sources.staging import stage_observed
 
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 8_192
+CHAIN_SHARDS = 16
+LANE_VALUES = 1 << 22  # components of the queries that a task holds, one block at least
+TASKS_PER_CORE = 4  # chains and lanes get longer only while this many tasks are left
 CELLS = 1 << 21  # scores of a leaf that are held at a time
 LEAF_ROWS = 128
 FLOOR = np.iinfo(np.int64).min
@@ -97,15 +104,23 @@ def _best(who: np.ndarray, score: np.ndarray, tie: np.ndarray, k: int) -> np.nda
 
 
 def search(
-    points: np.ndarray, rows: np.ndarray, ties: np.ndarray, queries: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int
+    points: np.ndarray,
+    rows: np.ndarray,
+    ties: np.ndarray,
+    queries: np.ndarray,
+    own: np.ndarray,
+    floor: np.ndarray,
+    k: int,
+    tree: BallTree | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, point, score) of each query's best k points that reach its floor.
 
-    ``own`` is each query's own row, which it never finds; ``ties`` orders points of equal score.
+    ``own`` is each query's own row, which it never finds; ``ties`` orders points of equal score;
+    ``tree`` is the tree of the points, if there is one already.
     """
     top = max(np.abs(points).max(initial=0), np.abs(queries).max(initial=0))
     kind = np.float64 if float(top) ** 2 * points.shape[1] < 2**53 else np.int64
-    tree = BallTree(points)
+    tree = tree or BallTree(points)
     exact_points, exact_queries = points.astype(kind), queries.astype(kind)
     asking = queries.astype(np.float64)
     norms = np.linalg.norm(asking, axis=1)
@@ -183,32 +198,109 @@ def _tie_order(ids: pa.Array, rows: np.ndarray) -> np.ndarray:
     return position
 
 
-def _searched(shards: DataFrame, blocks: DataFrame, key: list[str], k: int) -> DataFrame:
-    """Search of every pair of shard and block that share ``key``."""
-
-    def hits(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = {"query": [], "query_id": [], "vec_id": [], "row": [], "score": []}
-        schema = pa.schema([(name, pa.int64()) for name in empty])
-        if not left.num_rows or not right.num_rows:
-            return pa.table(empty, schema=schema)
-        left, right = left.sort_by("row"), right.rename_columns([x.removeprefix("q_") for x in right.column_names]).sort_by("row")
-        dim = left["dim"][0].as_py()
-        ids = left["vec_id"].combine_chunks()
-        rows = left["row"].to_numpy()
-        own = right["row"].to_numpy()
-        floor = right["floor"].combine_chunks().fill_null(FLOOR).to_numpy(zero_copy_only=False)
-        who, point, score = search(
-            matrix(left["v"], dim), rows, _tie_order(ids, rows), matrix(right["v"], dim), own, floor, k
-        )
-        asked = right["vec_id"].combine_chunks().take(pa.array(who))
-        return pa.Table.from_arrays(
-            [pa.array(own[who]), asked, ids.take(pa.array(point)), pa.array(rows[point]), pa.array(score)], schema=schema
-        )
+_TASK = ["dim", "chain", "lane"]
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Rows that follow each other with the same task and shard, as ``(dim, chain, lane, shard)`` and table."""
+    key, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(name).to_numpy() for name in [*_TASK, "shard"]], axis=1)
+        starts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, len(keys)]
+        for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            this = tuple(keys[start].tolist())
+            if parts and this != key:
+                yield key, pa.Table.from_batches(parts)
+                parts = []
+            key = this
+            parts.append(batch.slice(start, end - start))
+    if parts:
+        yield key, pa.Table.from_batches(parts)
+
+
+class _Lane:
+    """Queries of a task, their floors, and the best k rows that each has found so far."""
+
+    def __init__(self, table: pa.Table, dim: int, k: int):
+        self.k = k
+        self.ids = table["vec_id"].combine_chunks()
+        self.own = table["row"].to_numpy()
+        self.home = table["home"].to_numpy()
+        self.floor = table["floor"].combine_chunks().fill_null(FLOOR).to_numpy(zero_copy_only=False).copy()
+        self.queries = matrix(table["v"], dim)
+        # (query, vec_id, vec_id is null, row, score) of what was found
+        self.found = [np.empty(0, np.int64) for _ in range(5)]
+
+    def meet(self, shard: int, table: pa.Table, dim: int, block_rows: int) -> None:
+        """Search the shard for all queries but those that have done so before."""
+        ids, rows, points = table["vec_id"].combine_chunks(), table["row"].to_numpy(), matrix(table["v"], dim)
+        known, values = np.array(ids.is_valid()), ids.fill_null(0).to_numpy(zero_copy_only=False)
+        ties, tree = _tie_order(ids, rows), BallTree(points)
+        waiting = np.flatnonzero(self.home != shard)
+        for block in (waiting[a : a + block_rows] for a in range(0, len(waiting), block_rows)):
+            who, point, score = search(
+                points, rows, ties, self.queries[block], self.own[block], self.floor[block], self.k, tree
+            )
+            new = [block[who], values[point], (~known[point]).astype(np.int64), rows[point], score]
+            among = np.isin(self.found[0], block)
+            asked, vec, null, row, score = (np.concatenate([old[among], x]) for old, x in zip(self.found, new))
+            place = np.empty(len(row), np.int64)
+            place[np.lexsort((row, vec, null))] = np.arange(len(row))
+            best = _best(asked, score, place, self.k)
+            kept = [x[best] for x in (asked, vec, null, row, score)]
+            self.found = [np.concatenate([old[~among], x]) for old, x in zip(self.found, kept)]
+            # the kth score so far is the floor of the next shard
+            counts = np.bincount(kept[0], minlength=len(self.own))
+            lowest = np.full(len(self.own), np.iinfo(np.int64).max)
+            np.minimum.at(lowest, kept[0], kept[4])
+            self.floor = np.where(counts >= self.k, np.maximum(self.floor, lowest), self.floor)
+
+    def hits(self) -> pa.RecordBatch:
+        who, vec, null, row, score = self.found
+        columns = [
+            pa.array(self.own[who]),
+            self.ids.take(pa.array(who)),
+            pa.array(vec, mask=null.astype(bool)),
+            pa.array(row),
+            pa.array(score),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["query", "query_id", "vec_id", "row", "score"])
+
+
+def _searched(members: DataFrame, asking: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Search of every chain by the lanes that share ``dim``, ``chain`` and ``lane`` with it.
+
+    ``members`` has the shard of each row; ``asking`` the floor of each query and its home, the shard
+    that it does not search again. Queries come before the shards of their task, which are read one by one.
+    """
 
-    # both sides come from the staged vectors: other names tell their columns apart
-    asking = blocks.select(*[F.col(name).alias(f"q_{name}") for name in blocks.columns])
-    right = asking.groupBy(*[f"q_{name}" for name in key])
-    return shards.groupBy(*key).cogroup(right).applyInArrow(hits, _HITS)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, lane = None, None
+        for key, table in _runs(batches):
+            *this, shard = key
+            if this != task:
+                if lane is not None:
+                    yield lane.hits()
+                task, lane = this, None
+            if shard < 0:
+                lane = _Lane(table, this[0], k)
+            elif lane is not None:
+                lane.meet(shard, table, this[0], block_rows)
+        if lane is not None:
+            yield lane.hits()
+
+    own = [*_TASK, "shard", "home", "floor", "vec_id", "row", "v"]
+    points = members.withColumns({"home": F.lit(-1), "floor": F.lit(None).cast("long")})
+    both = asking.withColumn("shard", F.lit(-1)).select(own).unionByName(points.select(own))
+    dealt = both.repartition(*_TASK).sortWithinPartitions(*_TASK, "shard", "row")
+    return dealt.mapInArrow(rows, _HITS)
+
+
+def _each(numbers: int) -> Column:
+    """One row for each number from 0."""
+    return F.explode(F.sequence(F.lit(0), F.lit(numbers - 1)))
 
 
 def top_k(
@@ -229,23 +321,29 @@ def top_k(
     is a query if ``is_query`` says so. An empty table gives an empty result; other columns are ignored.
     """
     sound = quantised(vectors, scale).withColumn("asks", F.coalesce(is_query, F.lit(False)))
-    sound, seen = stage_observed(sound, "vectors", rows=F.count("*"), asking=F.count_if("asks"))
+    figures = {"rows": F.count("*"), "asking": F.count_if("asks"), "dim": F.max("dim")}
+    sound, seen = stage_observed(sound, "vectors", **figures)
     shards, blocks = max(1, -(-seen["rows"] // shard_rows)), max(1, -(-seen["asking"] // block_rows))
+    tasks = max(1, TASKS_PER_CORE * vectors.sparkSession.sparkContext.defaultParallelism)
+    chain = max(1, min(CHAIN_SHARDS, shards * blocks // tasks))
+    chains = -(-shards // chain)
+    lane = max(1, min(LANE_VALUES // (block_rows * (seen["dim"] or 1)), chains * blocks // tasks))
+    lanes = -(-blocks // lane)
 
     spread = F.xxhash64("row")
     members = sound.withColumn("shard", F.pmod(spread, F.lit(shards)).cast("int")).drop("asks")
     asking = sound.filter("asks").withColumn("block", F.pmod(spread, F.lit(blocks)).cast("int")).drop("asks")
+    asking = asking.withColumn("home", F.col("block") % shards)  # the first shard of a block
 
-    def among(frame: DataFrame, name: str, numbers: Column) -> DataFrame:
-        return frame.withColumn(name, F.explode(numbers))
-
-    # the first shard of block b is b % shards
-    home = F.col("block") % shards
-    all_blocks = F.sequence(F.lit(0), F.lit(blocks - 1))
-    of_home = F.filter(all_blocks, lambda b: b % shards == F.col("shard"))
-    key = ["dim", "shard", "block"]
+    # first every block searches its home: a chain of one shard and a lane of one block
+    of_home = F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda b: b % shards == F.col("shard"))
     first = _searched(
-        among(members, "block", of_home), asking.withColumns({"shard": home, "floor": F.lit(None).cast("long")}), key, k
+        members.withColumns({"chain": F.col("shard"), "lane": F.explode(of_home)}),
+        asking.withColumns(
+            {"chain": F.col("home"), "lane": F.col("block"), "home": F.lit(-1), "floor": F.lit(None).cast("long")}
+        ),
+        k,
+        block_rows,
     )
     first, _ = stage_observed(first, "first", rows=F.count("*"))
     if shards == 1:
@@ -255,12 +353,11 @@ def top_k(
         known = asking.join(floors, F.col("row") == F.col("query"), "left").withColumn(
             "floor", F.when(F.col("n") >= k, F.col("lowest"))
         )
-        others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("block") % shards)
         rest = _searched(
-            among(members, "block", F.filter(all_blocks, lambda b: b % shards != F.col("shard"))),
-            among(known.select(*asking.columns, "floor"), "shard", others),
-            key,
+            members.withColumns({"chain": F.floor(F.col("shard") / chain).cast("int"), "lane": _each(lanes)}),
+            known.withColumns({"chain": _each(chains), "lane": F.floor(F.col("block") / lane).cast("int")}),
             k,
+            block_rows,
         )
         found = first.unionByName(rest)
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -73,8 +74,11 @@ def brute_top_k(rows, k):
     return Counter(out)
 
 
-@pytest.mark.parametrize("shard_rows, block_rows", [(10_000, 10_000), (64, 7)])
-def test_top_k_equals_brute_force(spark, shard_rows, block_rows):
+@pytest.mark.parametrize("shard_rows, block_rows, long", [(10_000, 10_000, False), (64, 7, False), (8, 2, True)])
+def test_top_k_equals_brute_force(spark, monkeypatch, shard_rows, block_rows, long):
+    if long:  # chains of 16 shards and lanes of two blocks
+        monkeypatch.setattr(topk, "TASKS_PER_CORE", 0)
+        monkeypatch.setattr(topk, "LANE_VALUES", 2 * block_rows * 12)
     random_ = np.random.default_rng(5)
     rows = [(k, random_.normal(0, 0.2, 12).astype(np.float32).tolist()) for k in range(300)]
     rows += [(1000 + k, [0.5] * 12) for k in range(60)]  # ties, also among queries
@@ -87,6 +91,42 @@ def test_top_k_equals_brute_force(spark, shard_rows, block_rows):
     assert Counter((r.query_id, r.rank, r.vec_id, r.score) for r in got) == brute_top_k(rows, 20)
 
 
+def test_tree_of_a_shard_is_built_once_per_lane_and_its_floor_handed_on(monkeypatch):
+    random_ = np.random.default_rng(8)
+    vectors = random_.integers(-30, 30, (400, 6))
+    built, floors, search = [], [], topk.search
+
+    def watched(points, rows, ties, queries, own, floor, k, tree):
+        built.append(id(tree))
+        floors.append(floor.copy())
+        return search(points, rows, ties, queries, own, floor, k, tree)
+
+    monkeypatch.setattr(topk, "search", watched)
+
+    def table(of, **more):
+        v = pa.array(vectors[of].tolist(), pa.list_(pa.int64()))
+        return pa.table({"vec_id": pa.array(of), "row": pa.array(of), "v": v, **more})
+
+    asked = np.arange(0, 400, 20)
+    lane = topk._Lane(table(asked, home=pa.array([-1] * 20), floor=pa.array([None] * 20, pa.int64())), 6, 5)
+    trees = []
+    for shard in range(4):
+        lane.meet(shard, table(np.arange(shard, 400, 4)), 6, block_rows=7)
+        trees.append(len(set(built[-3:])))
+    assert trees == [1] * 4 and len(built) == 12
+    for block in range(3):
+        seen = np.stack(floors[block::3])
+        assert (seen[0] == topk.FLOOR).all() and (np.diff(seen[1:], axis=0) >= 0).all()
+        assert (seen[1:] > topk.FLOOR).all()
+    got = Counter(zip(*(lane.hits()[name].to_pylist() for name in ("query_id", "vec_id", "score"))))
+    scores = vectors @ vectors.T
+    brute = Counter()
+    for q in asked.tolist():
+        order = sorted((n for n in range(400) if n != q), key=lambda n: (-scores[q, n], n))
+        brute.update((q, n, int(scores[q, n])) for n in order[:5])
+    assert got == brute
+
+
 def test_top_k_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(empty, F.col("vec_id") % 20 == 0).count() == 0
