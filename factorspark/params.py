@@ -19,9 +19,9 @@ MONTHS_PER_YEAR = 12
 @dataclass(frozen=True)
 class Params:
     """``min_universe``: fewest valid names per date / factor-month. ``max_gap_days``: a daily
-    return over a longer calendar gap is NULL. ``daily_buckets``: buckets by ticker of the stored
-    daily tables; choose it for about 1 GB a bucket. It is stored with the tables, so readers need
-    not know it."""
+    return over a longer calendar gap is NULL. ``daily_buckets``: fewest buckets by ticker of the
+    stored daily tables; large ones have a bucket per ``staging.TASK_ROWS`` rows. The number is stored
+    with the tables, so readers need not know it."""
 
     schema: str = "core"
     min_universe: int = 30

@@ -34,6 +34,7 @@ class ContractError(ValueError):
 class ValidatedPrices:
     frame: DataFrame
     deduped_groups: int
+    rows: int
 
 
 def normalize(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS, keep: Sequence[str] = ()) -> DataFrame:
@@ -164,14 +165,16 @@ def validate(df: DataFrame, dup_rel_tol: float | None = None) -> ValidatedPrices
     the panel is taken from there. What was counted is what gets loaded, even if the source changes.
     A valid panel without duplicates has one row per key, so the keys are the panel.
     """
-    per_key, seen = stage_observed(_per_key(normalize(df)), "panel", **_totals())
+    usable = _complete_key() & (F.col("n_prices") > 0)
+    per_key, seen = stage_observed(_per_key(normalize(df)), "panel", **_totals(), rows=F.count_if(usable))
+    rows = seen.pop("rows")
     counts = df.sparkSession.createDataFrame([Row(**seen)], _COUNTS)
     rules = report(counts, dup_rel_tol).collect()
     found = [_problem(rule, dup_rel_tol) for rule in rules if not rule.passes]
     if found:
         raise ContractError("; ".join(found), rules)
-    panel = per_key.filter(_complete_key() & (F.col("n_prices") > 0))
-    return ValidatedPrices(panel.select(*KEYS, F.col("min_price").alias("adj_close")), seen["duplicate_groups"])
+    panel = per_key.filter(usable).select(*KEYS, F.col("min_price").alias("adj_close"))
+    return ValidatedPrices(panel, seen["duplicate_groups"], rows)
 
 
 def panel_profile(prices: DataFrame) -> DataFrame:

@@ -13,9 +13,10 @@ from factorspark.params import Params
 from factorspark.plans import checks
 from factorspark.plans.contract import panel_profile, validate
 from factorspark.plans.marts import mart_factor_returns, mart_ic
+from factorspark.plans.signals import SIGNALS
 from factorspark.plans.tables import PLANS, ranked_scores
 from factorspark.sources.catalog import Tables
-from factorspark.sources.staging import scope, stage
+from factorspark.sources.staging import scope, stage, tasks_for
 
 # Names of the stages and of their tables, in build order. Every table reads only
 # earlier ones. Scores and marts come from ``month_end``.
@@ -37,6 +38,14 @@ _BUCKETS = {
     "scores": ["ticker", "rebalance_date"],
     "fwd_returns": ["ticker", "rebalance_date"],
 }
+# the table whose rows give the number of buckets, and how many rows follow from one of them at most;
+# scores and forward returns are joined by bucket, so they share a number
+_SIZED_BY = {
+    "returns": ("raw_prices", 1),
+    "signals": ("returns", 1),
+    "scores": ("month_end", len(SIGNALS)),
+    "fwd_returns": ("month_end", len(SIGNALS)),
+}
 _MONTHLY = ("month_end", "mart_scores_monthly")
 
 
@@ -68,12 +77,20 @@ class RunReport:
     warnings: list[str]
 
 
+def _buckets(tables: Tables, name: str, params: Params) -> int | None:
+    if name not in _BUCKETS:
+        return None
+    source, times = _SIZED_BY[name]
+    return tasks_for(getattr(tables, source).count() * times, params.daily_buckets)
+
+
 def build(spark: SparkSession, params: Params, stages: Sequence[str] | None = None) -> list[str]:
     """Run the named stages, or all, over the loaded ``raw_prices``; returns what ran.
 
-    Daily tables are stored in ``params.daily_buckets`` buckets by ticker, the key of all their windows,
-    which therefore read them without a shuffle; scores and forward returns in as many by (ticker, date),
-    the key of their join; month-end rows and the scores mart in a folder per month."""
+    Daily tables are stored in buckets by ticker, the key of all their windows, which therefore read them
+    without a shuffle; scores and forward returns in buckets by (ticker, date), the key of their join;
+    month-end rows and the scores mart in a folder per month. There are ``params.daily_buckets`` buckets,
+    more where a bucket would hold over ``TASK_ROWS`` rows."""
     unknown = set(stages or ()) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}; known: {list(STAGES)}")
@@ -83,9 +100,9 @@ def build(spark: SparkSession, params: Params, stages: Sequence[str] | None = No
     with scope(spark):
         working = _Working(tables, params)
         for name in (name for step in ran for name in STAGES[step]):
-            keys = _BUCKETS.get(name)
             month = "rebalance_date" if name in _MONTHLY else None
-            tables.materialize(PLANS[name](working, params), name, keys, keys and params.daily_buckets, month)
+            plan, buckets = PLANS[name](working, params), _buckets(tables, name, params)
+            tables.materialize(plan, name, _BUCKETS.get(name), buckets, month)
     return ran
 
 
@@ -114,7 +131,7 @@ def run(spark: SparkSession, prices: DataFrame, params: Params, dup_rel_tol: flo
     tables = Tables(spark, params.schema)
     with scope(spark):
         valid = validate(prices, dup_rel_tol)
-        tables.load_prices(valid.frame, params.daily_buckets)
+        tables.load_prices(valid.frame, tasks_for(valid.rows, params.daily_buckets))
         build(spark, params)
         failures, warnings = checks.messages(checks.run_checks(tables))
         return RunReport(

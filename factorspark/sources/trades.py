@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from factorspark.functions import is_weekday
 from factorspark.params import VOL_ROWS
+from factorspark.sources.staging import tasks_for
 
 
 def supplier_ticker(key: Column) -> Column:
@@ -45,19 +46,36 @@ def sparse_panel(lineitem: DataFrame) -> DataFrame:
     return traded.select("ticker", "trade_date", unit_price().alias("adj_close"))
 
 
-def dense_panel(lineitem: DataFrame, rows: int = VOL_ROWS) -> DataFrame:
+def dense_rows(lineitem: DataFrame) -> int:
+    """About the rows that ``dense_panel`` fills in: five sevenths of the days from each supplier's first
+    trade to the last trade of the table. Grouping combines map-side, one row per supplier and task."""
+    date = F.to_date("l_shipdate")
+    counted = F.col("l_suppkey").isNotNull() & is_weekday(date)
+    spans = lineitem.groupBy("l_suppkey").agg(
+        F.min(F.when(counted, F.unix_date(date))).alias("first"), F.max(F.unix_date(date)).alias("last")
+    )
+    days = (F.max("last") + 1) * F.count("first") - F.sum("first")
+    return spans.select(F.ceil(F.coalesce(days, F.lit(0)) * 5 / 7).alias("n")).first().n
+
+
+def dense_panel(lineitem: DataFrame, rows: int = VOL_ROWS, size: int | None = None) -> DataFrame:
     """One row per ticker and weekday from its first trade to the last trade of the table; the
     price is value over quantity of the trailing ``rows`` weekdays.
 
     Running totals are taken over the traded days, then each day is repeated up to the next one, so
     the calendar is filled inside the ticker's own partition and without joining a calendar to
     every ticker. Totals of integers are exact: the trailing sum is a plain difference.
+
+    A task fills far more rows than it reads, so the tickers are dealt by the number of filled rows:
+    ``size`` if it is known, else ``dense_rows``, which reads the table now.
     """
+    size = dense_rows(lineitem) if size is None else size
+    tasks = tasks_for(size, lineitem.sparkSession.sparkContext.defaultParallelism)
     last_day = lineitem.select(F.max(F.to_date("l_shipdate"))).scalar()
     by_day = Window.partitionBy("ticker").orderBy("trade_date")
     running = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     until = F.coalesce(F.date_sub(F.lead("trade_date").over(by_day), 1), last_day)
-    totals = daily_trades(lineitem).select(
+    totals = daily_trades(lineitem).repartition(tasks, "ticker").select(
         "ticker",
         *[F.sum(c).over(running).alias(c) for c in ("cents", "units")],
         F.sequence("trade_date", until).alias("days"),

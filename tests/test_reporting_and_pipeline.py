@@ -11,6 +11,7 @@ from panels import PANEL, swinging_panel
 from factorspark.params import Params
 from factorspark.plans import checks, dims, parity, pipeline, reporting
 from factorspark.plans.contract import ContractError
+from factorspark.sources import staging
 from factorspark.sources.catalog import Tables
 
 SUMMARY = "factor string, n_months bigint, ann_ls_return double, ann_ls_vol double, ls_sharpe double, hit_rate double, mean_ic double, icir double"
@@ -252,3 +253,22 @@ def test_scores_and_forward_returns_join_without_a_shuffle(spark, noisy_run):
 def test_lazy_signals_read_the_returns_without_a_shuffle(noisy_run):
     plan = noisy_run.signals._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(ticker" not in plan
+
+
+def _num_buckets(spark, table):
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    return int(described["Num Buckets"])
+
+
+def test_the_buckets_of_a_build_follow_its_rows(spark, noisy_run, monkeypatch):
+    """18,000 daily rows; the named number of buckets would hold 6,000 rows each."""
+    monkeypatch.setattr(staging, "TASK_ROWS", 1000)
+    params = Params(schema="sized", min_universe=5, daily_buckets=3)
+    prices = spark.createDataFrame(swinging_panel(np.linspace(0.3, 1.5, 20), 900, 0.006), PANEL)
+    pipeline.run(spark, prices, params)
+    built = Tables(spark, "sized")
+    for name in ("raw_prices", "returns", "signals"):
+        assert _num_buckets(spark, f"sized.{name}") == 18, name
+    joined = {_num_buckets(spark, f"sized.{name}") for name in ("scores", "fwd_returns")}
+    assert joined == {max(3, -(-built.month_end.count() * 4 // 1000))}
+    assert parity.has_parity(parity.parity(built, noisy_run))

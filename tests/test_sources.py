@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from factorspark.sources import staging
 from factorspark.plans import contract
 from factorspark.sources.catalog import LoadError, Tables
 from factorspark.sources.prices import consensus_prices, jdbc_options, query_text, read_prices
-from factorspark.sources.trades import dense_panel, sparse_panel
+from factorspark.sources.trades import dense_panel, dense_rows, sparse_panel
 
 
 def test_exactly_one_source(spark):
@@ -288,3 +289,30 @@ def test_panels_with_a_hot_supplier(spark):
                 dense[key, day] = cents / n / 100.0
     found = {(int(r.ticker[1:]), r.trade_date): r.adj_close for r in dense_panel(trades, rows=10).collect()}
     assert found == dense
+
+
+def test_the_tasks_of_a_dense_panel_follow_its_rows(spark, monkeypatch):
+    """40 tickers fill in 20 to 59 weeks each from two trades; a NULL key and a weekend count for none."""
+    schema = "l_suppkey long, l_shipdate date, l_extendedprice double, l_quantity double"
+    last = dt.date(2024, 7, 12)  # a Friday
+    rows = [(k, last - dt.timedelta(weeks=20 + k), 10.0 + k, 1.0) for k in range(40)]
+    rows += [(k, last, 20.0, 2.0) for k in range(40)]
+    rows += [(None, dt.date(1990, 1, 1), 1.0, 1.0), (99, dt.date(1990, 1, 6), 1.0, 1.0)]
+    trades = spark.createDataFrame(rows, schema)
+    filled = sum((last - day).days + 1 for k, day, *_ in rows[:40])
+    assert dense_rows(trades) == -(-filled * 5 // 7)
+    assert dense_rows(trades.limit(0)) == 0
+    plain = {tuple(r) for r in dense_panel(trades).collect()}
+
+    monkeypatch.setattr(staging, "TASK_ROWS", 300)
+    found = dense_panel(trades)
+    held = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == len(plain) and {tuple(r) for r in found.collect()} == plain
+    assert f"hashpartitioning(ticker, {-(-dense_rows(trades) // 300)})" in _numberless(found)
+    # the caller's number wins
+    assert "hashpartitioning(ticker, 11)" in _numberless(dense_panel(trades, size=3300))
+
+
+def _numberless(df):
+    """The plan without the numbers of its expressions."""
+    return re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
