@@ -11,6 +11,7 @@ from panels import PANEL, swinging_panel
 from factorspark.params import Params
 from factorspark.plans import checks, dims, parity, pipeline, reporting
 from factorspark.plans.contract import ContractError
+from factorspark.plans.run import FactorRun
 from factorspark.sources import staging
 from factorspark.sources.catalog import Tables
 
@@ -272,3 +273,14 @@ def test_the_buckets_of_a_build_follow_its_rows(spark, noisy_run, monkeypatch):
     joined = {_num_buckets(spark, f"sized.{name}") for name in ("scores", "fwd_returns")}
     assert joined == {max(3, -(-built.month_end.count() * 4 // 1000))}
     assert parity.has_parity(parity.parity(built, noisy_run))
+
+
+@pytest.mark.parametrize("rows", [None, 18_000])
+def test_the_buckets_of_a_lazy_run_follow_its_rows(spark, noisy_run, monkeypatch, rows):
+    monkeypatch.setattr(staging, "TASK_ROWS", 1000)
+    prices = spark.createDataFrame(swinging_panel(np.linspace(0.3, 1.5, 20), 900, 0.006), PANEL)
+    run = FactorRun(prices, Params(min_universe=5, daily_buckets=3), rows)
+    assert run.returns.count() == 18_000
+    table = staging._tables["shared"][-1]
+    assert _num_buckets(spark, table) == 18
+    assert parity.has_parity(parity.parity(run, noisy_run))

@@ -16,7 +16,7 @@ from factorspark.plans import dims, marts, pipeline
 from factorspark.plans.run import FactorRun
 from factorspark.sources.catalog import Tables
 from factorspark.sources.staging import run_folder, stage
-from factorspark.sources.trades import dense_panel, sparse_panel, supplier_ticker, unit_price
+from factorspark.sources.trades import dense_panel, dense_rows, sparse_panel, supplier_ticker, unit_price
 
 PARAMS = Params(min_universe=5, max_gap_days=5, daily_buckets=8)
 
@@ -29,9 +29,17 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def dense_rows(self) -> int:
+        return dense_rows(self.table("lineitem"))
+
+    def _dense_run(self, **window: int) -> FactorRun:
+        panel = dense_panel(self.table("lineitem"), **window, size=self.dense_rows)
+        return FactorRun(panel, PARAMS, self.dense_rows)
+
     @cached_property
     def run(self) -> FactorRun:
-        return FactorRun(dense_panel(self.table("lineitem")), PARAMS)
+        return self._dense_run()
 
     @cached_property
     def sparse(self) -> DataFrame:
@@ -41,7 +49,7 @@ class Inputs:
     def gappy_run(self) -> FactorRun:
         """A price only where something traded in the last ten weekdays: rows with gaps, of which
         some windows pass the gates and some do not."""
-        return FactorRun(dense_panel(self.table("lineitem"), rows=10), PARAMS)
+        return self._dense_run(rows=10)
 
     @cached_property
     def quotes(self) -> DataFrame:
