@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from factorspark.functions import DATE_FORMATS, clean_ticker, parse_date, parse_number, ratio
-from factorspark.sources.staging import stage_observed
+from factorspark.sources.staging import compact, stage
 
 REQUIRED = ("ticker", "trade_date", "adj_close")
 # The phrases by which a caller tells the violations apart.
@@ -161,19 +161,23 @@ def validate(df: DataFrame, dup_rel_tol: float | None = None) -> ValidatedPrices
     """Normalised panel, or ContractError with all violations. With ``dup_rel_tol`` duplicate
     groups collapse when their worst relative price spread stays within it.
 
-    The source is read once: its rows are combined per key and staged, counted in the same job, and
-    the panel is taken from there. What was counted is what gets loaded, even if the source changes.
+    The source is read once: its rows are combined per key and counted, and in the same job the panel is
+    staged, without the counts per key. What was counted is what gets loaded, even if the source changes.
     A valid panel without duplicates has one row per key, so the keys are the panel.
     """
     usable = _complete_key() & (F.col("n_prices") > 0)
-    per_key, seen = stage_observed(_per_key(normalize(df)), "panel", **_totals(), rows=F.count_if(usable))
+    counted = Observation("panel")
+    figures = _totals() | {"rows": F.count_if(usable)}
+    per_key = _per_key(normalize(df)).observe(counted, *[column.alias(name) for name, column in figures.items()])
+    kept = per_key.filter(usable).select(*KEYS, F.col("min_price").alias("adj_close"))
+    panel = stage(kept, "panel", **compact(kept))
+    seen = dict(counted.get)
     rows = seen.pop("rows")
     counts = df.sparkSession.createDataFrame([Row(**seen)], _COUNTS)
     rules = report(counts, dup_rel_tol).collect()
     found = [_problem(rule, dup_rel_tol) for rule in rules if not rule.passes]
     if found:
         raise ContractError("; ".join(found), rules)
-    panel = per_key.filter(usable).select(*KEYS, F.col("min_price").alias("adj_close"))
     return ValidatedPrices(panel, seen["duplicate_groups"], rows)
 
 

@@ -16,7 +16,7 @@ from factorspark.plans.marts import mart_factor_returns, mart_ic
 from factorspark.plans.signals import SIGNALS
 from factorspark.plans.tables import PLANS, ranked_scores
 from factorspark.sources.catalog import Tables
-from factorspark.sources.staging import scope, stage, tasks_for
+from factorspark.sources.staging import discard, frugal, scope, stage, stage_alone, tasks_for
 
 # Names of the stages and of their tables, in build order. Every table reads only
 # earlier ones. Scores and marts come from ``month_end``.
@@ -58,7 +58,8 @@ class _Working:
     @property
     def ranked_scores(self) -> DataFrame:
         if self._ranked is None:
-            self._ranked = stage(PLANS["ranked_scores"](self, self._params), "ranked_scores")
+            spark = self._tables.month_end.sparkSession
+            self._ranked = stage_alone(spark, lambda: PLANS["ranked_scores"](self, self._params), "ranked_scores")
         return self._ranked
 
     def __getattr__(self, name: str):
@@ -90,14 +91,14 @@ def build(spark: SparkSession, params: Params, stages: Sequence[str] | None = No
     Daily tables are stored in buckets by ticker, the key of all their windows, which therefore read them
     without a shuffle; scores and forward returns in buckets by (ticker, date), the key of their join;
     month-end rows and the scores mart in a folder per month. There are ``params.daily_buckets`` buckets,
-    more where a bucket would hold over ``TASK_ROWS`` rows."""
+    more where a bucket would hold over ``TASK_ROWS`` rows. No table leaves its shuffle files behind."""
     unknown = set(stages or ()) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}; known: {list(STAGES)}")
     tables = Tables(spark, params.schema)
     tables.ensure_schema()
     ran = [step for step in STAGES if stages is None or step in stages]
-    with scope(spark):
+    with scope(spark), frugal(spark):
         working = _Working(tables, params)
         for name in (name for step in ran for name in STAGES[step]):
             month = "rebalance_date" if name in _MONTHLY else None
@@ -127,11 +128,13 @@ def rebuild_months(spark: SparkSession, params: Params, months: Sequence[dt.date
 
 
 def run(spark: SparkSession, prices: DataFrame, params: Params, dup_rel_tol: float | None = None) -> RunReport:
-    """Validate, load, build and check; what was staged on the way is removed at the end."""
+    """Validate, load, build and check. The validated panel is removed once it is loaded, what else was staged
+    on the way at the end."""
     tables = Tables(spark, params.schema)
-    with scope(spark):
+    with scope(spark), frugal(spark):
         valid = validate(prices, dup_rel_tol)
         tables.load_prices(valid.frame, tasks_for(valid.rows, params.daily_buckets))
+        discard(valid.frame)
         build(spark, params)
         failures, warnings = checks.messages(checks.run_checks(tables))
         return RunReport(

@@ -136,6 +136,13 @@ def test_what_is_loaded_is_what_was_counted(spark, tmp_path):
     assert {r.ticker for r in result.frame.collect()} == {"A", "B"}
 
 
+def test_only_the_panel_is_staged(spark):
+    result = validate(_frame(spark, [("A", "2024-01-02", 1.0), ("A", "2024-01-02", 1.0), ("B", "2024-01-03", 2.0)]), 1e-5)
+    (folder,) = {path.rsplit("/", 1)[0] for path in result.frame.inputFiles()}
+    assert spark.read.parquet(folder).columns == ["ticker", "trade_date", "adj_close"]
+    assert (result.deduped_groups, result.rows, result.frame.count()) == (1, 2, 2)
+
+
 def test_timestamps_lose_their_time(spark):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 2, 17, 30), 1)], "ticker string, trade_date timestamp, adj_close int")
     assert tuple(contract.normalize(df).first()) == ("A", dt.date(2024, 1, 2), 1.0)

@@ -2,8 +2,12 @@ import csv
 import datetime as dt
 import glob
 import math
+import time
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +208,43 @@ def test_build_in_the_catalog_equals_the_lazy_run(spark, noisy_run):
     assert "Exchange hashpartitioning(ticker" not in plan
 
 
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {path for folder in manager.localDirsString() for path in Path(folder).rglob("shuffle_*.data")}
+
+
+def test_a_run_keeps_only_its_tables_on_disk(spark, monkeypatch):
+    """The panel goes before the build, shuffle files with the query that wrote them; daily prices lie by
+    ticker and day."""
+    staged, begun, build = [], {}, pipeline.build
+
+    def after_loading(session, params):
+        root = Path(urlparse(staging.run_folder(session)).path)
+        begun["panels"] = [path for path in root.rglob("panel-*") if path not in staged]
+        return build(session, params)
+
+    monkeypatch.setattr(pipeline, "build", after_loading)
+    staged += Path(urlparse(staging.run_folder(spark)).path).rglob("panel-*")
+    before = _shuffle_files(spark)
+    prices = spark.createDataFrame(swinging_panel(np.linspace(0.3, 1.5, 20), 900, 0.006), PANEL)
+    pipeline.run(spark, prices, Params(schema="lean", min_universe=5, daily_buckets=3))
+    assert begun["panels"] == []
+    until = time.monotonic() + 10  # files are removed in the background
+    while _shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+
+    for name in ("raw_prices", "returns", "signals"):
+        for path in spark.table(f"lean.{name}").inputFiles():
+            file = pq.ParquetFile(urlparse(path).path)
+            group = file.metadata.row_group(0)
+            chunks = [group.column(i) for i in range(group.num_columns)]
+            assert {chunk.compression for chunk in chunks} == {"ZSTD"}
+            assert not any(chunk.has_dictionary_page for chunk in chunks if chunk.physical_type == "DOUBLE")
+            rows = [(r["ticker"], r["trade_date"]) for r in file.read(["ticker", "trade_date"]).to_pylist()]
+            assert rows == sorted(rows) and len(rows) >= 900
+
+
 def test_a_broken_panel_is_not_loaded(spark):
     prices = spark.createDataFrame([("A", dt.date(2024, 1, 2), -1.0)], PANEL)
     with pytest.raises(ContractError):

@@ -129,6 +129,19 @@ def test_a_bucketed_stage_is_read_without_a_shuffle(spark):
     assert not any(t.name.startswith("staged_by_key") for t in spark.catalog.listTables())
 
 
+def test_settings_come_back_and_frames_run_again_after_frugal(spark):
+    keys = [staging._FREE_SHUFFLES, staging._ALL_JOIN_KEYS]
+    before = [spark.conf.get(key) for key in keys]
+    with pytest.raises(RuntimeError, match="stop"), staging.frugal(spark):
+        with staging.frugal(spark):
+            counted = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+            first = sorted(counted.collect())
+        assert [spark.conf.get(key) for key in keys] == ["true", "false"]
+        raise RuntimeError("stop")
+    assert [spark.conf.get(key) for key in keys] == before
+    assert sorted(counted.collect()) == first and len(first) == 7
+
+
 def test_a_scope_leaves_nothing_behind(spark):
     with staging.scope(spark) as name:
         inside = staging.stage(spark.range(3), "three")
