@@ -144,7 +144,7 @@ def ranked(
     order = [*group, value, row_key]
     marked = df.withColumns({mark: F.coalesce(condition, F.lit(False)) for mark, condition in marks.items()})
     by_range = marked.repartitionByRange(*order).sortWithinPartitions(*order)
-    runs = stage(_scanned(by_range, group, value, list(marks)), "sorted-runs")
+    runs = stage(_scanned(by_range, group, value, list(marks)), "sorted-runs", small=True)
     table, n = stage_counted(_run_table(runs, group, value, list(marks)), "runs")
     placed = runs.join(F.broadcast(table) if n <= BROADCAST_ROWS else table, [*group, "_run"])
     position = F.col("_place") + F.col("_shift") + 1

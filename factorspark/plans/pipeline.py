@@ -59,7 +59,9 @@ class _Working:
     def ranked_scores(self) -> DataFrame:
         if self._ranked is None:
             spark = self._tables.month_end.sparkSession
-            self._ranked = stage_alone(spark, lambda: PLANS["ranked_scores"](self, self._params), "ranked_scores")
+            self._ranked = stage_alone(
+                spark, lambda: PLANS["ranked_scores"](self, self._params), "ranked_scores", small=True
+            )
         return self._ranked
 
     def __getattr__(self, name: str):

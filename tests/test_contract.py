@@ -136,6 +136,31 @@ def test_what_is_loaded_is_what_was_counted(spark, tmp_path):
     assert {r.ticker for r in result.frame.collect()} == {"A", "B"}
 
 
+def test_validation_counts_what_violations_count(spark):
+    """Tickers in several spellings, and one key that holds a third of all rows, under four of them."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["HOT", "hot ", "\thot", " Hot"]), "2024-01-02", str(100 + rng.random())) for _ in range(400)]
+    rows += [
+        (rng.choice(["a", " A", "b", "", None]), rng.choice(["2024-01-02", "20240102", "?"]), rng.choice(["x", "-1", "2", "3"]))
+        for _ in range(800)
+    ]
+    df = _frame(spark, rows, TEXT).repartition(9)
+    with pytest.raises(ContractError) as error:
+        validate(df, 1e-5)
+    assert error.value.report == contract.report(contract.violations(contract.normalize(df)), 1e-5).collect()
+    rules = {(r.rule, r.column): r.n_rows for r in error.value.report}
+    assert rules["unique", "ticker, trade_date"] == 4 and rules["not empty", None] > 400
+
+
+def test_the_days_of_a_ticker_travel_together(spark):
+    """One shuffle by ticker, and none before it where the source is dealt by ticker."""
+    df = _frame(spark, [("A", "2024-01-02", 1.0), ("a ", "2024-01-03", 2.0), ("B", "2024-01-02", 2.0)])
+    plan = contract._dealt_by_ticker(df.repartition(5, "ticker"))._jdf.queryExecution().executedPlan().toString()
+    dealt = [line.split("hashpartitioning(")[1].split(")")[0] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert len(dealt) == 2 and all(keys.startswith("ticker#") and keys.count("#") == 1 for keys in dealt)
+    assert {r.ticker for r in validate(df).frame.collect()} == {"A", "B"}
+
+
 def test_only_the_panel_is_staged(spark):
     result = validate(_frame(spark, [("A", "2024-01-02", 1.0), ("A", "2024-01-02", 1.0), ("B", "2024-01-03", 2.0)]), 1e-5)
     (folder,) = {path.rsplit("/", 1)[0] for path in result.frame.inputFiles()}
