@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from factorspark.functions import DATE_FORMATS, clean_ticker, parse_date, parse_number, ratio
-from factorspark.sources.staging import stage
+from factorspark.sources.staging import fine, stage
 
 REQUIRED = ("ticker", "trade_date", "adj_close")
 # The phrases by which a caller tells the violations apart.
@@ -179,13 +179,15 @@ def validate(df: DataFrame, dup_rel_tol: float | None = None) -> ValidatedPrices
 
     The source is read once: its rows are combined per key and counted, and in the same job the panel is
     staged, without the counts per key. What was counted is what gets loaded, even if the source changes.
+    Tasks follow the bytes of the panel, so that few partitions of the session do not make them spill.
     A valid panel without duplicates has one row per key, so the keys are the panel.
     """
     usable = _complete_key() & (F.col("n_prices") > 0)
     counted = Observation("panel")
     figures = _totals() | {"rows": F.count_if(usable)}
     per_key = _dealt_by_ticker(df).observe(counted, *[column.alias(name) for name, column in figures.items()])
-    panel = stage(per_key.filter(usable).select(*KEYS, F.col("min_price").alias("adj_close")), "panel", small=True)
+    with fine(df.sparkSession):
+        panel = stage(per_key.filter(usable).select(*KEYS, F.col("min_price").alias("adj_close")), "panel", small=True)
     seen = dict(counted.get)
     rows = seen.pop("rows")
     counts = df.sparkSession.createDataFrame([Row(**seen)], _COUNTS)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from factorspark.plans import contract
 from factorspark.plans.contract import ContractError, validate
+from factorspark.sources import staging
 
 TEXT = "ticker string, trade_date string, adj_close string"
 RAW = "ticker string, trade_date string, adj_close double"
@@ -161,6 +162,31 @@ def test_the_days_of_a_ticker_travel_together(spark):
     assert {r.ticker for r in validate(df).frame.collect()} == {"A", "B"}
 
 
+def test_tasks_of_validation_follow_the_panel_not_the_session(spark):
+    """One partition in the session; the panel is validated and staged in several, and the settings come back."""
+    keys = {"spark.sql.shuffle.partitions": "1", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    others = [staging._FIRST_PARTITIONS, staging._PARTITION_SIZE]
+    before = {key: spark.conf.get(key, None) for key in [*keys, *others]}
+    days = spark.range(20_000).select(
+        F.concat(F.lit("T"), F.col("id") % 200).alias("ticker"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 200).cast("int")).alias("trade_date"),
+        (F.rand(3) + 1).alias("adj_close"),
+    )
+    try:
+        for key, value in keys.items():
+            spark.conf.set(key, value)
+        frame = validate(days).frame
+        assert [spark.conf.get(key, None) for key in others] == [before[key] for key in others]
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1"
+    finally:
+        for key in keys:
+            spark.conf.unset(key) if before[key] is None else spark.conf.set(key, before[key])
+    assert len(frame.inputFiles()) > 1
+    assert frame.count() == 20_000
+    homes = frame.select("ticker", F.input_file_name().alias("file")).distinct()
+    assert homes.count() == 200  # a ticker lies in one file
+
+
 def test_only_the_panel_is_staged(spark):
     result = validate(_frame(spark, [("A", "2024-01-02", 1.0), ("A", "2024-01-02", 1.0), ("B", "2024-01-03", 2.0)]), 1e-5)
     (folder,) = {path.rsplit("/", 1)[0] for path in result.frame.inputFiles()}
