@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from factorspark.sources.staging import stage, stage_counted
+from factorspark.sources.staging import stage_counted, stage_small as stage
 
 BROADCAST_ROWS = 1_000_000  # rows of the table of runs that are still broadcast
 
@@ -144,7 +144,7 @@ def ranked(
     order = [*group, value, row_key]
     marked = df.withColumns({mark: F.coalesce(condition, F.lit(False)) for mark, condition in marks.items()})
     by_range = marked.repartitionByRange(*order).sortWithinPartitions(*order)
-    runs = stage(_scanned(by_range, group, value, list(marks)), "sorted-runs", small=True)
+    runs = stage(_scanned(by_range, group, value, list(marks)), "sorted-runs")
     table, n = stage_counted(_run_table(runs, group, value, list(marks)), "runs")
     placed = runs.join(F.broadcast(table) if n <= BROADCAST_ROWS else table, [*group, "_run"])
     position = F.col("_place") + F.col("_shift") + 1
